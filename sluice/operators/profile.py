@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-import math
 import re
 from collections.abc import Sequence
 from datetime import datetime, timedelta
-from decimal import Decimal
+from decimal import ROUND_HALF_DOWN, ROUND_HALF_UP, Decimal
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -34,13 +33,12 @@ def micros(ts: Column) -> Column:
     return seconds * 1_000_000 + (F.extract(F.lit("SECOND"), ts) * 1_000_000).cast("bigint")
 
 
-def _from_micros(value: float | Decimal | None) -> datetime | None:
-    """To whole microseconds: a mean drops the rest, a quantile (float) rounds to the nearest."""
+def _from_micros(value: float | int | Decimal | None) -> datetime | None:
+    """To the nearest microsecond; a tie goes up for a quantile (float) and down for a mean (Decimal)."""
     if value is None:
         return None
-    if isinstance(value, float):
-        value = math.copysign(math.floor(abs(value) + 0.5), value)
-    return EPOCH + timedelta(microseconds=int(value))
+    ties = ROUND_HALF_DOWN if isinstance(value, Decimal) else ROUND_HALF_UP
+    return EPOCH + timedelta(microseconds=int(Decimal(value).to_integral_value(ties)))
 
 
 def numeric_columns(df: DataFrame) -> list[str]:

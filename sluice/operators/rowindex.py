@@ -3,39 +3,45 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from sluice import session
-from sluice.sources.delimited import LENGTH, ORIGIN, PATH, ROW, START
+from sluice.sources.delimited import LENGTH, ORIGIN, PATH, ROW, START, quoted
 
 INDEX = "index"
 CHUNK = "chunk_id"
+ROWS, FIRST, LAST, BEFORE, KEY = "__rows", "__first", "__last", "__before", "__split"
 SPLIT_BYTES = 128  # one row of the broadcast split table, with hash overhead
 BROADCAST_LIMIT = 128 * 1024 * 1024
 
 
-def split_offsets(df: DataFrame, scope: Mapping[str, Column]) -> DataFrame:
-    """One row per file split: its first and last row number, and the rows before it.
+def count_splits(df: DataFrame, scope: Mapping[str, Column]) -> DataFrame:
+    """One row per file split: its number of rows, and its first and last row number.
 
-    The counting pass needs no cell of the file. Its result is one row per
-    split, is written to the shared checkpoint folder and read from there.
+    The counting pass needs no cell of the file. Its result is one small row
+    per split, written to the shared checkpoint folder and read from there.
     """
     session.shared_dir(df.sparkSession)
     session.pin_split_plan(df.sparkSession)
-    splits = (
+    return (
         df.groupBy(PATH, START, LENGTH)
-        .agg(F.count(F.lit(1)).alias("n"), F.min(ROW).alias("first"), F.max(ROW).alias("last"))
+        .agg(F.count(F.lit(1)).alias(ROWS), F.min(ROW).alias(FIRST), F.max(ROW).alias(LAST))
         .withColumns(dict(scope))
         .checkpoint()
     )
+
+
+def rows_before(scope: Mapping[str, Column]) -> Column:
+    """Rows in all earlier splits of the same index."""
     in_order = (
         Window.partitionBy(*[F.col(c) for c in scope] or [F.lit(0)])
         .orderBy(PATH, START)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    return splits.withColumn("before", F.coalesce(F.sum("n").over(in_order), F.lit(0)))
+    return F.coalesce(F.sum(ROWS).over(in_order), F.lit(0))
 
 
 def add_row_index(
@@ -57,27 +63,31 @@ def add_row_index(
     """
     per_file = scope is None
     scope = {PATH: F.col(PATH)} if per_file else dict(scope)
-    offsets = split_offsets(df, scope)
+    data = [c for c in df.columns if c not in ORIGIN]
+    taken = sorted({INDEX, *scope} & set(data))
+    if taken:
+        raise ValueError(f"the file already has columns named {taken}")
+    splits = count_splits(df, scope)
 
     key = F.xxhash64(PATH, START, LENGTH)
-    size = offsets.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(key).alias("hashes")).first()
-    named = offsets.select(
-        F.col(PATH).alias("o_path"), F.col(START).alias("o_start"), F.col(LENGTH).alias("o_length"),
-        key.alias("o_key"), "first", "last", "before", *([] if per_file else scope),
+    size = splits.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(key).alias("hashes")).first()
+    # While no two splits share a hash, the hash alone is an exact key and keeps the table small.
+    on = {KEY: key} if size.n == size.hashes else {f"{KEY}_{c}": F.col(c) for c in (PATH, START, LENGTH)}
+    offsets = splits.select(
+        *[column.alias(name) for name, column in on.items()],
+        *([] if per_file else scope),
+        FIRST,
+        LAST,
+        rows_before(scope).alias(BEFORE),
     )
-    if size.n == size.hashes:  # no two splits share a hash, so the hash alone is an exact key
-        named = named.drop("o_path", "o_start", "o_length")
-        match = key == F.col("o_key")
-    else:
-        match = (F.col(PATH) == F.col("o_path")) & (F.col(START) == F.col("o_start")) & (F.col(LENGTH) == F.col("o_length"))
-    small = size.n * SPLIT_BYTES <= broadcast_limit
-    joined = df.join(F.broadcast(named) if small else named.hint("merge"), match, "left")
-
-    index = F.when(F.col(ROW).between(F.col("first"), F.col("last")), F.col("before") + F.col(ROW) - F.col("first"))
+    fits = size.n * SPLIT_BYTES <= broadcast_limit
+    match = reduce(lambda a, b: a & b, [column == F.col(name) for name, column in on.items()])
+    joined = df.join(F.broadcast(offsets) if fits else offsets.hint("merge"), match, "left")
+
+    index = F.when(F.col(ROW).between(F.col(FIRST), F.col(LAST)), F.col(BEFORE) + F.col(ROW) - F.col(FIRST))
     changed = F.raise_error(F.concat(F.lit("the file splits changed between two passes over "), F.col(PATH)))
     front = [] if per_file else [F.col(c) for c in scope]
-    data = [F.col("`" + c.replace("`", "``") + "`") for c in df.columns if c not in ORIGIN and c not in scope]
-    return joined.select(*front, F.coalesce(index, changed).alias(INDEX), *data, F.col(PATH))
+    return joined.select(*front, F.coalesce(index, changed).alias(INDEX), *[quoted(c) for c in data], PATH)
 
 
 def without_origin(df: DataFrame) -> DataFrame:

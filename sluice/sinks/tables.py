@@ -27,9 +27,9 @@ def _column_list(df: DataFrame) -> str:
     return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in df.schema)
 
 
-def _write_counted(df: DataFrame, path: str, mode: str) -> int:
+def _write_counted(df: DataFrame, path: str) -> int:
     counted = Observation()
-    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.mode(mode).parquet(path)
+    df.observe(counted, F.count(F.lit(1)).alias("rows")).write.parquet(path)
     return counted.get["rows"]
 
 
@@ -43,17 +43,18 @@ def replace_table(df: DataFrame, table: str, folder: str) -> Loaded:
     """
     spark = df.sparkSession
     location = f"{folder.rstrip('/')}/{table.replace('`', '')}/v-{uuid.uuid4().hex}"
-    rows = _write_counted(df, location, "errorifexists")
+    rows = _write_counted(df, location)
+    place = location.replace("'", "\\'")
     old = None
     if spark.catalog.tableExists(table):
         old = table_location(spark, table)
         same = [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in df.schema]
         if same:
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+            spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
             spark.catalog.refreshTable(table)
             return Loaded(rows, location, old)
         spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"CREATE TABLE {table} ({_column_list(df)}) USING parquet LOCATION '{location}'")
+    spark.sql(f"CREATE TABLE {table} ({_column_list(df)}) USING parquet LOCATION '{place}'")
     return Loaded(rows, location, old)
 
 

@@ -54,7 +54,7 @@ def read_header(spark: SparkSession, file: str) -> list[str]:
     lines = [r.value for r in spark.read.text(literal_path(file)).take(HEADER_LINES)]
     if not lines:
         raise ValueError(f"no header in {file}")
-    lines[0] = lines[0].removeprefix("﻿")
+    lines[0] = lines[0].removeprefix("\ufeff")
     record = next(csv.reader(line + "\n" for line in lines if line.strip()))
     names: list[str] = []
     seen: dict[str, int] = defaultdict(int)
@@ -155,6 +155,7 @@ def read_delimited(
     headers: str = "each",
     multi_line: bool | None = None,
     bad_timestamp: str = "raise",
+    whole_records: bool = False,
     origin: bool = False,
 ) -> DataFrame:
     """Read plain or gzipped files into one typed frame.
@@ -169,6 +170,10 @@ def read_delimited(
 
     ``bad_timestamp="text"`` leaves a timestamp column as text when any of its
     cells does not fit, decided once for the whole source by an extra pass.
+
+    Columns nobody selects are not parsed, so their cells and the width of
+    their records are not checked either. A load selects all columns and checks
+    everything; ``whole_records=True`` checks widths for any selection.
     """
     session.prefer_compiled_methods(spark)
     files = list_files(spark, paths)
@@ -187,6 +192,8 @@ def read_delimited(
         names = header if verify else [f"c{i}" for i in range(len(header))]
         target = paths if len(groups) == 1 else [literal_path(f) for f in members]
         source = spark.read.schema(raw_schema(names)).options(**csv_options(spans, verify))
+        if whole_records:
+            source = source.option("columnPruning", False)
         raw = with_origin(source.csv(target if isinstance(target, str) else list(target)), spans)
         parts.append((numbered(raw) if origin else raw, header))
 

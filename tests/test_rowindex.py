@@ -1,0 +1,134 @@
+"""Row index over many splits, and chunks."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.functions.contract import Contract
+from sluice.operators import rowindex
+from sluice.sources.delimited import PATH, read_delimited
+
+KV = Contract.of({"k": "bigint", "v": "string"})
+
+
+def lines(n, start=0, seed=0):
+    pick = random.Random(seed)
+    out = ["k,v"]
+    for k in range(start, start + n):
+        out.append(f"{k},{'x' * pick.randint(0, 60)}")
+        if pick.random() < 0.02:
+            out.append(pick.choice(["", "  ", "\t"]))
+    return "\n".join(out) + "\n"
+
+
+def index(spark, paths, scope=None, **options):
+    limit = options.pop("broadcast_limit", rowindex.BROADCAST_LIMIT)
+    df = read_delimited(spark, paths, KV, origin=True, **options)
+    return rowindex.add_row_index(df, scope, broadcast_limit=limit)
+
+
+def wrong(df):
+    return df.where(F.col("index") != F.col("k")).count()
+
+
+@pytest.mark.parametrize("split", [2_000, 16_384, 1_000_000])
+@pytest.mark.parametrize("limit", [rowindex.BROADCAST_LIMIT, 0])
+def test_index_is_the_line_number_whatever_the_splits(spark, put, setting, split, limit):
+    setting("spark.sql.files.maxPartitionBytes", str(split))
+    path = put("many.csv", lines(5000))
+    df = index(spark, path, broadcast_limit=limit)
+    assert df.count() == 5000 and wrong(df) == 0
+    assert df.columns == ["index", "k", "v", PATH]
+
+
+def test_gzip_with_newlines_in_quotes(spark, put):
+    text = "k,v\n" + "".join(f'{k},"a\n{k}"\n' + ("  \n" if k % 7 == 0 else "") for k in range(3000))
+    df = index(spark, put("g.csv.gz", text))
+    assert df.count() == 3000 and wrong(df) == 0
+
+
+def test_each_file_has_its_own_index(spark, put, setting):
+    setting("spark.sql.files.maxPartitionBytes", "8192")
+    paths = [put(f"d/{name}", lines(n, seed=n)) for name, n in [("a.csv", 1), ("b.csv", 3000), ("c.csv.gz", 500), ("d.csv", 0)]]
+    df = index(spark, paths)
+    assert wrong(df) == 0
+    sizes = {r[PATH].rsplit("/", 1)[1]: r["count"] for r in df.groupBy(PATH).count().collect()}
+    assert sizes == {"a.csv": 1, "b.csv": 3000, "c.csv.gz": 500}
+
+
+def test_one_index_over_all_parts_of_a_source(spark, put, setting):
+    setting("spark.sql.files.maxPartitionBytes", "4096")
+    put("p/part-00000.csv", lines(700))
+    put("p/part-00001.csv", lines(1, start=700))
+    folder = put("p/part-00002.csv", lines(2000, start=701)).rsplit("/", 1)[0]
+    df = index(spark, folder, {})
+    assert df.count() == 2701 and wrong(df) == 0
+
+
+def test_index_within_a_scope_of_the_path(spark, put):
+    put("m/ym=1/part-0.csv", lines(10))
+    put("m/ym=1/part-1.csv", lines(5, start=10))
+    put("m/ym=2/part-0.csv", lines(4))
+    base = put("m/_x", "").rsplit("/", 1)[0]
+    df = index(spark, [f"{base}/ym=1", f"{base}/ym=2"], {"ym": F.regexp_extract(PATH, r"ym=(\d)", 1)})
+    assert df.columns[:2] == ["ym", "index"] and wrong(df) == 0
+    assert {r.ym: r["count"] for r in df.groupBy("ym").count().collect()} == {"1": 15, "2": 4}
+
+
+def test_files_with_different_headers_are_indexed_together(spark, put):
+    one, two = put("h/1.csv", "k,v\n0,a\n1,b\n"), put("h/2.csv", "v,k\nc,0\nd,1\n")
+    assert wrong(index(spark, [one, two])) == 0
+
+
+def test_other_splits_in_the_second_pass_fail(spark, put, setting):
+    path = put("s.csv", lines(5000))
+    setting("spark.sql.files.maxPartitionBytes", "20000")
+    df = index(spark, path)
+    setting("spark.sql.files.maxPartitionBytes", "9000")
+    with pytest.raises(Exception, match="file splits changed"):
+        df.select("index").collect()
+
+
+def test_counting_pass_reads_no_cells(spark, put, capsys):
+    df = read_delimited(spark, put("c.csv", lines(10)), KV, origin=True)
+    df.groupBy(PATH).count().explain()
+    assert "ReadSchema: struct<>" in capsys.readouterr().out
+
+
+def test_offsets_are_broadcast_and_rows_do_not_move(spark, put, capsys):
+    index(spark, put("b.csv", lines(10))).explain()
+    plan = capsys.readouterr().out
+    big_side = plan.split("BroadcastExchange")[0]
+    assert "BroadcastHashJoin" in plan and "Exchange" not in big_side
+
+
+def test_name_clash_is_refused(spark, put):
+    with pytest.raises(ValueError, match="index"):
+        index(spark, put("n.csv", "index,v\n1,a\n"))
+
+
+def test_data_columns_may_have_any_other_name(spark, put):
+    path = put("names.csv", "k,v,first,last,n,before,rows\n0,a,b,c,d,e,f\n")
+    assert index(spark, path).drop(PATH).first()[1:] == (0, "a", "b", "c", "d", "e", "f")
+
+
+@pytest.mark.parametrize("size", [1, 7, 100, 5000])
+def test_chunks_are_full_but_the_last_and_add_up(spark, put, size):
+    n = 1000
+    counts = rowindex.chunk_counts(index(spark, put("k.csv", lines(n))), size).collect()
+    by_chunk = {r.chunk_id: r.inserted for r in counts}
+    assert sorted(by_chunk) == list(range(-(-n // size)))
+    assert sum(by_chunk.values()) == n
+    assert all(by_chunk[c] == size for c in range(n // size))
+
+
+def test_chunk_size_must_be_positive(spark, put):
+    with pytest.raises(ValueError):
+        rowindex.chunk_counts(index(spark, put("z.csv", lines(3))), 0)
+
+
+def test_head(spark, put):
+    df = index(spark, put("hd.csv", lines(50)))
+    assert sorted(r.k for r in rowindex.head(df).collect()) == [0, 1, 2, 3, 4]
+    assert rowindex.head(df, 0).count() == 0 and rowindex.head(df, 99).count() == 50
