@@ -5,19 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sluice.sources.delimited import decoded
 
 def file_inventory(spark: SparkSession, folder: str, exclude: str | None = None) -> DataFrame:
     """``name``, ``size`` and UTF-8 ``content`` of the files directly in a folder.
 
-    ``exclude`` drops one name before any file is opened, and contents are read
-    only when selected. Folders, and names that start with ``_`` or ``.``, are
-    not listed. Bytes that are not UTF-8 fail the read.
+    ``exclude`` drops one name. Contents are read only when selected. Folders,
+    and names that start with ``_`` or ``.``, are not listed. Bytes that are not
+    UTF-8 fail the read.
+
+    Spark's file sources list empty files but give no row for them; when the
+    counts differ, those names are added.
     """
-    files = spark.read.format("binaryFile").load(folder)
-    if exclude is not None:
-        files = files.where(F.col("_metadata.file_name") != exclude)
-    return files.select(
-        F.col("_metadata.file_name").alias("name"),
+    listed = spark.read.format("binaryFile").load(folder)
+    found = listed.select(
+        F.substring_index("path", "/", -1).alias("name"),
         F.col("length").alias("size"),
         F.decode("content", "UTF-8").alias("content"),
     )
+    names = [decoded(f).rsplit("/", 1)[1] for f in listed.inputFiles()]
+    if len(names) > listed.select("length").count():
+        every = spark.createDataFrame([(n,) for n in names], "name string")
+        empty = every.join(found.select("name"), "name", "left_anti")
+        found = found.unionByName(empty.select("name", F.lit(0).cast("bigint").alias("size"), F.lit("").alias("content")))
+    return found if exclude is None else found.where(F.col("name") != exclude)

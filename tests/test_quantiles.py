@@ -23,14 +23,16 @@ def numbers(kind, n, seed):
     return [5.0] * n
 
 
-@pytest.mark.parametrize("kind", ["uniform", "hot", "few", "same"])
-@pytest.mark.parametrize("accuracy,few_rows", [(10_000, 20_000), (20, 0), (3, 0), (50, 10)])
+@pytest.mark.parametrize(
+    "kind,accuracy,few_rows",
+    [("uniform", 10_000, 20_000), ("uniform", 20, 0), ("hot", 10_000, 20_000), ("hot", 50, 10), ("few", 20, 0), ("same", 3, 0)],
+)
 def test_exact_whatever_the_approximation_proposes(spark, kind, accuracy, few_rows):
-    data = numbers(kind, 3001, seed=accuracy)
+    data = numbers(kind, 601, seed=accuracy)
     df = spark.createDataFrame([(x,) for x in data], "x double").repartition(5)
-    probabilities = (0.0, 0.013, 0.25, 0.5, 0.75, 0.999, 1.0)
+    probabilities = (0.0, 0.25, 0.5, 0.993, 1.0)
     got = summarize(df, {"x": F.col("x")}, probabilities, accuracy=accuracy, few_rows=few_rows)["x"]
-    assert got.n == 3001 and got.min == min(data) and got.max == max(data)
+    assert got.n == 601 and got.min == min(data) and got.max == max(data)
     assert got.quantiles == pytest.approx(np.quantile(data, probabilities), rel=1e-12)
 
 
