@@ -77,8 +77,7 @@ def page_files(spark: SparkSession, sf_dir: str) -> str:
 
 def indexed(spark: SparkSession, folder: str, contract: Contract) -> DataFrame:
     """All parts of a folder as one source, numbered in path order."""
-    rows = read_delimited(spark, folder, contract, headers="first", origin=True)
-    return rowindex.without_origin(rowindex.add_row_index(rows, {}))
+    return rowindex.read_indexed(spark, folder, contract, {}, headers="first")
 
 
 def new_table() -> str:

@@ -3,31 +3,46 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from sluice import session
-from sluice.sources.delimited import LENGTH, ORIGIN, PATH, ROW, START, quoted
+from sluice.functions.contract import Contract
+from sluice.sources.delimited import (
+    LENGTH,
+    ORIGIN,
+    PATH,
+    ROW,
+    START,
+    conform,
+    kept_as_text,
+    numbered,
+    read_parts,
+    union_by_name,
+)
 
 INDEX = "index"
 CHUNK = "chunk_id"
 ROWS, FIRST, LAST, BEFORE, KEY = "__rows", "__first", "__last", "__before", "__split"
+ROWS_PER_TASK = 1 << 33  # monotonically_increasing_id counts each task from a multiple of this
 SPLIT_BYTES = 128  # one row of the broadcast split table, with hash overhead
 BROADCAST_LIMIT = 128 * 1024 * 1024
 
 
-def count_splits(df: DataFrame, scope: Mapping[str, Column]) -> DataFrame:
+def count_splits(raws: Sequence[DataFrame], scope: Mapping[str, Column]) -> DataFrame:
     """One row per file split: its number of rows, and its first and last row number.
 
     The counting pass needs no cell of the file. Its result is one small row
     per split, written to the shared checkpoint folder and read from there.
     """
-    session.shared_dir(df.sparkSession)
-    session.pin_split_plan(df.sparkSession)
+    session.shared_dir(raws[0].sparkSession)
+    session.pin_split_plan(raws[0].sparkSession)
     return (
-        df.groupBy(PATH, START, LENGTH)
+        union_by_name([raw.select(*ORIGIN) for raw in raws])
+        .groupBy(PATH, START, LENGTH)
         .agg(F.count(F.lit(1)).alias(ROWS), F.min(ROW).alias(FIRST), F.max(ROW).alias(LAST))
         .withColumns(dict(scope))
         .checkpoint()
@@ -44,54 +59,78 @@ def rows_before(scope: Mapping[str, Column]) -> Column:
     return F.coalesce(F.sum(ROWS).over(in_order), F.lit(0))
 
 
-def add_row_index(
-    df: DataFrame,
+def one_split(df: DataFrame) -> bool:
+    """Whether a single task reads the whole source, as for one month in one gzip file."""
+    return len(df.inputFiles()) == 1 and df.rdd.getNumPartitions() == 1
+
+
+def number_rows(
+    raws: Sequence[DataFrame],
     scope: Mapping[str, Column] | None = None,
-    *,
     broadcast_limit: int = BROADCAST_LIMIT,
-) -> DataFrame:
-    """Put ``index`` in front of a frame read with its origin columns.
-
-    Rows are numbered 0..n-1 in file order. By default every file has its own
-    index. ``scope`` names columns computed from the file path (``PATH``);
-    files that agree on them share one index, in path order, and the columns
-    are put in front as well. An empty scope numbers the whole source.
+) -> list[DataFrame]:
+    """Give frames of text cells an ``index`` column, and the columns of the scope.
 
     No row moves: split offsets are joined back by broadcast while they fit
     ``broadcast_limit`` bytes, by a shuffle join beyond that. A source that is
     split differently by the two passes fails instead of getting a wrong index.
+    A source that is one file in one split is not counted first.
     """
-    per_file = scope is None
-    scope = {PATH: F.col(PATH)} if per_file else dict(scope)
-    data = [c for c in df.columns if c not in ORIGIN]
-    taken = sorted({INDEX, *scope} & set(data))
-    if taken:
-        raise ValueError(f"the file already has columns named {taken}")
-    splits = count_splits(df, scope)
-
+    changed = F.raise_error(F.concat(F.lit("the file splits changed between two passes over "), F.col(PATH)))
+    raws = [numbered(raw) for raw in raws]
+    if not scope and len(raws) == 1 and one_split(raws[0]):  # the task's row numbers are the index
+        index = F.when(F.col(ROW) < ROWS_PER_TASK, F.col(ROW)).otherwise(changed)
+        return [raws[0].withColumn(INDEX, index)]
+
+    added = {} if scope is None else dict(scope)
+    within = {PATH: F.col(PATH)} if scope is None else added
+    splits = count_splits(raws, within)
     key = F.xxhash64(PATH, START, LENGTH)
     size = splits.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(key).alias("hashes")).first()
     # While no two splits share a hash, the hash alone is an exact key and keeps the table small.
     on = {KEY: key} if size.n == size.hashes else {f"{KEY}_{c}": F.col(c) for c in (PATH, START, LENGTH)}
     offsets = splits.select(
-        *[column.alias(name) for name, column in on.items()],
-        *([] if per_file else scope),
-        FIRST,
-        LAST,
-        rows_before(scope).alias(BEFORE),
+        *[column.alias(name) for name, column in on.items()], *added, FIRST, LAST, rows_before(within).alias(BEFORE)
     )
     fits = size.n * SPLIT_BYTES <= broadcast_limit
     match = reduce(lambda a, b: a & b, [column == F.col(name) for name, column in on.items()])
-    joined = df.join(F.broadcast(offsets) if fits else offsets.hint("merge"), match, "left")
-
     index = F.when(F.col(ROW).between(F.col(FIRST), F.col(LAST)), F.col(BEFORE) + F.col(ROW) - F.col(FIRST))
-    changed = F.raise_error(F.concat(F.lit("the file splits changed between two passes over "), F.col(PATH)))
-    front = [] if per_file else [F.col(c) for c in scope]
-    return joined.select(*front, F.coalesce(index, changed).alias(INDEX), *[quoted(c) for c in data], PATH)
+    return [
+        raw.join(F.broadcast(offsets) if fits else offsets.hint("merge"), match, "left")
+        .withColumn(INDEX, F.coalesce(index, changed))
+        for raw in raws
+    ]
 
 
-def without_origin(df: DataFrame) -> DataFrame:
-    return df.drop(*ORIGIN)
+def read_indexed(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    contract: Contract,
+    scope: Mapping[str, Column] | None = None,
+    *,
+    headers: str = "each",
+    multi_line: bool | None = None,
+    bad_timestamp: str = "raise",
+    with_path: bool = False,
+    broadcast_limit: int = BROADCAST_LIMIT,
+) -> DataFrame:
+    """Typed rows of delimited files with ``index`` in front: 0..n-1 in file order.
+
+    By default every file has its own index. ``scope`` names columns computed
+    from the file path (``PATH``); files that agree on them share one index, in
+    path order, and the columns are put in front as well. An empty scope
+    numbers the whole source. Other options are those of ``read_delimited``.
+    """
+    parts = read_parts(spark, paths, contract, headers=headers, multi_line=multi_line)
+    as_text = kept_as_text(parts, contract, bad_timestamp)
+    front = [*(scope or {}), INDEX]
+    for part in parts:
+        taken = sorted(set(front) & set(part.header))
+        if taken:
+            raise ValueError(f"the file already has columns named {taken}")
+    numbered_parts = zip(parts, number_rows([p.raw for p in parts], scope, broadcast_limit))
+    after = [PATH] if with_path else []
+    return union_by_name([conform(replace(p, raw=raw), contract, as_text, front, after) for p, raw in numbered_parts])
 
 
 def with_chunk_id(df: DataFrame, chunk_size: int) -> DataFrame:

@@ -10,7 +10,6 @@ from sluice.functions.contract import TRIPS, Contract
 from sluice.operators import rowindex
 from sluice.sinks import jdbc, parquet, tables
 from sluice.sources import literals
-from sluice.sources.delimited import read_delimited
 from sluice.sources.months import TRIPS_FILE, Month, month_paths, read_months
 
 
@@ -47,7 +46,7 @@ class IngestReport:
     chunks: DataFrame
 
 
-def read_indexed(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
+def read_source(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
     """Typed rows with ``index`` in front; several months also carry ``year`` and ``month``."""
     first, options = (cfg.year, cfg.month), {
         "headers": cfg.headers,
@@ -56,9 +55,7 @@ def read_indexed(spark: SparkSession, cfg: IngestConfig) -> DataFrame:
     }
     if cfg.last is not None:
         return read_months(spark, cfg.source, first, cfg.last, contract=cfg.contract, **options)
-    paths = month_paths(cfg.source, first)
-    df = read_delimited(spark, paths, cfg.contract, origin=True, **options)
-    return rowindex.without_origin(rowindex.add_row_index(df, {}))
+    return rowindex.read_indexed(spark, month_paths(cfg.source, first), cfg.contract, {}, **options)
 
 
 def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
@@ -66,7 +63,7 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
 
     The counts come from the loaded table, not from what was sent.
     """
-    df = read_indexed(spark, cfg)
+    df = read_source(spark, cfg)
     if cfg.writers is not None:
         df = df.repartition(cfg.writers, rowindex.INDEX)
     if cfg.connection is not None:

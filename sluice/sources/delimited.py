@@ -11,6 +11,7 @@ import csv
 from collections import defaultdict
 from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import dataclass
 from functools import reduce
 from urllib.parse import unquote, urlsplit
 
@@ -26,6 +27,7 @@ from sluice.functions.contract import Contract
 PATH, START, LENGTH, ROW = "__path", "__start", "__length", "__row"
 ORIGIN = (PATH, START, LENGTH, ROW)
 MALFORMED = "__malformed"
+TOO_LONG = "__too_long"
 HEADER_LINES = 64
 
 
@@ -89,14 +91,19 @@ def csv_options(multi_line: bool, verify_header: bool) -> dict[str, object]:
 
 
 def with_origin(raw: DataFrame, multi_line: bool) -> DataFrame:
-    """Drop blank records and keep the file and split each record came from."""
+    """Drop blank records; note the file and split of each record and what is wrong with its width."""
+    cells = [c for c in raw.columns if c != MALFORMED]
     if multi_line:  # the line-by-line reader has skipped blank lines already
-        blank = quoted(raw.columns[0]).rlike(r"^\s+$")
-        if len(raw.columns) > 2:
+        blank = quoted(cells[0]).rlike(r"^\s+$")
+        if len(cells) > 1:
             blank = blank & F.coalesce(F.col(MALFORMED).rlike(r"^\s+$"), F.lit(False))
         raw = raw.where(~F.coalesce(blank, F.lit(False)))
+    outside_quotes = F.regexp_replace(MALFORMED, r'"[^"]*"', "")
+    fields = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","), F.lit(""))) + 1
+    complaint = F.concat(F.lit(f"expected {len(cells)} fields, saw "), fields, F.lit(": "), MALFORMED)
     return raw.select(
-        "*",
+        *[quoted(c) for c in cells],
+        F.when(F.col(MALFORMED).isNotNull() & (fields > len(cells)), complaint).alias(TOO_LONG),
         F.input_file_name().alias(PATH),
         F.input_file_block_start().alias(START),
         F.input_file_block_length().alias(LENGTH),
@@ -107,19 +114,22 @@ def numbered(raw: DataFrame) -> DataFrame:
     return raw.withColumn(ROW, F.monotonically_increasing_id())
 
 
-def conform(raw: DataFrame, header: Sequence[str], contract: Contract, as_text: Sequence[str] = ()) -> DataFrame:
-    """Type every cell of a raw frame; origin columns pass through."""
-    where = F.col(PATH)
-    outside_quotes = F.regexp_replace(MALFORMED, r'"[^"]*"', "")
-    fields = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","), F.lit(""))) + 1
-    too_long = F.col(MALFORMED).isNotNull() & (fields > len(header))
-    complaint = F.raise_error(
-        F.concat(F.lit(f"expected {len(header)} fields, saw "), fields, F.lit(": "), MALFORMED, F.lit(" (file "), where, F.lit(")"))
-    )
+@dataclass(frozen=True)
+class Part:
+    """Files of one layout: their cells as text, the names of the cells, the names in the header."""
+
+    raw: DataFrame
+    cells: tuple[str, ...]
+    header: tuple[str, ...]
+
+
+def conform(part: Part, contract: Contract, as_text: Sequence[str] = (), before: Sequence[str] = (), after: Sequence[str] = ()) -> DataFrame:
+    """Type every cell of a part, between other columns of its frame that are kept."""
+    where, too_long = F.col(PATH), F.col(TOO_LONG)
+    complaint = F.raise_error(F.concat(too_long, F.lit(" (file "), where, F.lit(")")))
 
-    def typed(position: int, name: str) -> Column:
-        text = quoted(raw.columns[position])
-        kind = contract.kind(name)
+    def typed(cell: str, name: str) -> Column:
+        text, kind = quoted(cell), contract.kind(name)
         if kind == "bigint":
             value = parsing.parse_bigint(name, text, where)
         elif kind == "double":
@@ -128,23 +138,71 @@ def conform(raw: DataFrame, header: Sequence[str], contract: Contract, as_text:
             value = parsing.parse_timestamp(name, text, where, contract.timestamps[name])
         else:
             value = parsing.parse_string(text)
-        return F.when(too_long, complaint).otherwise(value).alias(name)
+        return F.when(too_long.isNotNull(), complaint).otherwise(value).alias(name)
 
-    origin = [c for c in raw.columns if c in ORIGIN]
-    return raw.select(*[typed(i, n) for i, n in enumerate(header)], *origin)
+    return part.raw.select(*before, *[typed(c, n) for c, n in zip(part.cells, part.header)], *after)
 
 
-def untyped_timestamps(raw: DataFrame, header: Sequence[str], contract: Contract) -> list[str]:
-    """Timestamp columns with at least one cell that does not fit, over the whole source."""
-    names = [n for n in header if n in contract.timestamps]
-    if not names:
-        return []
+def untyped_timestamps(part: Part, contract: Contract) -> set[str]:
+    """Timestamp columns with at least one cell that does not fit."""
     bad = {
-        n: parsing.is_bad_timestamp(quoted(raw.columns[header.index(n)]), contract.timestamps[n])
-        for n in names
+        name: parsing.is_bad_timestamp(quoted(cell), contract.timestamps[name])
+        for cell, name in zip(part.cells, part.header)
+        if name in contract.timestamps
     }
-    found = raw.agg(*[F.bool_or(b).alias(f"b{i}") for i, b in enumerate(bad.values())]).first()
-    return [n for n, hit in zip(names, found) if hit]
+    if not bad:
+        return set()
+    found = part.raw.agg(*[F.bool_or(b).alias(f"b{i}") for i, b in enumerate(bad.values())]).first()
+    return {name for name, hit in zip(bad, found) if hit}
+
+
+def read_parts(
+    spark: SparkSession,
+    paths: str | Sequence[str],
+    contract: Contract,
+    *,
+    headers: str = "each",
+    multi_line: bool | None = None,
+    whole_records: bool = False,
+) -> list[Part]:
+    """The files as text cells, one part per layout."""
+    if headers not in ("each", "first"):
+        raise ValueError(f"headers must be 'each' or 'first', not {headers!r}")
+    session.prefer_compiled_methods(spark)
+    files = list_files(spark, paths)
+    known = read_headers(spark, files if headers == "each" else files[:1])
+
+    groups: dict[tuple[bool, tuple[str, ...]], list[str]] = defaultdict(list)
+    for file in files:
+        layout = known[file] if headers == "each" else known[files[0]]
+        spans = file.endswith(".gz") if multi_line is None else multi_line
+        groups[spans, layout].append(file)
+
+    parts = []
+    for (spans, header), members in groups.items():
+        contract.require(header)
+        verify = headers == "first"
+        cells = header if verify else tuple(f"c{i}" for i in range(len(header)))
+        source = spark.read.schema(raw_schema(cells)).options(**csv_options(spans, verify))
+        if whole_records:
+            source = source.option("columnPruning", False)
+        target = paths if len(groups) == 1 else [literal_path(f) for f in members]
+        raw = source.csv(target if isinstance(target, str) else list(target))
+        parts.append(Part(with_origin(raw, spans), cells, header))
+    return parts
+
+
+def kept_as_text(parts: Sequence[Part], contract: Contract, bad_timestamp: str) -> tuple[str, ...]:
+    """Timestamp columns to leave as text, decided over all parts."""
+    if bad_timestamp == "raise":
+        return ()
+    if bad_timestamp != "text":
+        raise ValueError(f"bad_timestamp must be 'raise' or 'text', not {bad_timestamp!r}")
+    return tuple(sorted(set().union(*[untyped_timestamps(p, contract) for p in parts])))
+
+
+def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def read_delimited(
@@ -156,7 +214,6 @@ def read_delimited(
     multi_line: bool | None = None,
     bad_timestamp: str = "raise",
     whole_records: bool = False,
-    origin: bool = False,
 ) -> DataFrame:
     """Read plain or gzipped files into one typed frame.
 
@@ -175,35 +232,6 @@ def read_delimited(
     their records are not checked either. A load selects all columns and checks
     everything; ``whole_records=True`` checks widths for any selection.
     """
-    session.prefer_compiled_methods(spark)
-    files = list_files(spark, paths)
-    known = read_headers(spark, files if headers == "each" else files[:1])
-
-    groups: dict[tuple[bool, tuple[str, ...]], list[str]] = defaultdict(list)
-    for file in files:
-        layout = known[file] if headers == "each" else known[files[0]]
-        spans = file.endswith(".gz") if multi_line is None else multi_line
-        groups[spans, layout].append(file)
-
-    parts = []
-    for (spans, header), members in groups.items():
-        contract.require(header)
-        verify = headers == "first"
-        names = header if verify else [f"c{i}" for i in range(len(header))]
-        target = paths if len(groups) == 1 else [literal_path(f) for f in members]
-        source = spark.read.schema(raw_schema(names)).options(**csv_options(spans, verify))
-        if whole_records:
-            source = source.option("columnPruning", False)
-        raw = with_origin(source.csv(target if isinstance(target, str) else list(target)), spans)
-        parts.append((numbered(raw) if origin else raw, header))
-
-    as_text: set[str] = set()
-    if bad_timestamp == "text":
-        for raw, header in parts:
-            as_text.update(untyped_timestamps(raw, header, contract))
-    elif bad_timestamp != "raise":
-        raise ValueError(f"bad_timestamp must be 'raise' or 'text', not {bad_timestamp!r}")
-
-    frames = [conform(raw, header, contract, tuple(as_text)) for raw, header in parts]
-    frames = [f if origin else f.drop(*ORIGIN) for f in frames]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    parts = read_parts(spark, paths, contract, headers=headers, multi_line=multi_line, whole_records=whole_records)
+    as_text = kept_as_text(parts, contract, bad_timestamp)
+    return union_by_name([conform(p, contract, as_text) for p in parts])

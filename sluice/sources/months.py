@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.contract import Contract
 from sluice.operators import rowindex
-from sluice.sources.delimited import PATH, read_delimited
+from sluice.sources.delimited import PATH
 
 Month = tuple[int, int]
 
@@ -55,13 +55,12 @@ def read_months(
 
     Only the paths of the asked months are listed and read.
     """
-    df = read_delimited(
+    return rowindex.read_indexed(
         spark,
         month_paths(template, first, last),
         contract,
+        month_of_path(template, F.col(PATH)),
         headers=headers,
         multi_line=multi_line,
         bad_timestamp=bad_timestamp,
-        origin=True,
     )
-    return rowindex.without_origin(rowindex.add_row_index(df, month_of_path(template, F.col(PATH))))

@@ -57,7 +57,7 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
 def start(spark: SparkSession, load: StreamLoad) -> StreamingQuery:
     """Load all files present and not yet loaded under this checkpoint, then stop."""
     files = spark.read.option("recursiveFileLookup", True).text(load.source).inputFiles()
-    header = delimited.read_header(spark, delimited.decoded(min(files)))
+    header = tuple(delimited.read_header(spark, delimited.decoded(min(files))))
     load.contract.require(header)
     session.prefer_compiled_methods(spark)
     raw = (
@@ -70,9 +70,9 @@ def start(spark: SparkSession, load: StreamLoad) -> StreamingQuery:
     located = delimited.with_origin(raw, load.multi_line)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
-        typed = delimited.conform(delimited.numbered(batch), header, load.contract)
-        indexed = rowindex.add_row_index(typed).withColumnRenamed(PATH, SOURCE)
-        write_batch(indexed, load.target, batch_id)
+        raw = rowindex.number_rows([batch])[0]
+        rows = delimited.conform(delimited.Part(raw, header, header), load.contract, (), [rowindex.INDEX], [PATH])
+        write_batch(rows.withColumnRenamed(PATH, SOURCE), load.target, batch_id)
         written = batch.sparkSession.read.parquet(load.target).where(F.col(BATCH) == batch_id)
         counts = rowindex.chunk_counts(written, load.chunk_size, [SOURCE])
         write_batch(counts, load.audit, batch_id)

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from sluice.functions.contract import Contract
 from sluice.operators import rowindex
-from sluice.sources.delimited import PATH, read_delimited
+from sluice.sources.delimited import ORIGIN, PATH, numbered, read_parts
 
 KV = Contract.of({"k": "bigint", "v": "string"})
 
@@ -23,9 +23,7 @@ def lines(n, start=0, seed=0):
 
 
 def index(spark, paths, scope=None, **options):
-    limit = options.pop("broadcast_limit", rowindex.BROADCAST_LIMIT)
-    df = read_delimited(spark, paths, KV, origin=True, **options)
-    return rowindex.add_row_index(df, scope, broadcast_limit=limit)
+    return rowindex.read_indexed(spark, paths, KV, scope, with_path=True, **options)
 
 
 def wrong(df):
@@ -90,14 +88,25 @@ def test_other_splits_in_the_second_pass_fail(spark, put, setting):
         df.select("index").collect()
 
 
+def test_one_split_is_not_counted_first(spark, put, setting, capsys):
+    path = put("one.csv", lines(5000))
+    df = index(spark, path)
+    df.explain()
+    assert "Join" not in capsys.readouterr().out and df.count() == 5000 and wrong(df) == 0
+    assert wrong(index(spark, put("one.csv.gz", lines(500)), {})) == 0
+    setting("spark.sql.files.maxPartitionBytes", "9000")
+    with pytest.raises(Exception, match="file splits changed"):
+        df.select("index").collect()
+
+
 def test_counting_pass_reads_no_cells(spark, put, capsys):
-    df = read_delimited(spark, put("c.csv", lines(10)), KV, origin=True)
-    df.groupBy(PATH).count().explain()
+    raw = read_parts(spark, put("c.csv", lines(10)), KV)[0].raw
+    numbered(raw).select(*ORIGIN).groupBy(PATH).count().explain()
     assert "ReadSchema: struct<>" in capsys.readouterr().out
 
 
 def test_offsets_are_broadcast_and_rows_do_not_move(spark, put, capsys):
-    index(spark, put("b.csv", lines(10))).explain()
+    index(spark, [put("b.csv", lines(10)), put("c.csv", lines(10))]).explain()
     plan = capsys.readouterr().out
     big_side = plan.split("BroadcastExchange")[0]
     assert "BroadcastHashJoin" in plan and "Exchange" not in big_side
