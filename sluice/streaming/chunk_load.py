@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -54,6 +55,16 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     )
 
 
+def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
+    """The rows one batch wrote, listing that batch's folder only; None if it wrote none."""
+    try:
+        return spark.read.option("basePath", path).parquet(f"{path}/{BATCH}={batch_id}")
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def start(spark: SparkSession, load: StreamLoad) -> StreamingQuery:
     """Load all files present and not yet loaded under this checkpoint, then stop."""
     files = spark.read.option("recursiveFileLookup", True).text(load.source).inputFiles()
@@ -72,9 +83,10 @@ def start(spark: SparkSession, load: StreamLoad) -> StreamingQuery:
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         raw = rowindex.number_rows([batch])[0]
         rows = delimited.conform(delimited.Part(raw, header, header), load.contract, (), [rowindex.INDEX], [PATH])
-        write_batch(rows.withColumnRenamed(PATH, SOURCE), load.target, batch_id)
-        written = batch.sparkSession.read.parquet(load.target).where(F.col(BATCH) == batch_id)
-        counts = rowindex.chunk_counts(written, load.chunk_size, [SOURCE])
+        rows = rows.withColumnRenamed(PATH, SOURCE)
+        write_batch(rows, load.target, batch_id)
+        written = read_batch(batch.sparkSession, load.target, batch_id)
+        counts = rowindex.chunk_counts(rows.limit(0) if written is None else written, load.chunk_size, [SOURCE])
         write_batch(counts, load.audit, batch_id)
 
     return (

@@ -80,6 +80,13 @@ def test_a_batch_that_fails_after_its_write_is_repeated_without_effect(spark, lo
     assert failed and loaded(spark, it) == ALL and chunks(spark, it) == ALL_CHUNKS
 
 
+def test_a_file_with_a_header_only_loads_nothing(spark, load, put):
+    put("in/e/part.csv.gz", "k,v\n")
+    it = load()
+    chunk_load.start(spark, it).awaitTermination()
+    assert loaded(spark, it) == ALL and chunks(spark, it) == ALL_CHUNKS
+
+
 def test_a_file_with_another_header_stops_the_stream(spark, load, put):
     it = load()
     put("in/z/part.csv.gz", "v,k\nz,0\n")
