@@ -5,8 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import types as T
-
 # Accepted type names and the Spark type each one stands for.
 TYPE_NAMES = {
     "Int64": "bigint",
@@ -16,14 +14,6 @@ TYPE_NAMES = {
     "double": "double",
 }
 
-SPARK_TYPES = {
-    "bigint": T.LongType(),
-    "double": T.DoubleType(),
-    "string": T.StringType(),
-    "timestamp_ntz": T.TimestampNTZType(),
-}
-
-
 @dataclass(frozen=True)
 class Contract:
     """A partial schema, bound to a file by header name.
@@ -51,23 +41,6 @@ class Contract:
             timestamps = dict.fromkeys(timestamps)
         return Contract({n: TYPE_NAMES[k] for n, k in types.items()}, dict(timestamps))
 
-    @staticmethod
-    def from_schema(schema: T.StructType) -> Contract:
-        """The contract that reads back a frame of this schema."""
-        types, timestamps = {}, []
-        for field in schema.fields:
-            if isinstance(field.dataType, T.IntegralType):
-                types[field.name] = "bigint"
-            elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
-                types[field.name] = "double"
-            elif isinstance(field.dataType, T.TimestampNTZType):
-                timestamps.append(field.name)
-            elif isinstance(field.dataType, T.StringType):
-                types[field.name] = "string"
-            else:
-                raise ValueError(f"{field.name}: no text form for {field.dataType.simpleString()}")
-        return Contract.of(types, timestamps)
-
     def kind(self, name: str) -> str:
         """Type name for one column of a file."""
         if name in self.timestamps:
@@ -79,9 +52,6 @@ class Contract:
         if missing:
             raise ValueError(f"timestamp columns missing from the file: {missing}")
 
-    def schema(self, header: Iterable[str]) -> T.StructType:
-        return T.StructType([T.StructField(n, SPARK_TYPES[self.kind(n)]) for n in header])
-
 
 # The column types of the monthly taxi trip files.
 TRIPS = Contract.of(

@@ -2,7 +2,7 @@
 
 A quantile is one or two ranks of the sorted column. Each round cuts the value
 range around every wanted rank at values ``percentile_approx`` proposes, counts
-the rows at and between the cuts exactly, and keeps the one open interval the
+the rows below and up to each cut exactly, and keeps the one open interval the
 rank falls in. A round shrinks an interval about a thousandfold, so a few scans
 are enough at any size; every aggregate is combined before its (tiny) shuffle.
 A value that holds a large part of the rows becomes a cut and settles at once.
@@ -15,10 +15,13 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sluice import session
+
 PROBABILITIES = (0.25, 0.5, 0.75)
 ACCURACY = 10_000
 FEW_ROWS = 20_000
@@ -63,46 +66,45 @@ class Gap:
             found.update(min(1.0, max(0.0, at + side * 2 / accuracy)) for side in (-1, 1))
         return sorted(found)
 
-
-def _cuts(value: Column, gap: Gap, accuracy: int) -> Column:
-    return F.percentile_approx(F.when(gap.holds(value), value), gap.targets(accuracy), accuracy)
-
-
-def _zone_counts(df: DataFrame, values: Sequence[Column], gaps: Sequence[Gap], cuts: Sequence[Sequence[Number]]) -> dict:
-    """Rows per gap and zone: zone 2i+1 is at cut i, zone 2i just below it."""
-    picks = []
-    for g, gap in enumerate(gaps):
-        value = values[gap.column]
-        zone = F.lit(2 * len(cuts[g]))
-        for i, cut in reversed(list(enumerate(cuts[g]))):
-            zone = F.when(value < F.lit(cut), 2 * i).when(value == F.lit(cut), 2 * i + 1).otherwise(zone)
-        picks.append(F.struct(F.lit(g).alias("gap"), F.when(gap.holds(value), zone).alias("zone")))
-    counted = (
-        df.select(F.explode(F.array(*picks)).alias("p"))
-        .where("p.zone IS NOT NULL")
-        .groupBy("p.gap", "p.zone")
-        .agg(F.count(F.lit(1)).alias("n"))
-        .collect()
-    )
-    return {(r.gap, r.zone): r.n for r in counted}
-
-
-def _narrow(gap: Gap, cuts: Sequence[Number], counts: Mapping[int, int], found: dict) -> list[Gap]:
-    """Settle ranks that sit on a cut; give back the gaps the others fall in."""
-    left: list[Gap] = []
-    below = gap.below
-    for zone in range(2 * len(cuts) + 1):
-        n = counts.get(zone, 0)
-        ranks = tuple(r for r in gap.ranks if below <= r < below + n)
-        if ranks and zone % 2:
-            found.update({(gap.column, r): cuts[zone // 2] for r in ranks})
-        elif ranks:
-            i = zone // 2
-            low = cuts[i - 1] if i else gap.low
-            high = cuts[i] if i < len(cuts) else gap.high
-            left.append(replace(gap, low=low, high=high, below=below, rows=n, ranks=ranks))
-        below += n
-    return left
+    def narrow(self, cuts: Sequence[tuple[Number, int, int]], found: dict) -> list[Gap]:
+        """Settle the ranks that sit on a cut; give back the gaps that hide the others.
+
+        A cut is a value inside the gap, the rows below it and the rows up to it.
+        """
+        left: list[Gap] = []
+        low, below = self.low, self.below
+        for value, less, up_to in [*cuts, (self.high, self.below + self.rows, self.below + self.rows)]:
+            hidden = tuple(r for r in self.ranks if below <= r < less)
+            if hidden:
+                left.append(replace(self, low=low, high=value, below=below, rows=less - below, ranks=hidden))
+            found.update({(self.column, r): value for r in self.ranks if less <= r < up_to})
+            low, below = value, up_to
+        return left
+
+
+def _propose(df: DataFrame, values: Sequence[Column], gaps: Sequence[Gap], accuracy: int) -> list[list[Number]]:
+    cuts = [
+        F.percentile_approx(F.when(g.holds(values[g.column]), values[g.column]), g.targets(accuracy), accuracy)
+        for g in gaps
+    ]
+    row = df.agg(*[c.alias(f"c{i}") for i, c in enumerate(cuts)]).first()
+    return [sorted(set(c)) for c in row]
+
+
+def _positions(df: DataFrame, values: Sequence[Column], gaps: Sequence[Gap], cuts: Sequence[Sequence[Number]]) -> list:
+    """For every gap its cuts, each with the rows of the column below it and up to it."""
+    counts = [
+        count.alias(f"n{g}_{i}_{k}")
+        for g, gap in enumerate(gaps)
+        for i, cut in enumerate(cuts[g])
+        for k, count in enumerate(
+            (F.count_if(values[gap.column] < F.lit(cut)), F.count_if(values[gap.column] <= F.lit(cut)))
+        )
+    ]
+    row = df.agg(*counts).first()
+    return [
+        [(cut, row[f"n{g}_{i}_0"], row[f"n{g}_{i}_1"]) for i, cut in enumerate(cuts[g])] for g in range(len(gaps))
+    ]
 
 
 def _settle(df: DataFrame, values: Sequence[Column], gaps: Sequence[Gap], found: dict) -> None:
@@ -111,12 +113,14 @@ def _settle(df: DataFrame, values: Sequence[Column], gaps: Sequence[Gap], found:
         chosen = [g for g in gaps if (kind == "double") == _is_double(df, values[g.column])]
         if not chosen:
             continue
+        inside = [gap.holds(values[gap.column]) for gap in chosen]
         picks = [
-            F.struct(F.lit(g).alias("gap"), F.when(gap.holds(values[gap.column]), values[gap.column]).alias("value"))
-            for g, gap in enumerate(chosen)
+            F.struct(F.lit(i).alias("gap"), F.when(inside[i], values[gap.column]).alias("value"))
+            for i, gap in enumerate(chosen)
         ]
         rows = (
-            df.select(F.explode(F.array(*picks)).alias("p"))
+            df.where(reduce(lambda a, b: a | b, inside))
+            .select(F.explode(F.array(*picks)).alias("p"))
             .where("p.value IS NOT NULL")
             .groupBy("p.gap", "p.value")
             .agg(F.count(F.lit(1)).alias("n"))
@@ -152,6 +156,7 @@ def summarize(
     """
     if not values:
         return {}
+    session.prefer_compiled_methods(df.sparkSession)
     columns = list(values.values())
     df = df.select(*[v.alias(f"v{i}") for i, v in enumerate(columns)])
     columns = [F.col(f"v{i}") for i in range(len(columns))]
@@ -187,14 +192,10 @@ def summarize(
             _settle(df, columns, gaps, found)
             break
         if cuts is None:
-            proposed = df.agg(*[_cuts(columns[g.column], g, accuracy).alias(f"c{k}") for k, g in enumerate(gaps)]).first()
-            cuts = [sorted(set(proposed[f"c{k}"])) for k in range(len(gaps))]
-        counts = _zone_counts(df, columns, gaps, cuts)
-        narrowed = []
-        for g, gap in enumerate(gaps):
-            zones = {zone: n for (owner, zone), n in counts.items() if owner == g}
-            narrowed += _narrow(gap, cuts[g], zones, found)
-        gaps, cuts = narrowed, None
+            cuts = _propose(df, columns, gaps, accuracy)
+        positions = _positions(df, columns, gaps, cuts)
+        gaps = [left for gap, at in zip(gaps, positions) for left in gap.narrow(at, found)]
+        cuts = None
 
     result = {}
     for i, name in enumerate(values):

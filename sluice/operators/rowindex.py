@@ -86,7 +86,13 @@ def number_rows(
     within = {PATH: F.col(PATH)} if scope is None else added
     splits = count_splits(raws, within)
     key = F.xxhash64(PATH, START, LENGTH)
-    size = splits.agg(F.count(F.lit(1)).alias("n"), F.countDistinct(key).alias("hashes")).first()
+    size = splits.agg(
+        F.count(F.lit(1)).alias("n"),
+        F.countDistinct(key).alias("hashes"),
+        F.count_if(F.col(LAST) - F.col(FIRST) + 1 != F.col(ROWS)).alias("repeated"),
+    ).first()
+    if size.repeated:
+        raise ValueError("a file is given more than once")
     # While no two splits share a hash, the hash alone is an exact key and keeps the table small.
     on = {KEY: key} if size.n == size.hashes else {f"{KEY}_{c}": F.col(c) for c in (PATH, START, LENGTH)}
     offsets = splits.select(

@@ -28,7 +28,8 @@ def month_paths(template: str, first: Month, last: Month | None = None) -> list[
 
 
 def month_of_path(template: str, path: Column) -> dict[str, Column]:
-    """``year`` and ``month`` as written in a path made from the template."""
+    """``year`` and ``month`` as written in a path (a file URI) made from the template."""
+    path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
     segments = [s for s in template.split("/") if "{" in s]
     pattern = re.escape("/".join(segments))
     pattern = pattern.replace(re.escape("{year}"), r"(\d{4})").replace(re.escape("{month:02d}"), r"(\d{2})")

@@ -97,8 +97,14 @@ def start(spark: SparkSession, load: StreamLoad) -> StreamingQuery:
     )
 
 
-def progress(query: StreamingQuery) -> DataFrame:
-    """Input rows and duration of the query's latest batches."""
-    rows = [(p["batchId"], p["numInputRows"], p["batchDuration"]) for p in query.recentProgress]
+def progress(query: StreamingQuery, load: StreamLoad) -> DataFrame:
+    """Rows loaded per batch, from the audit, and the time of the query's latest batches.
+
+    The query's own input count is not used: each batch is read twice, once to
+    count the records of its file splits.
+    """
     spark = SparkSession.getActiveSession()
-    return spark.createDataFrame(rows, "batch_id bigint, input_rows bigint, milliseconds bigint")
+    times = [(p["batchId"], p["batchDuration"]) for p in query.recentProgress]
+    loaded = spark.read.parquet(load.audit).groupBy(BATCH).agg(F.sum("inserted").alias("inserted"))
+    took = spark.createDataFrame(times, f"{BATCH} bigint, milliseconds bigint")
+    return loaded.withColumn(BATCH, F.col(BATCH).cast("bigint")).join(took, BATCH, "left")

@@ -59,6 +59,12 @@ def test_only_the_asked_months_are_read(spark, put, tmp_path):
     ]
 
 
+def test_months_in_paths_with_odd_characters(spark, put, tmp_path):
+    put("a+b (x)/t r+%20_2021-07.csv", "k,v\n0,a\n")
+    template = str(tmp_path / "a+b (x)" / "t r+%20_{year}-{month:02d}.csv")
+    assert [tuple(r) for r in read_months(spark, template, (2021, 7), contract=KV).collect()] == [(2021, 7, 0, 0, "a")]
+
+
 def test_a_missing_month_is_an_error(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         read_months(spark, str(tmp_path / "none_{year}-{month:02d}.csv"), (2021, 1), contract=KV)

@@ -79,6 +79,12 @@ def test_files_with_different_headers_are_indexed_together(spark, put):
     assert wrong(index(spark, [one, two])) == 0
 
 
+def test_a_file_given_twice_is_refused(spark, put):
+    path = put("t/a.csv", lines(10))
+    with pytest.raises(ValueError, match="more than once"):
+        index(spark, [path, path.rsplit("/", 1)[0]])
+
+
 def test_other_splits_in_the_second_pass_fail(spark, put, setting):
     path = put("s.csv", lines(5000))
     setting("spark.sql.files.maxPartitionBytes", "20000")

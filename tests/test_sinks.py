@@ -83,6 +83,23 @@ def test_connection_does_not_show_credentials():
         jdbc.Connection()
 
 
+def test_writes_and_reads_pass_the_right_options(spark, monkeypatch):
+    """No database is started here: what would be sent to Spark's JDBC source is looked at instead."""
+    from pyspark.sql.readwriter import DataFrameReader, DataFrameWriter
+
+    calls = []
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, mode, properties: calls.append((url, table, mode, properties)))
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, url, table, properties: calls.append((url, table, properties)))
+    connection = jdbc.Connection("u", "p")
+    jdbc.write_jdbc(spark.range(3), connection, "t", replace=True, writers=3)
+    jdbc.write_jdbc(spark.range(3), connection, "t", replace=False)
+    jdbc.read_jdbc(spark, connection, "t")
+    url = "jdbc:postgresql://localhost:5432/ny_taxi"
+    assert [c[:2] for c in calls] == [(url, "t")] * 3
+    assert [c[2] for c in calls[:2]] == ["overwrite", "append"]
+    assert calls[0][3]["numPartitions"] == "3" and calls[0][3]["user"] == "u" and calls[2][2]["preferTimestampNTZ"] == "true"
+
+
 def test_load_check_finds_repeated_rows():
     jdbc.check_loaded(5, 10, 15)
     with pytest.raises(RuntimeError, match="sent 10 rows but the table grew by 12"):

@@ -45,7 +45,9 @@ def test_all_files_once_with_index_and_audit(spark, load):
     query.awaitTermination()
     assert loaded(spark, it) == ALL and chunks(spark, it) == ALL_CHUNKS
     assert spark.read.parquet(it.target).select("batch_id").distinct().count() == 3
-    assert [r.batch_id for r in chunk_load.progress(query).orderBy("batch_id").collect()] == [0, 1, 2]
+    batches = chunk_load.progress(query, it).orderBy("batch_id").collect()
+    assert [r.batch_id for r in batches] == [0, 1, 2] and all(r.milliseconds > 0 for r in batches)
+    assert sorted(r.inserted for r in batches) == [10, 25, 31]
 
 
 def test_new_files_are_added_and_a_fresh_checkpoint_replaces(spark, load, put):
