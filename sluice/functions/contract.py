@@ -14,6 +14,7 @@ TYPE_NAMES = {
     "double": "double",
 }
 
+
 @dataclass(frozen=True)
 class Contract:
     """A partial schema, bound to a file by header name.

@@ -36,7 +36,8 @@ NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 INFINITY = r"^\s*[+-]?(?i:inf|infinity)\s*$"
 # Java reads 1d, 1f and 0x1p3 as doubles; none of them is a number here.
 JAVA_ONLY = "[dDfFxX]"
-PLAIN_TIMESTAMP = r"^\d{4}-\d{2}-\d{2} \d{2}:\d{2}:\d{2}(\.\d{1,6})?$"
+PLAIN_TIMESTAMP = r"^\d\d\d\d-\d\d-\d\d \d\d:\d\d:\d\d(\.\d{1,6})?\z"
+PLAIN_DECIMAL = r"^[+-]?\d{1,300}(\.\d{0,300})?\z"  # too short to overflow a double, and no exponent
 
 
 def is_missing(text: Column) -> Column:
@@ -71,12 +72,13 @@ def parse_double(name: str, text: Column, where: Column) -> Column:
     """Decimal numbers and inf; Java-only forms and finite text that overflows fail."""
     number = text.try_cast("double")
     finite = F.abs(number) < F.lit(float("inf"))  # NaN sorts above every number, so it fails too
-    return (
-        F.when(finite & ~text.rlike(JAVA_ONLY), number)
-        .when(is_missing(text), F.lit(None).cast("double"))
+    rest = (
+        F.when(is_missing(text), F.lit(None).cast("double"))
+        .when(finite & ~text.rlike(JAVA_ONLY), number)
         .when(text.rlike(INFINITY), number)
         .otherwise(reject(name, "a number", text, where))
     )
+    return F.coalesce(F.when(text.rlike(PLAIN_DECIMAL), number), rest)
 
 
 def timestamp_or_null(text: Column, pattern: str | None) -> Column:
