@@ -2,14 +2,19 @@
 
 from __future__ import annotations
 
+import os
+import sys
 import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+
 from sluice import session
 from sluice.functions.contract import Contract
+from sluice.functions.parsing import NULL_TOKENS
 from sluice.operators import profile, rowindex
 from sluice.plans import extracts
 from sluice.plans.jobs import IngestConfig, ingest, month_job
@@ -138,8 +143,6 @@ def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def read_null_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from sluice.functions.parsing import NULL_TOKENS
-
     texts = F.array(*[F.lit(t) for t in NULL_TOKENS])
     which = (F.col("o_orderkey") % 20).cast("int")
     orders = table(spark, sf_dir, "orders").select(

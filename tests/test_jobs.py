@@ -7,6 +7,7 @@ import pytest
 from sluice.functions.contract import TRIPS
 from sluice.plans import cli
 from sluice.plans.jobs import IngestConfig, ingest, show_progress
+from sluice.sinks import jdbc
 from sluice.sources.months import TRIPS_FILE
 
 
@@ -52,6 +53,26 @@ def test_rows_can_be_spread_after_the_read(spark, month, tmp_path):
     assert sorted(tuple(r) for r in ingest(spark, cfg).chunks.collect()) == [(0, 1000), (1, 234)]
 
 
+def test_database_target_is_replaced_and_counted(spark, month, tmp_path, monkeypatch):
+    """With a Parquet folder in place of the database, which may not be started here."""
+    place, sent = str(tmp_path / "db"), []
+
+    def write(df, connection, table, *, replace):
+        sent.append((connection.url, table, replace))
+        df.write.mode("overwrite").parquet(place)
+
+    monkeypatch.setattr(jdbc, "write_jdbc", write)
+    monkeypatch.setattr(jdbc, "read_jdbc", lambda spark, connection, table: spark.read.parquet(place))
+    cfg = IngestConfig(source=month[1], target_table="trips", chunk_size=1000, connection=jdbc.Connection("u", "p"))
+    report = ingest(spark, cfg)
+    assert sent == [("jdbc:postgresql://localhost:5432/ny_taxi", "trips", True)]
+    assert report.rows == 1234 and sorted(tuple(r) for r in report.chunks.collect()) == [(0, 1000), (1, 234)]
+
+    monkeypatch.setattr(jdbc, "read_jdbc", lambda spark, connection, table: spark.read.parquet(place, place))
+    with pytest.raises(RuntimeError, match="grew by 2468"):
+        ingest(spark, cfg)
+
+
 def test_bad_cell_fails_the_load_and_keeps_the_table(spark, month, put, tmp_path):
     cfg = IngestConfig(source=month[1], target_table="guarded", target_dir=str(tmp_path / "t"))
     ingest(spark, cfg)
