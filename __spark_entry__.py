@@ -326,7 +326,23 @@ def entry(spark: SparkSession) -> DataFrame:
     return ingest_job(spark, "/root/testdata/sf0.001")
 
 
+def training_data() -> list:
+    """Modules that add queries for training data: the pipeline and the operators, where they are installed."""
+    try:
+        import corpus_pipeline
+        import sluice.llm.queries
+    except ModuleNotFoundError as missing:
+        if missing.name not in ("corpus_pipeline", "sluice.llm", "sluice.llm.queries"):
+            raise
+        return []
+    return [sluice.llm.queries, corpus_pipeline]
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return own_queries() | {name: query for module in training_data() for name, query in module.queries().items()}
+
+
+def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "ingest_job": ingest_job,
         "read_typed_csv": read_typed_csv,
@@ -377,6 +393,10 @@ FROM {t}"""
 
 
 def oracle_sql() -> dict[str, str]:
+    return own_oracle_sql() | {name: sql for module in training_data() for name, sql in module.oracle_sql().items()}
+
+
+def own_oracle_sql() -> dict[str, str]:
     return {
         "ingest_job": """
             SELECT year, month, (rn - 1) // 50 AS chunk_id, count(*) AS inserted
