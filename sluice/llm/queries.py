@@ -12,6 +12,7 @@ from sluice.llm import (
     grid_join,
     license_scan,
     mixing,
+    oracle,
     order_minhash,
     quality_classifier,
     quality_rules,
@@ -164,4 +165,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op3_quality_rules": oracle.quality(),
+        "op4_warc": oracle.WARC,
+        "op8_url_filter": oracle.urls(URL_RULES),
+        "op10_grid_join": oracle.EMBEDDINGS,
+    }

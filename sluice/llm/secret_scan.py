@@ -26,11 +26,12 @@ HEX = r"[0-9a-f]{24,}"  # the runs of at least 24: no shorter run can hide one
 KINDS = ("assign", "access", "hex", "random")
 LEAST = {"assign": 6, "access": 20}
 
-#: Strings that the models judge, and that they are trained on, from this length.
+#: Strings that the models judge, and those that they are trained on.
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
-SAMPLE = r"[A-Za-z0-9+/_=-]{16,}"
+SAMPLE = r"[A-Za-z0-9+/_=-]{12,}"
 #: Characters the models tell apart; letters in either case are one.
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+SMOOTH = 0.1
 SPAN = "struct<start:bigint,kind:int,end:bigint>"
 
 
@@ -72,13 +73,13 @@ def labelled_strings(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def train(samples: DataFrame) -> Models:
-    """Models from rows (sample, random). Pairs of characters are counted over all samples, one is added to each count.
+    """Models from rows (sample, random). Pairs of characters are counted over all samples, `SMOOTH` is added to each count.
 
     What reaches the driver is one count for each pair and label: 3362 at most.
     """
     size = len(ALPHABET)
     pairs = samples.where("sample is not null and random is not null").select("random", F.explode(steps(F.col("sample"))).alias("step"))
-    counts = {True: [1] * size * size, False: [1] * size * size}
+    counts = {True: [SMOOTH] * size * size, False: [SMOOTH] * size * size}
     for row in pairs.groupBy("random", "step").count().collect():
         if row["step"] is not None:
             counts[row["random"]][row["step"]] += row["count"]
