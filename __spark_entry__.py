@@ -240,7 +240,16 @@ def table_ddl(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.createDataFrame([(ddl,)], "ddl string")
 
 
-MEASURES = ["l_orderkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax"]
+MEASURES = [
+    "l_orderkey",
+    "l_partkey",
+    "l_suppkey",
+    "l_linenumber",
+    "l_quantity",
+    "l_extendedprice",
+    "l_discount",
+    "l_tax",
+]
 
 
 def describe_numeric(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -32,7 +32,7 @@ NULL_TOKENS = (
     "null",
 )
 
-NUMBER = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+NUMBER = r"^\s*([+-]?)(\d*)\.?(\d*)(?:[eE]([+-]?\d+))?\s*$"
 INFINITY = r"^\s*[+-]?(?i:inf|infinity)\s*$"
 # Java reads 1d, 1f and 0x1p3 as doubles; none of them is a number here.
 JAVA_ONLY = "[dDfFxX]"
@@ -55,11 +55,31 @@ def parse_string(text: Column) -> Column:
     return F.when(~text.isin(*NULL_TOKENS), text)
 
 
+def whole_number(text: Column) -> Column:
+    """A whole number written with a point or an exponent, read digit by digit; null for any other text.
+
+    Nothing is rounded: 1e-30 and 1.0000000000000000001 are fractions however small the rest is.
+    """
+    sign, before, after, exponent = (F.regexp_extract(text, NUMBER, i) for i in range(1, 5))
+    digits = F.concat(before, after)
+    shift = F.when(exponent == "", F.lit(0)).otherwise(exponent.try_cast("int"))
+    point = (F.length(before) + shift).try_cast("int")
+    kept = (
+        F.when(point <= 0, F.lit(""))
+        .when(point <= F.length(digits), F.substr(digits, F.lit(1), point))
+        .otherwise(F.rpad(digits, F.least(point, F.length(digits) + 20), "0"))  # 20 more digits overflow in any case
+    )
+    rest = F.when(point <= 0, digits).otherwise(F.substr(digits, F.greatest(point, F.lit(0)) + 1))
+    value = F.regexp_replace(kept, r"\A0+", "")
+    number = F.concat(sign, F.when(value == "", F.lit("0")).otherwise(value))
+    fits = text.rlike(NUMBER) & (digits != "") & rest.rlike(r"\A0*\z") & (F.length(value) <= 19)
+    zero = text.rlike(NUMBER) & (digits != "") & digits.rlike(r"\A0*\z")
+    return F.when(zero, F.lit(0).cast("bigint")).when(fits, number.try_cast("bigint"))
+
+
 def parse_bigint(name: str, text: Column, where: Column) -> Column:
     """Whole numbers, also written as 1.0 or 1e3; a fraction or an overflow fails."""
-    exact = text.try_cast("decimal(38,18)")
-    whole = F.when(text.rlike(NUMBER) & (exact == F.floor(exact)), F.floor(exact).try_cast("bigint"))
-    decimal_form = F.coalesce(whole, reject(name, "a 64-bit integer", text, where))
+    decimal_form = F.coalesce(whole_number(text), reject(name, "a 64-bit integer", text, where))
     # A failed cast to bigint is slow (it throws inside the JVM), so texts bound to fail skip it.
     return (
         F.when(is_missing(text), F.lit(None).cast("bigint"))

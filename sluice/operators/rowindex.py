@@ -127,7 +127,8 @@ def read_indexed(
     path order, and the columns are put in front as well. An empty scope
     numbers the whole source. Other options are those of ``read_delimited``.
     """
-    parts = read_parts(spark, paths, contract, headers=headers, multi_line=multi_line)
+    # Loads select all columns, so widths are checked there; the counting pass need not read any cell.
+    parts = read_parts(spark, paths, contract, headers=headers, multi_line=multi_line, whole_records=False)
     as_text = kept_as_text(parts, contract, bad_timestamp)
     front = [*(scope or {}), INDEX]
     for part in parts:

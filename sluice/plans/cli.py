@@ -4,14 +4,24 @@ from __future__ import annotations
 
 import argparse
 import os
+import sys
 from collections.abc import Sequence
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
+if __name__ == "__main__":  # started as a file: the package is two folders up
+    sys.path.insert(0, str(Path(__file__).resolve().parents[2]))
+
 from sluice.plans.jobs import IngestConfig, ingest, month_job, show_progress
 from sluice.sinks.jdbc import Connection
 
 
+def month_of(text: str) -> tuple[int, int]:
+    year, month = text.split("-")
+    return int(year), int(month)
+
+
 def parser() -> argparse.ArgumentParser:
     top = argparse.ArgumentParser(prog="sluice")
     jobs = top.add_subparsers(dest="job", required=True)
@@ -24,6 +34,11 @@ def parser() -> argparse.ArgumentParser:
     load.add_argument("--target-table", default=defaults.target_table)
     load.add_argument("--target-dir", help="folder for the files of a Spark table")
     load.add_argument("--chunk-size", type=int, default=defaults.chunk_size)
+    load.add_argument("--last", type=month_of, help="last month of a range, as YYYY-MM")
+    load.add_argument("--headers", choices=["each", "first"], default=defaults.headers)
+    load.add_argument("--multi-line", choices=["yes", "no"], default="yes", help="no: quoted cells hold no newline")
+    load.add_argument("--bad-timestamp", choices=["raise", "text"], default=defaults.bad_timestamp)
+    load.add_argument("--writers", type=int, help="tasks that write the rows")
     load.add_argument("--pg-user", help="load into PostgreSQL as this user")
     load.add_argument("--pg-password", help="default: the variable PGPASSWORD")
     load.add_argument("--pg-host", default=Connection.host)
@@ -51,6 +66,11 @@ def config(args: argparse.Namespace) -> IngestConfig:
         target_dir=args.target_dir,
         chunk_size=args.chunk_size,
         connection=connection,
+        last=args.last,
+        headers=args.headers,
+        multi_line=args.multi_line == "yes",
+        bad_timestamp=args.bad_timestamp,
+        writers=args.writers,
     )
 
 

@@ -65,7 +65,7 @@ def ingest(spark: SparkSession, cfg: IngestConfig) -> IngestReport:
     """
     df = read_source(spark, cfg)
     if cfg.writers is not None:
-        df = df.repartition(cfg.writers, rowindex.INDEX)
+        df = df.repartitionByRange(cfg.writers, rowindex.INDEX)  # ranges keep the files' minima and maxima of use
     if cfg.connection is not None:
         sent = df.count()
         jdbc.write_jdbc(df, cfg.connection, cfg.target_table, replace=True)
@@ -87,12 +87,14 @@ def month_job(spark: SparkSession, month: str, folder: str, frame: DataFrame | N
     ``month=1`` into ``output_month_01.parquet``.
     """
     if frame is None:
+        # The two rows that are stamped by default.
         frame = literals.literal_frame(spark, {"day": [1, 2], "num_passengers": [3, 4]})
     return parquet.write_month_parquet(literals.with_constant(frame, "month", int(month)), folder, month)
 
 
 def show_progress(report: IngestReport) -> None:
     """Print the rows of each chunk, in chunk order, a bounded batch at a time."""
+    # The words that are printed.
     print("Table created")
     for row in report.chunks.orderBy(*report.chunks.columns[:-1]).toLocalIterator():
         print("Inserted:", row.inserted)

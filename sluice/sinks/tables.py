@@ -38,32 +38,52 @@ def replace_table(df: DataFrame, table: str, folder: str) -> Loaded:
 
     Rows go to a new folder below ``folder`` first and the table is pointed at
     it after the write succeeded, so a failed load leaves the old table as it
-    was. The old files stay where they were, for readers still on them; their
+    was. A table of another layout (columns, format, partitions) is set aside
+    until the new one is there, and dropped then. The old files stay where they were, for readers still on them; their
     place is reported. Writing ``df.limit(0)`` leaves an empty table.
     """
     spark = df.sparkSession
     location = f"{folder.rstrip('/')}/{table.replace('`', '')}/v-{uuid.uuid4().hex}"
     rows = _write_counted(df, location)
     place = location.replace("'", "\\'")
-    old = None
-    if spark.catalog.tableExists(table):
-        old = table_location(spark, table)
-        same = [(f.name, f.dataType) for f in spark.table(table).schema] == [(f.name, f.dataType) for f in df.schema]
-        if same:
-            spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
-            spark.catalog.refreshTable(table)
-            return Loaded(rows, location, old)
-        spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"CREATE TABLE {table} ({_column_list(df)}) USING parquet LOCATION '{place}'")
+    create = f"CREATE TABLE {table} ({_column_list(df)}) USING parquet LOCATION '{place}'"
+    if not spark.catalog.tableExists(table):
+        spark.sql(create)
+        return Loaded(rows, location)
+    old = table_location(spark, table)
+    if _plain(spark, table) and _columns(spark.table(table)) == _columns(df):
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
+        spark.catalog.refreshTable(table)
+        return Loaded(rows, location, old)
+    aside = f"{table.rstrip('`')}_{uuid.uuid4().hex}" + ("`" if table.endswith("`") else "")
+    spark.sql(f"ALTER TABLE {table} RENAME TO {aside}")
+    try:
+        spark.sql(create)
+    except Exception:
+        spark.sql(f"ALTER TABLE {aside} RENAME TO {table}")
+        raise
+    spark.sql(f"DROP TABLE {aside}")
     return Loaded(rows, location, old)
 
 
+def _columns(df: DataFrame) -> list[tuple[str, str]]:
+    return [(f.name, f.dataType.simpleString()) for f in df.schema]
+
+
+def _plain(spark: SparkSession, table: str) -> bool:
+    """Whether a table is a Parquet table without partitions or buckets, so that a new place is all it needs."""
+    detail = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+    told = {r.col_name: r.data_type for r in detail}
+    return told.get("Provider", "").lower() == "parquet" and not {"# Partition Information", "Num Buckets"} & set(told)
+
+
 def append_table(df: DataFrame, table: str) -> Loaded:
-    """Add the rows of ``df``, matched by column name; no look for duplicates."""
+    """Add the rows of ``df``, matched by column name; no look for duplicates. Types must be the table's."""
     spark = df.sparkSession
     names = spark.table(table).columns
-    if sorted(names) != sorted(df.columns):
-        raise ValueError(f"{table} has columns {names}, the rows have {df.columns}")
+    have, given = (sorted(_columns(x)) for x in (spark.table(table), df))
+    if have != given:
+        raise ValueError(f"{table} has columns {have}, the rows have {given}")
     counted = Observation()
     rows = df.select(*[F.col("`" + n.replace("`", "``") + "`") for n in names])
     rows.observe(counted, F.count(F.lit(1)).alias("rows")).write.insertInto(table)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import csv
 from collections import defaultdict
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
@@ -28,7 +28,9 @@ PATH, START, LENGTH, ROW = "__path", "__start", "__length", "__row"
 ORIGIN = (PATH, START, LENGTH, ROW)
 MALFORMED = "__malformed"
 TOO_LONG = "__too_long"
-HEADER_LINES = 64
+EXTRA = "__extra"
+MARK = "\x01end of record\x01"
+REPLACEMENT = "\ufffd"  # what the CSV reader puts for bytes that are not UTF-8
 
 
 def quoted(name: str) -> Column:
@@ -41,9 +43,20 @@ def decoded(uri: str) -> str:
 
 
 def list_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
-    """All files below the paths, sorted; a listing only, no data is read."""
-    found = spark.read.text(paths if isinstance(paths, str) else list(paths)).inputFiles()
-    return sorted(decoded(f) for f in found)
+    """All files below the paths, sorted; a listing only, no data is read. A file that two paths give is refused."""
+    given = [paths] if isinstance(paths, str) else list(paths)
+    found = sorted(decoded(f) for f in spark.read.text(given).inputFiles())
+    if len(given) > 1:
+        places = [urlsplit(p).path if urlsplit(p).scheme else p for p in given]
+        places = [p.rstrip("/") for p in places]
+        if len(set(places)) < len(places) or any(above in set(places) for p in places for above in parents(p)):
+            raise ValueError("a file is given more than once")
+    return found
+
+
+def parents(path: str) -> list[str]:
+    parts = path.split("/")
+    return ["/".join(parts[:i]) for i in range(1, len(parts))]
 
 
 def literal_path(path: str) -> str:
@@ -51,13 +64,35 @@ def literal_path(path: str) -> str:
     return "".join("\\" + c if c in "*?[]{}\\" else c for c in path)
 
 
+def first_record(lines: Iterable[str]) -> list[str] | None:
+    """The fields of the first record that is not blank, from as few lines as it has."""
+
+    def unread() -> Iterable[str]:
+        begun = False
+        for line in lines:
+            begun = begun or bool(line.strip())
+            if begun:
+                yield line + "\n"
+
+    return next(csv.reader(unread()), None)
+
+
 def read_header(spark: SparkSession, file: str) -> list[str]:
     """Column names of one file. Repeated names get .1, .2; empty ones their position."""
-    lines = [r.value for r in spark.read.text(literal_path(file)).take(HEADER_LINES)]
-    if not lines:
+    # A few lines first: a job over a whole file for its header would be a waste, and hardly any header is longer.
+    text = spark.read.text(literal_path(file))
+    record, taken = None, 16
+    while True:
+        lines = [r.value for r in text.take(taken)]
+        whole = len(lines) < taken
+        if lines:
+            lines[0] = lines[0].removeprefix("\ufeff")
+        record = first_record(lines)
+        if whole or (record is not None and closed(lines)):
+            break
+        taken *= 8
+    if record is None:
         raise ValueError(f"no header in {file}")
-    lines[0] = lines[0].removeprefix("\ufeff")
-    record = next(csv.reader(line + "\n" for line in lines if line.strip()))
     names: list[str] = []
     seen: dict[str, int] = defaultdict(int)
     for position, name in enumerate(record):
@@ -68,14 +103,19 @@ def read_header(spark: SparkSession, file: str) -> list[str]:
     return names
 
 
+def closed(lines: Sequence[str]) -> bool:
+    """Whether the first record ends within the lines: one more line does not change it."""
+    return first_record(lines) == first_record([*lines, 'x"'])
+
+
 def read_headers(spark: SparkSession, files: Sequence[str]) -> dict[str, tuple[str, ...]]:
     with ThreadPoolExecutor(max_workers=16) as pool:
         return dict(zip(files, pool.map(lambda f: tuple(read_header(spark, f)), files)))
 
 
 def raw_schema(names: Sequence[str]) -> T.StructType:
-    fields = [T.StructField(n, T.StringType()) for n in names]
-    return T.StructType(fields + [T.StructField(MALFORMED, T.StringType())])
+    more = [EXTRA] if len(names) == 1 else []
+    return T.StructType([T.StructField(n, T.StringType()) for n in [*names, *more, MALFORMED]])
 
 
 def csv_options(multi_line: bool, verify_header: bool) -> dict[str, object]:
@@ -91,19 +131,27 @@ def csv_options(multi_line: bool, verify_header: bool) -> dict[str, object]:
 
 
 def with_origin(raw: DataFrame, multi_line: bool) -> DataFrame:
-    """Drop blank records; note the file and split of each record and what is wrong with its width."""
-    cells = [c for c in raw.columns if c != MALFORMED]
+    """Drop blank records; note the file and split of each record and what is wrong with its width.
+
+    A record of another width than the header's keeps its raw text. It is too
+    long if, read again with a mark behind it, the mark is not among the first
+    fields. The reader of one column asks for two, so that every record keeps
+    its raw text and a quoted blank can be told from a blank line.
+    """
+    cells = [c for c in raw.columns if c not in (MALFORMED, EXTRA)]
     if multi_line:  # the line-by-line reader has skipped blank lines already
-        blank = quoted(cells[0]).rlike(r"^\s+$")
-        if len(cells) > 1:
-            blank = blank & F.coalesce(F.col(MALFORMED).rlike(r"^\s+$"), F.lit(False))
+        blank = F.coalesce(quoted(cells[0]), F.lit("")).rlike(r"\A\s*\z") & F.col(MALFORMED).rlike(r"\A\s*\z")
         raw = raw.where(~F.coalesce(blank, F.lit(False)))
-    outside_quotes = F.regexp_replace(MALFORMED, r'"[^"]*"', "")
-    fields = F.length(outside_quotes) - F.length(F.replace(outside_quotes, F.lit(","), F.lit(""))) + 1
-    complaint = F.concat(F.lit(f"expected {len(cells)} fields, saw "), fields, F.lit(": "), MALFORMED)
+    again = F.concat(F.regexp_replace(MALFORMED, r"[\r\n]+\z", ""), F.lit("," + MARK))
+    schema = ", ".join(f"f{i} string" for i in range(len(cells) + 1))
+    fields = F.from_csv(again, schema, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    short = F.array_contains(F.array(*[F.coalesce(fields[f"f{i}"], F.lit("")) for i in range(len(cells) + 1)]), MARK)
+    outside = F.regexp_replace(MALFORMED, r'"[^"]*"', "")  # for the message only: stray quotes make it an estimate
+    seen = F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit(""))) + 1
+    complaint = F.concat(F.lit(f"expected {len(cells)} fields, saw "), F.greatest(seen, F.lit(len(cells) + 1)), F.lit(": "), MALFORMED)
     return raw.select(
         *[quoted(c) for c in cells],
-        F.when(F.col(MALFORMED).isNotNull() & (fields > len(cells)), complaint).alias(TOO_LONG),
+        F.when(F.col(MALFORMED).isNotNull() & ~short, complaint).alias(TOO_LONG),
         F.input_file_name().alias(PATH),
         F.input_file_block_start().alias(START),
         F.input_file_block_length().alias(LENGTH),
@@ -127,6 +175,7 @@ def conform(part: Part, contract: Contract, as_text: Sequence[str] = (), before:
     """Type every cell of a part, between other columns of its frame that are kept."""
     where, too_long = F.col(PATH), F.col(TOO_LONG)
     complaint = F.raise_error(F.concat(too_long, F.lit(" (file "), where, F.lit(")")))
+    not_text = F.raise_error(F.concat(F.lit("bytes that are not UTF-8, or U+FFFD for such bytes (file "), where, F.lit(")")))
 
     def typed(cell: str, name: str) -> Column:
         text, kind = quoted(cell), contract.kind(name)
@@ -137,7 +186,7 @@ def conform(part: Part, contract: Contract, as_text: Sequence[str] = (), before:
         elif kind == "timestamp_ntz" and name not in as_text:
             value = parsing.parse_timestamp(name, text, where, contract.timestamps[name])
         else:
-            value = parsing.parse_string(text)
+            value = F.when(text.contains(REPLACEMENT), not_text).otherwise(parsing.parse_string(text))
         return F.when(too_long.isNotNull(), complaint).otherwise(value).alias(name)
 
     return part.raw.select(*before, *[typed(c, n) for c, n in zip(part.cells, part.header)], *after)
@@ -163,7 +212,7 @@ def read_parts(
     *,
     headers: str = "each",
     multi_line: bool | None = None,
-    whole_records: bool = False,
+    whole_records: bool = True,
 ) -> list[Part]:
     """The files as text cells, one part per layout."""
     if headers not in ("each", "first"):
@@ -175,7 +224,7 @@ def read_parts(
     groups: dict[tuple[bool, tuple[str, ...]], list[str]] = defaultdict(list)
     for file in files:
         layout = known[file] if headers == "each" else known[files[0]]
-        spans = file.endswith(".gz") if multi_line is None else multi_line
+        spans = multi_line is None or multi_line
         groups[spans, layout].append(file)
 
     parts = []
@@ -186,8 +235,7 @@ def read_parts(
         source = spark.read.schema(raw_schema(cells)).options(**csv_options(spans, verify))
         if whole_records:
             source = source.option("columnPruning", False)
-        target = paths if len(groups) == 1 else [literal_path(f) for f in members]
-        raw = source.csv(target if isinstance(target, str) else list(target))
+        raw = source.csv([literal_path(f) for f in members])  # the files whose headers were read, and no later ones
         parts.append(Part(with_origin(raw, spans), cells, header))
     return parts
 
@@ -213,7 +261,7 @@ def read_delimited(
     headers: str = "each",
     multi_line: bool | None = None,
     bad_timestamp: str = "raise",
-    whole_records: bool = False,
+    whole_records: bool = True,
 ) -> DataFrame:
     """Read plain or gzipped files into one typed frame.
 
@@ -222,15 +270,18 @@ def read_delimited(
     one header only, for folders of many parts with one layout; the tasks
     compare the header of each file they read with it and fail on a difference.
 
-    ``multi_line`` allows newlines inside quotes, at the price of one task per
-    file; the default is on for gzip, which cannot be split anyway.
+    ``multi_line=False`` is a promise that no quoted cell holds a newline. Plain
+    files are then split among tasks; by default one task reads a whole file,
+    and the same bytes give the same rows, gzipped or not.
+
+    Text with bytes that are not UTF-8 fails.
 
     ``bad_timestamp="text"`` leaves a timestamp column as text when any of its
     cells does not fit, decided once for the whole source by an extra pass.
 
-    Columns nobody selects are not parsed, so their cells and the width of
-    their records are not checked either. A load selects all columns and checks
-    everything; ``whole_records=True`` checks widths for any selection.
+    The width of every record is checked, whichever columns are selected; cells
+    are checked in the columns that are. ``whole_records=False`` leaves out
+    what no selected column needs, the widths too.
     """
     parts = read_parts(spark, paths, contract, headers=headers, multi_line=multi_line, whole_records=whole_records)
     as_text = kept_as_text(parts, contract, bad_timestamp)

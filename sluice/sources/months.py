@@ -28,17 +28,31 @@ def month_paths(template: str, first: Month, last: Month | None = None) -> list[
 
 
 def month_of_path(template: str, path: Column) -> dict[str, Column]:
-    """``year`` and ``month`` as written in a path (a file URI) made from the template."""
+    """``year`` and ``month`` as written in a path (a file URI) made from the template.
+
+    The whole template must match, from a folder's beginning to the path's end
+    or to the folder that holds the parts of a month. A repeated field must
+    repeat its value; a path that does not match fails.
+    """
     path = F.url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
-    segments = [s for s in template.split("/") if "{" in s]
-    pattern = re.escape("/".join(segments))
-    pattern = pattern.replace(re.escape("{year}"), r"(\d{4})").replace(re.escape("{month:02d}"), r"(\d{2})")
-    if pattern.index(r"(\d{4})") > pattern.index(r"(\d{2})"):
-        raise ValueError("the template must name the year before the month")
-    return {
-        "year": F.regexp_extract(path, pattern, 1).cast("bigint"),
-        "month": F.regexp_extract(path, pattern, 2).cast("bigint"),
-    }
+    place = re.sub(r"\A(?:[A-Za-z][A-Za-z0-9+.-]*:)?/*", "", template).removeprefix("./")
+    fields = {"{year}": r"\d{4}", "{month:02d}": r"\d{2}"}
+    groups: dict[str, int] = {}
+    pattern = ""
+    for part in re.split(r"(\{year\}|\{month:02d\})", place):
+        if part not in fields:
+            pattern += re.escape(part)
+        elif part in groups:
+            pattern += rf"\{groups[part]}"
+        else:
+            groups[part] = len(groups) + 1
+            pattern += f"({fields[part]})"
+    if set(groups) != set(fields):
+        raise ValueError("the template must name {year} and {month:02d}")
+    pattern = rf"(?:\A|/){pattern}(?=/|\z)"
+    missing = F.raise_error(F.concat(path, F.lit(f" is not of the form {template}"))).cast("string")
+    found = {f: F.when(path.rlike(pattern), F.regexp_extract(path, pattern, g)).otherwise(missing) for f, g in groups.items()}
+    return {"year": found["{year}"].cast("bigint"), "month": found["{month:02d}"].cast("bigint")}
 
 
 def read_months(

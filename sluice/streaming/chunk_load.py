@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from sluice import session
 from sluice.functions.contract import Contract
 from sluice.operators import rowindex
+from sluice.sinks.parquet import replace_folder
 from sluice.sources import delimited
 from sluice.sources.delimited import PATH
 
@@ -42,17 +43,15 @@ class StreamLoad:
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one batch so that repeating it changes nothing.
 
-    Batch 0 belongs to a fresh checkpoint and replaces whatever the folder held;
-    a later batch replaces only its own partition.
+    Batch 0 belongs to a fresh checkpoint and replaces whatever the folder held,
+    once its rows are complete elsewhere: a bad cell leaves the old rows in
+    place. A later batch replaces only its own partition.
     """
-    scope = "static" if batch_id == 0 else "dynamic"
-    (
-        df.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", scope)
-        .partitionBy(BATCH)
-        .parquet(path)
-    )
+    rows = df.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
+    if batch_id == 0:
+        replace_folder(rows, path, BATCH)
+    else:
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BATCH).parquet(path)
 
 
 def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame | None:
@@ -68,6 +67,8 @@ def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame | Non
 def start(spark: SparkSession, load: StreamLoad) -> StreamingQuery:
     """Load all files present and not yet loaded under this checkpoint, then stop."""
     files = spark.read.option("recursiveFileLookup", True).text(load.source).inputFiles()
+    if not files:
+        raise ValueError(f"no files below {load.source}")
     header = tuple(delimited.read_header(spark, delimited.decoded(min(files))))
     load.contract.require(header)
     session.prefer_compiled_methods(spark)

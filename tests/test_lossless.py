@@ -1,0 +1,124 @@
+"""Inputs on which values, rows or columns could be lost without an error."""
+
+import gzip
+import subprocess
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import functions as F
+
+from sluice.functions.contract import Contract
+from sluice.functions.parsing import parse_bigint
+from sluice.sinks import tables
+from sluice.sources.delimited import PATH, read_delimited, read_header
+from sluice.sources.months import month_of_path
+
+A = Contract.of({})
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def both(spark, put, text):
+    """The rows of a text as a plain file and gzipped: the same."""
+    plain = rows(read_delimited(spark, put("x/plain.csv", text), A))
+    assert plain == rows(read_delimited(spark, put("y/packed.csv.gz", text), A))
+    return plain
+
+
+def test_newlines_in_quotes(spark, put):
+    assert both(spark, put, 'a,b\n1,"x\ny"\n2,z\n') == [("1", "x\ny"), ("2", "z")]
+
+
+def test_quoted_blank_in_the_only_column_is_a_row(spark, put):
+    assert both(spark, put, 'a\n" "\n\nx\n   \n"y"\n') == [(" ",), ("x",), ("y",)]
+
+
+@pytest.mark.parametrize("record", ["1,2,3", "1,2,", "1,2,,", 'p"q,c,d"e', '"a,b",c,d'])
+def test_long_records_fail(spark, put, record):
+    for name in ("l.csv", "l.csv.gz"):
+        with pytest.raises(Exception, match="expected 2 fields"):
+            read_delimited(spark, put(name, f"a,b\n{record}\n"), A).collect()
+
+
+@pytest.mark.parametrize(("record", "want"), [("1", ("1", None)), ("1,2", ("1", "2")), ('"a,b"', ("a,b", None)), ('"x,""y"', ('x,"y', None))])
+def test_short_records_are_padded(spark, put, record, want):
+    assert both(spark, put, f"a,b\n{record}\n") == [want]
+
+
+def test_long_headers(spark, put):
+    names = [f"n{i}\nline" for i in range(80)]
+    text = ",".join(f'"{n}"' for n in names) + "\n" + ",".join("1" for _ in names) + "\n"
+    assert read_header(spark, put("h.csv", text)) == names
+    assert read_header(spark, put("blank.csv", "\n" * 70 + "a,b\n1,2\n")) == ["a", "b"]
+    assert read_header(spark, put("inside.csv", '"a\n\nb",c\n1,2\n')) == ["a\n\nb", "c"]
+
+
+def test_bytes_that_are_not_utf8(spark, tmp_path):
+    for name, data in (("a.csv", b"a\nb\xe9c\n"), ("b.csv.gz", gzip.compress(b"a\nb\xe9c\n"))):
+        (tmp_path / name).write_bytes(data)
+        with pytest.raises(Exception, match="not UTF-8"):
+            read_delimited(spark, str(tmp_path / name), A).collect()
+
+
+@pytest.mark.parametrize(
+    ("text", "want"),
+    [("1e3", 1000), ("1.0", 1), ("-2.50e1", -25), ("0e400", 0), ("0.000e-9", 0), ("12e-0", 12), ("100e-2", 1), (".5e1", 5), ("9223372036854775807.0", 2**63 - 1), ("-9223372036854775808.", -(2**63))],
+)
+def test_whole_numbers(spark, text, want):
+    frame = spark.createDataFrame([(text,)], "t string").select(parse_bigint("t", F.col("t"), F.lit("f")))
+    assert frame.first()[0] == want
+
+
+@pytest.mark.parametrize("text", ["1e-30", "0.0000000000000000001", "1.0000000000000000001", "1e400", "9223372036854775808.0", ".", "1.5", "1e99999999999"])
+def test_fractions_and_overflows_fail(spark, text):
+    frame = spark.createDataFrame([(text,)], "t string").select(parse_bigint("t", F.col("t"), F.lit("f")))
+    with pytest.raises(Exception, match="not a 64-bit integer"):
+        frame.collect()
+
+
+def month(spark, template, path):
+    frame = spark.createDataFrame([(path,)], [PATH])
+    return tuple(frame.select(*[c.alias(n) for n, c in month_of_path(template, F.col(PATH)).items()]).first())
+
+
+def test_months_of_paths(spark):
+    assert month(spark, "/d/{year}/trips_{year}-{month:02d}.csv", "file:///d/2021/trips_2021-03.csv") == (2021, 3)
+    assert month(spark, "/n/2019/12/{year}/{month:02d}/x.csv", "file:///n/2019/12/2021/01/x.csv") == (2021, 1)
+    assert month(spark, "{month:02d}/{year}", "s3://b/02/2020/part-0.csv") == (2020, 2)
+    for path in ("file:///d/2021/trips_2020-03.csv", "file:///other.csv", "file:///d/2021/trips_2021-03.csv.gz"):
+        with pytest.raises(Exception, match="is not of the form"):
+            month(spark, "/d/{year}/trips_{year}-{month:02d}.csv", path)
+    with pytest.raises(ValueError, match="must name"):
+        month_of_path("/d/{year}.csv", F.col(PATH))
+
+
+@pytest.mark.parametrize("layout", ["USING parquet PARTITIONED BY (p)", "USING orc", "USING csv"])
+def test_replace_of_tables_of_another_layout(spark, tmp_path, layout):
+    name = "lossless_" + "".join(c for c in layout if c.isalpha()).lower()
+    spark.sql(f"CREATE TABLE {name} (v bigint, p bigint) {layout}")
+    spark.sql(f"INSERT INTO {name} VALUES (1, 1), (2, 1), (3, 2)")
+    new = spark.range(5).selectExpr("id AS v", "id % 2 AS p")
+    assert tables.replace_table(new, name, str(tmp_path)).rows == 5
+    assert rows(spark.table(name)) == rows(new)
+    with pytest.raises(Exception):
+        tables.replace_table(new.withColumn("v", F.raise_error(F.lit("bad")).cast("bigint")), name, str(tmp_path))
+    assert rows(spark.table(name)) == rows(new)
+    spark.sql(f"DROP TABLE {name}")
+
+
+def test_append_keeps_types(spark, tmp_path):
+    tables.replace_table(spark.range(2), "lossless_types", str(tmp_path))
+    with pytest.raises(ValueError, match="double"):
+        tables.append_table(spark.createDataFrame([(1.7,)], "id double"), "lossless_types")
+    spark.sql("DROP TABLE lossless_types")
+
+
+def test_command_starts_from_anywhere(tmp_path):
+    cli = Path(__file__).resolve().parent.parent / "sluice" / "plans" / "cli.py"
+    found = subprocess.run([sys.executable, str(cli), "ingest", "--help"], cwd=tmp_path, capture_output=True, text=True, timeout=120)
+    assert found.returncode == 0
+    for option in ("--last", "--headers", "--writers", "--multi-line", "--bad-timestamp"):
+        assert option in found.stdout

@@ -23,7 +23,7 @@ def lines(n, start=0, seed=0):
 
 
 def index(spark, paths, scope=None, **options):
-    return rowindex.read_indexed(spark, paths, KV, scope, with_path=True, **options)
+    return rowindex.read_indexed(spark, paths, KV, scope, with_path=True, **{"multi_line": False, **options})
 
 
 def wrong(df):
@@ -106,7 +106,7 @@ def test_one_split_is_not_counted_first(spark, put, setting, capsys):
 
 
 def test_counting_pass_reads_no_cells(spark, put, capsys):
-    raw = read_parts(spark, put("c.csv", lines(10)), KV)[0].raw
+    raw = read_parts(spark, put("c.csv", lines(10)), KV, multi_line=False, whole_records=False)[0].raw
     numbered(raw).select(*ORIGIN).groupBy(PATH).count().explain()
     assert "ReadSchema: struct<>" in capsys.readouterr().out
 
