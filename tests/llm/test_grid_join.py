@@ -1,0 +1,75 @@
+import numpy as np
+import pytest
+
+from sluice.llm import grid_join, queries
+from sluice.llm.grid_join import GridJoin
+
+DATA = "/root/testdata/sf0.001"
+SCHEMA = "vec_id long, embedding array<double>, label int, node string, size int"
+
+
+def brute(rows, cosine=0.9):
+    width = max((len(v) for _, v in rows if v), default=0)
+    good, x = [], np.zeros((len(rows), width))
+    for k, (_, v) in enumerate(rows):
+        ok = bool(v) and all(c is not None and np.isfinite(c) for c in v) and any(v)
+        good.append(ok)
+        if ok:
+            x[k, : len(v)] = v
+    x /= np.maximum(np.abs(x).max(axis=1, keepdims=True), 1e-300)
+    norm = np.sqrt((x * x).sum(axis=1))
+    with np.errstate(all="ignore"):
+        c = x @ x.T / norm[:, None] / norm[None, :]
+    link = (c >= cosine) & np.array(good)[:, None] & np.array(good)[None, :]
+    np.fill_diagonal(link, False)
+    name = list(range(len(rows)))
+    changed = True
+    while changed:
+        changed = False
+        for i, j in zip(*np.nonzero(link), strict=True):
+            low = min(name[i], name[j])
+            if name[i] != low or name[j] != low:
+                name[i] = name[j] = low
+                changed = True
+    ids = {}
+    for k, (i, _) in enumerate(rows):
+        if i is not None:
+            ids[name[k]] = min(ids.get(name[k], i), i)
+    out = [(i, int(link[k].sum()), ids.get(name[k]), i is not None and ids.get(name[k]) == i) for k, (i, _) in enumerate(rows)]
+    return sorted(out, key=str)
+
+
+def result(df):
+    return sorted((tuple(r) for r in df.collect()), key=str)
+
+
+def test_query_equals_brute_force(spark):
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet(f"{DATA}/embeddings.parquet").collect()]
+    assert result(queries.op10_grid_join(spark, DATA)) == brute(rows)
+
+
+@pytest.mark.parametrize("how", [GridJoin(directions=4, interval=40, leaf=8), GridJoin(directions=3, interval=7, leaf=100, sample=5), GridJoin()])
+def test_clusters_copies_and_edges(spark, how):
+    rng = np.random.default_rng(6)
+    centres = rng.normal(size=(12, 10))
+    vectors = [(centres[k % 12] + rng.normal(size=10) * 0.35).tolist() for k in range(240)]
+    vectors += [vectors[0]] * 60 + [[2 * c for c in vectors[0]]] * 3  # a hot vector, and one in the same direction
+    rows = list(enumerate(vectors))
+    rows += [(1000, None), (1001, []), (1002, [0.0] * 10), (1003, [1.0, None]), (1004, [float("nan")] * 10), (1005, [float("inf"), 1.0])]
+    rows += [(1006, [1e-200] * 3), (1007, [1e200] * 3), (1008, [1.0, 1.0, 1.0, 0.0]), (None, [1.0, 1.0, 1.0]), (1006, [-5.0] + [0.0] * 9), (7, vectors[7])]
+    frame = spark.createDataFrame([(i, v, 1, "n", 2) for i, v in rows], SCHEMA)
+    assert result(grid_join.near_duplicates(frame, how)) == brute(rows)
+
+
+def test_empty_table(spark):
+    assert grid_join.near_duplicates(spark.createDataFrame([], SCHEMA)).collect() == []
+
+
+def test_distant_intervals_are_skipped(spark):
+    rng = np.random.default_rng(1)
+    far = [(k, (np.eye(8)[k % 8] + rng.normal(size=8) * 0.01).tolist(), 1, "n", 1) for k in range(400)]
+    how = GridJoin(interval=50)
+    vectors = grid_join.nodes(spark.createDataFrame(far, SCHEMA), "vec_id", "embedding").selectExpr("node", "vector", "1L as size")
+    blocks = grid_join.intervals(vectors, grid_join.principal(vectors, how), how)
+    n = blocks.count()
+    assert grid_join.near_pairs(blocks, how).count() < n * (n + 1) / 2 / 2

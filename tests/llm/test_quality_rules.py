@@ -1,0 +1,81 @@
+import random
+import re
+
+from pyspark.sql import functions as F
+
+from sluice.llm import quality_rules
+
+SCHEMA = "doc_id long, text string, quality string, words int, counts int, lines int"
+DATA = "/root/testdata/sf0.001/documents.parquet"
+
+
+def brute(text):
+    text = text or ""
+    words = re.findall(r"[^\x20\x09-\x0D]+", text)
+    lines = [x for x in text.split("\n") if re.search(r"[^\x20\x09-\x0D]", x)]
+    windows = [tuple(words[i : i + 3]) for i in range(len(words) - 2)]
+    many = {x for x in set(windows) if windows.count(x) > 1} if len(windows) < 3000 else None
+    if many is None:
+        from collections import Counter
+
+        many = {x for x, n in Counter(windows).items() if n > 1}
+    covered = {j for i, x in enumerate(windows) if x in many for j in (i, i + 1, i + 2)}
+    stop = {w for group in quality_rules.STOP_WORDS.values() for w in group}
+    return {
+        "n_words": len(words),
+        "word_chars": sum(map(len, words)),
+        "n_symbols": sum(c in "#*$%&|<>" for c in text),
+        "n_lines": len(lines),
+        "n_dup_lines": len(lines) - len(set(lines)),
+        "n_repeat_words": len(covered),
+        "n_stop_words": sum(w in stop for w in words),
+        "base_failed": len(words) < 50 or 100 * len(covered) > 50 * len(words),
+    }
+
+
+def check(rows):
+    for row in rows:
+        want = brute(row.text)
+        found = row.verdict.asDict()
+        failed = found.pop("failed")
+        kept = found.pop("kept")
+        assert found == want, row.text and row.text[:80]
+        assert kept == (not failed) and want["base_failed"] == bool({"length", "repeats"} & set(failed))
+
+
+def test_counts_equal_brute_force(spark):
+    docs = spark.read.parquet(DATA)
+    check(quality_rules.judged(docs, out="verdict").collect())
+
+
+def test_edges_and_clashing_names(spark):
+    rng = random.Random(4)
+    texts = [None, "", " \t\n\x0b\f\r", "a", "a b", "a b c", "a b c a b c", "x x x x x x x", "\n\n a\n a\na\n", "ä ö ü # | <b> 𝒳𝒳"]
+    texts += [" ".join(rng.choice("abc") for _ in range(n)) for n in (5, 20, 200)]
+    texts += ["\n".join(["same line of five words"] * 40), " ".join(f"w{i}" for i in range(100_000)), "y" * 300_000, "a b c d " * 20_000]
+    rows = [(i, t, "q", 1, 2, 3) for i, t in enumerate(texts)] + [(0, "a b c", "q", 1, 2, 3)] * 3 + [(None, "a b c", None, None, None, None)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    check(quality_rules.judged(docs, out="verdict").collect())
+    assert quality_rules.keep(docs).columns == docs.columns
+    assert quality_rules.keep(docs.limit(0)).collect() == []
+
+
+def test_each_rule(spark):
+    words = [f"word{i}" for i in range(100)]
+    clean = " ".join("the" if i % 5 == 0 else w for i, w in enumerate(words))
+    texts = {
+        "": clean,
+        "length": " ".join(clean.split()[:40]),
+        "repeats,repeated_lines": "\n".join([clean[:200]] * 9),
+        "word_length": " ".join("the" if i % 5 == 0 else w * 5 for i, w in enumerate(words)),
+        "symbols": clean.replace(" ", " # ", 30),
+        "stop_words": " ".join(words),
+    }
+    docs = spark.createDataFrame(list(texts.items()), "want string, text string")
+    rows = quality_rules.judged(docs).select("want", F.array_join("quality.failed", ",").alias("got"), "quality.kept").collect()
+    assert all(r.want == r.got and r.kept == (r.want == "") for r in rows), rows
+
+
+def test_no_user_functions(spark):
+    plan = quality_rules.judged(spark.read.parquet(DATA))._jdf.queryExecution().toString()
+    assert not re.search("Python|Arrow|Pandas|Exchange", plan)
