@@ -116,19 +116,23 @@ def read_quoted_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_delimited(spark, folder, DOCUMENTS)
 
 
+def read_quoted_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    folder = extracts.kept(spark, sf_dir, "documents-plain", lambda path: extracts.write_csv(documents, path))
+    return read_delimited(spark, folder, DOCUMENTS)
+
+
 def read_header_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     final = F.col("o_orderstatus") == "F"
     one = extracts.kept(
-        spark, sf_dir, "header-a",
-        lambda folder: extracts.write_csv(orders.where(final).select("o_orderkey", "o_custkey", "o_totalprice"), folder),
+        spark, sf_dir, "header-a", lambda folder: extracts.write_csv(orders.where(final), folder)
     )
     two = extracts.kept(
         spark, sf_dir, "header-b",
-        lambda folder: extracts.write_csv(orders.where(~final).select("o_totalprice", "o_orderkey", "o_custkey"), folder),
+        lambda folder: extracts.write_csv(orders.where(~final).select(*reversed(orders.columns)), folder),
     )
-    contract = Contract.of({"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double"})
-    return read_delimited(spark, [one, two], contract)
+    return read_delimited(spark, [one, two], ORDERS)
 
 
 def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -161,6 +165,7 @@ def parse_integral_text(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("o_orderkey") % 4 == 0, F.concat(custkey, F.lit(".0")))
         .when(F.col("o_orderkey") % 4 == 1, F.concat(F.lit("+"), custkey))
         .when(F.col("o_orderkey") % 4 == 2, F.concat(custkey, F.lit("e0")))
+        .when(F.col("o_orderkey") % 8 == 3, F.concat(custkey, F.lit("000e-3")))
         .otherwise(custkey)
     )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", text.alias("o_custkey"))
@@ -281,7 +286,7 @@ def load_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = indexed(spark, events_csv(spark, sf_dir), EVENTS)
     tables.replace_table(rows, name, folder)
     tables.append_table(rows, name)
-    return spark.table(name).select("index", "event_id", "ts", "value")
+    return spark.table(name)
 
 
 def stream(spark: SparkSession, sf_dir: str) -> chunk_load.StreamLoad:
@@ -357,6 +362,7 @@ def own_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "read_typed_csv": read_typed_csv,
         "read_plain_csv": read_plain_csv,
         "read_quoted_text": read_quoted_text,
+        "read_quoted_plain": read_quoted_plain,
         "read_header_bound": read_header_bound,
         "parse_timestamps": parse_timestamps,
         "read_null_tokens": read_null_tokens,
@@ -417,7 +423,8 @@ def own_oracle_sql() -> dict[str, str]:
         "read_typed_csv": "SELECT * FROM orders",
         "read_plain_csv": "SELECT * FROM orders",
         "read_quoted_text": "SELECT * FROM documents",
-        "read_header_bound": "SELECT o_orderkey, o_custkey, o_totalprice FROM orders",
+        "read_quoted_plain": "SELECT * FROM documents",
+        "read_header_bound": "SELECT * FROM orders",
         "parse_timestamps": "SELECT event_id, ts, ts AS day_first FROM events",
         "read_null_tokens": """
             SELECT o_orderkey, CASE WHEN o_orderkey % 20 = 19 THEN o_orderstatus END AS o_orderstatus,
@@ -472,7 +479,7 @@ def own_oracle_sql() -> dict[str, str]:
                    (SELECT count(*) FROM (DESCRIBE orders)) AS n_cols""",
         "load_replace": 'SELECT row_number() OVER (ORDER BY o_orderkey) - 1 AS "index", * FROM orders',
         "load_append": """
-            SELECT n - 1 AS "index", event_id, ts, value
+            SELECT n - 1 AS "index", * EXCLUDE (n, range)
             FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS n FROM events), range(2)""",
         "stream_chunk_load": "SELECT * FROM orders",
         "stream_chunk_audit": """

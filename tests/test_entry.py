@@ -23,10 +23,10 @@ def duck():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(entry.own_queries()) == set(entry.own_oracle_sql())
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(entry.own_queries()))
 def test_same_rows_as_sql(spark, duck, name):
     df = entry.queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)
