@@ -14,7 +14,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.work import unused
+from sluice.llm.work import unused, where_computed
 
 SEPARATORS = " \t\n\x0b\f\r"
 SYMBOLS = "#*$%&|<>"
@@ -49,7 +49,7 @@ RULES = (
     Rule("word_length", "word_chars", "n_words", least=2.0, most=15.0),
     Rule("symbols", "n_symbols", "n_words", most=0.1),
     Rule("stop_words", "n_stop_words", "n_words", least=0.05),
-    Rule("repeated_lines", "n_dup_lines", "n_lines", most=0.3),
+    Rule("repeated_lines", "n_dup_lines", "n_lines", most=0.6),
 )
 
 
@@ -144,4 +144,4 @@ def judged(
 def keep(docs: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES, base: Sequence[Rule] = BASE_RULES) -> DataFrame:
     """The rows of `docs` that break no rule, with its own columns."""
     (quality,) = unused(docs, "quality")
-    return judged(docs, text, rules, base, quality).where(F.col(f"{quality}.kept")).drop(quality)
+    return where_computed(judged(docs, text, rules, base, quality), F.col(f"{quality}.kept")).drop(quality)
