@@ -12,11 +12,11 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
+import query_inputs as extracts
 from sluice import session
 from sluice.functions.contract import Contract
 from sluice.functions.parsing import NULL_TOKENS
 from sluice.operators import profile, rowindex
-from sluice.plans import extracts
 from sluice.plans.jobs import IngestConfig, ingest, month_job
 from sluice.sinks import tables
 from sluice.sources import literals

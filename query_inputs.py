@@ -1,6 +1,6 @@
 """Delimited files and folders written by Spark from tables: the inputs the readers are run on.
 
-Extracts go to the shared folder the session names, are written by parallel
+They go to the shared folder the session names, are written by parallel
 tasks, and are kept for the rest of the application.
 """
 
