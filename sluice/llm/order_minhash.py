@@ -28,7 +28,12 @@ from sluice.llm.work import ship, stored, unused
 
 @dataclass(frozen=True)
 class OrderMinHash:
-    """A pair of similarity 0.8 misses all bands with probability (1 - 0.8**6)**32, below 1 in 10 000."""
+    """Two texts of similarity s share a band with probability s**6, about.
+
+    Those of similarity 0.8 share none of the 32 with a probability below 1 in
+    10 000, more similar ones still less often. `block` bounds the texts, and
+    `block_chars` about their characters, that are compared with another such lot at a time.
+    """
 
     k: int = 5
     similarity: float = 0.8
@@ -36,9 +41,12 @@ class OrderMinHash:
     rows: int = 2
     bands: int = 32
     seed: int = 7
+    block: int = 256
+    block_chars: int = 4_000_000
 
 
 CELLS = 1 << 21  # of the matrix of hash values at a time
+COLUMNS = 2048  # of the matrix of k-mers at a time
 
 
 def kmers(words: np.ndarray, k: int) -> np.ndarray:
@@ -115,7 +123,7 @@ def sketches(texts: DataFrame, how: OrderMinHash) -> DataFrame:
                 [batch.column("node"), pa.ListArray.from_arrays(offsets, values)], ["node", "keys"]
             )
 
-    return texts.select("node", "text").mapInArrow(run, "node binary, keys array<bigint>")
+    return texts.select("node", "text").mapInArrow(run, "node bigint, keys array<bigint>")
 
 
 def common_in_band(a: list, b: list, width: int) -> int:
@@ -184,42 +192,45 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float) -> float:
     return common / (both - common)
 
 
+def sequences(column: pa.Array | pa.ChunkedArray, k: int) -> Iterator[np.ndarray]:
+    """The k-mers of each text."""
+    for block in textbytes.blocks(column):
+        starts, ends, first = block.words()
+        hashes = block.word_hashes(starts, ends)
+        for i in range(block.n):
+            yield kmers(hashes[first[i] : first[i + 1]], k)
+
+
 def verify(pairs: DataFrame, texts: DataFrame, how: OrderMinHash) -> DataFrame:
     """Pairs (a, b) of nodes whose texts are similar, with the similarity."""
 
-    def sequences(column: pa.Array) -> Iterator[np.ndarray]:
-        for block in textbytes.blocks(column):
-            starts, ends, first = block.words()
-            hashes = block.word_hashes(starts, ends)
-            for i in range(block.n):
-                yield kmers(hashes[first[i] : first[i + 1]], how.k)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [
                 similarity(x, y, how.similarity)
-                for x, y in zip(sequences(batch.column("a_text")), sequences(batch.column("b_text")), strict=True)
+                for x, y in zip(sequences(batch.column("a_text"), how.k), sequences(batch.column("b_text"), how.k), strict=True)
             ]
             out = pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], ["a", "b", "similarity"])
             yield out.filter(pa.array([x >= how.similarity for x in found], pa.bool_()))
 
     with_a = pairs.join(texts.select(F.col("node").alias("a"), F.col("text").alias("a_text")), "a")
     both = with_a.join(texts.select(F.col("node").alias("b"), F.col("text").alias("b_text")), "b")
-    return both.select("a", "b", "a_text", "b_text").mapInArrow(run, "a binary, b binary, similarity double")
+    return both.select("a", "b", "a_text", "b_text").mapInArrow(run, "a bigint, b bigint, similarity double")
 
 
 def near_duplicates(docs: DataFrame, how: OrderMinHash = OrderMinHash(), id: str = "doc_id", text: str = "text") -> DataFrame:
     """(node, class_node): each distinct text that has words, and the smallest text of its class.
 
-    A node is the MD5 of a text, so equal texts are one node however many rows
+    A node is a 64-bit hash of a text, so equal texts are one node however many rows
     repeat them. Classes are the connected components of similar pairs. The
     work is done in two passes over the bands:
 
     1. In each bucket the smallest node is compared with every other one:
        linear in the bucket, and enough for a bucket of copies.
-    2. Buckets whose nodes are not all of one class by then: every node outside
-       the bucket's largest class is compared with all nodes of other classes,
-       so no link between nodes that met in a bucket is lost.
+    2. In buckets whose nodes are not all of one class by then, every node outside
+       the largest class is compared with all nodes of other classes, a block
+       with a block: no pair becomes a row, and no link between nodes that met in
+       a bucket is lost.
 
     Texts are read where pairs need them only, one row for each node.
     Null and empty texts, and texts of separators alone, belong to no class.
@@ -236,36 +247,117 @@ def near_duplicates(docs: DataFrame, how: OrderMinHash = OrderMinHash(), id: str
     links = stored(verify(pairs, texts, how), "similar")
     classes = stored(components(links), "classes")
 
-    member = (
-        met.select("key", "node")
-        .join(classes, "node", "left")
-        .select("key", "node", F.coalesce("component", "node").alias("class"))
+    member = mixed_buckets(classed(met.select("key", "node"), classes, "node"))
+    more = stored(compared(dealt(member.join(texts, "node"), how), how), "similar")
+    return grown(sketched, classes, more).select("node", F.col("component").alias("class_node"))
+
+
+def grown(nodes: DataFrame, classes: DataFrame, links: DataFrame) -> DataFrame:
+    """(node, component) of all nodes after more links (a, b) have joined some of the classes."""
+    ends = classed(classed(links.select("a", "b"), classes, "a", "x"), classes, "b", "y")
+    top = components(ends, "x", "y").select(F.col("node").alias("class"), F.col("component").alias("top"))
+    found = classed(nodes.select("node"), classes, "node").join(top, "class", "left")
+    return stored(found.select("node", F.coalesce("top", "class").alias("component")), "classes")
+
+
+def classed(rows: DataFrame, classes: DataFrame, node: str, out: str = "class") -> DataFrame:
+    """`rows` with the class of a column of nodes; a node without links is its own."""
+    known = classes.select(F.col("node").alias(node), F.col("component").alias("known"))
+    return rows.join(known, node, "left").withColumn(out, F.coalesce("known", node)).drop("known")
+
+
+def mixed_buckets(member: DataFrame) -> DataFrame:
+    """Rows (key, node, class) of the buckets that hold more than one class."""
+    mixed = member.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y").select("key")
+    return stored(member.join(mixed, "key"), "mixed")
+
+
+def dealt(member: DataFrame, how: OrderMinHash) -> DataFrame:
+    """Rows (key, node, class, text) as blocks to compare: (key, one, two, part, node, class, text).
+
+    A bucket's largest class and the nodes outside it are cut into blocks by
+    hash. Blocks outside meet each other and those of the class, whose own
+    blocks never meet. `one` and `two` name the blocks, `part` the node's own.
+    """
+    sizes = member.groupBy("key", "class").agg(F.count(F.lit(1)).alias("n"), F.sum(F.length("text")).alias("chars"))
+    total = sizes.groupBy("key").agg(
+        F.max_by(F.struct("class", "n", "chars"), F.struct("n", "class")).alias("top"), F.sum("n").alias("n"), F.sum("chars").alias("chars")
     )
-    split = member.groupBy("key").agg(F.min("class").alias("x"), F.max("class").alias("y")).where("x <> y").select("key")
-    member = stored(member.join(split, "key"), "split")
-    sizes = member.groupBy("key", "class").count()
-    largest = sizes.groupBy("key").agg(F.max_by("class", F.struct("count", "class")).alias("largest"))
-    marked = member.join(largest, "key").withColumn("outside", F.col("class") != F.col("largest")).drop("largest")
-    one = marked.where("outside").select("key", F.col("node").alias("p"), F.col("class").alias("p_class"))
-    two = marked.select("key", F.col("node").alias("q"), F.col("class").alias("q_class"), "outside")
-    rest = (
-        one.join(two, (one["key"] == two["key"]) & (F.col("p_class") != F.col("q_class")) & (~F.col("outside") | (F.col("p") < F.col("q"))))
-        .select(F.least("p", "q").alias("a"), F.greatest("p", "q").alias("b"))
-        .distinct()
-        .join(pairs, ["a", "b"], "left_anti")
+    count = lambda n, chars: F.greatest(F.ceil(n / how.block), F.ceil(chars / how.block_chars), F.lit(1)).cast("int")
+    plan = total.select(
+        "key",
+        F.col("top.class").alias("largest"),
+        count(F.col("top.n"), F.col("top.chars")).alias("inside"),
+        count(F.col("n") - F.col("top.n"), F.col("chars") - F.col("top.chars")).alias("outside"),
     )
-    rest = stored(rest, "pairs")
-    more = stored(verify(rest, texts, how), "similar")
-    if more.isEmpty():
-        grown = classes
-    else:
-        joined = links.select("a", "b").unionByName(more.select("a", "b"))
-        grown = stored(components(joined), "classes")
-    return sketched.select("node").join(grown, "node", "left").select("node", F.coalesce("component", "node").alias("class_node"))
+    rows = member.join(plan, "key").withColumn("out", F.col("class") != F.col("largest"))
+    own = F.pmod(F.xxhash64("node", "key"), F.when(F.col("out"), F.col("outside")).otherwise(F.col("inside"))).cast("int")
+    rows = rows.withColumn("part", F.when(F.col("out"), own).otherwise(-1 - own))  # blocks inside have negative numbers
+    others = F.sequence(F.lit(0), F.col("outside") - 1)
+    inside = F.sequence(F.lit(-1), -F.col("inside"), F.lit(-1))
+    rows = rows.withColumn("other", F.explode(F.when(F.col("out"), F.concat(others, inside)).otherwise(others)))
+    pair = [F.least("part", "other").alias("one"), F.greatest("part", "other").alias("two")]
+    return rows.select("key", *pair, "part", "node", "class", "text")
+
+
+def compared(blocks: DataFrame, how: OrderMinHash) -> DataFrame:
+    """(a, b): similar nodes of different classes in each pair of blocks, as many as it takes to connect those classes."""
+
+    def run(table: pa.Table) -> pa.Table:
+        part, node, klass = (table.column(c).to_numpy() for c in ("part", "node", "class"))
+        x = list(sequences(table.column("text"), how.k))
+        found = connecting(x, part, klass, how.similarity)
+        return pa.table({"a": pa.array([int(node[i]) for i, _ in found], pa.int64()), "b": pa.array([int(node[j]) for _, j in found], pa.int64())})
+
+    return blocks.groupBy("key", "one", "two").applyInArrow(run, "a bigint, b bigint")
+
+
+def connecting(x: list[np.ndarray], part: np.ndarray, klass: np.ndarray, least: float) -> list[tuple[int, int]]:
+    """Links between texts of different classes, across parts if there are two, that connect all classes which links connect.
+
+    Common k-mers are counted for all pairs at once, by products of matrices
+    with a row per text; pairs that could be similar by them are aligned, most
+    common first, unless their classes are connected by then.
+    """
+    sizes = np.array([len(s) for s in x])
+    bags = [labelled(s) for s in x]
+    row = np.repeat(np.arange(len(x)), sizes)
+    _, column, n = np.unique(np.concatenate(bags), return_inverse=True, return_counts=True)
+    shared = n[column] > 1
+    row, column = row[shared], np.unique(column[shared], return_inverse=True)[1]
+    common = np.zeros((len(x), len(x)), np.float32)
+    order = np.argsort(column, kind="stable")
+    row, column = row[order], column[order]
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
+        lo, hi = np.searchsorted(column, (first, first + COLUMNS))
+        some = np.zeros((len(x), COLUMNS), np.float32)
+        some[row[lo:hi], column[lo:hi] - first] = 1
+        common += some @ some.T
+    enough = least * (sizes[:, None] + sizes[None, :]) / (1 + least) - 1e-3
+    possible = np.triu(common >= enough, 1) & (klass[:, None] != klass[None, :])
+    if part.min() != part.max():
+        possible &= part[:, None] != part[None, :]
+    i, j = np.nonzero(possible)
+    order = np.argsort(-(common[i, j] / (sizes[i] + sizes[j])), kind="stable")
+    name = {c: c for c in klass.tolist()}
+    out = []
+    for a, b in zip(i[order].tolist(), j[order].tolist(), strict=True):
+        p, q = root(name, int(klass[a])), root(name, int(klass[b]))
+        if p != q and similarity(x[a], x[b], least) >= least:
+            name[q] = p
+            out.append((a, b))
+    return out
+
+
+def root(name: dict[int, int], x: int) -> int:
+    while name[x] != x:
+        name[x] = name[name[x]]
+        x = name[x]
+    return x
 
 
 def node_of(text: str) -> F.Column:
-    return F.unhex(F.md5(F.col(text)))
+    return F.xxhash64(F.col(text))
 
 
 def node_texts(rows: DataFrame, nodes: DataFrame) -> DataFrame:
