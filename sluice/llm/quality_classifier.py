@@ -1,7 +1,7 @@
 """Quality scores from supervised subword embeddings.
 
-Every word, and every run of 3 to 5 bytes of a word with its ends marked, has
-a vector in a hashed table. A text's vector is the mean over all of them; a
+Every word, every run of 3 to 5 bytes of a word with its ends marked, and two
+kinds of repeated word n-grams have vectors in a hashed table. A text's vector is the mean over all of them; a
 softmax layer turns it into the probability of label 1. Table and layer are
 learned together by stochastic gradient descent in numpy on the driver, from a
 bounded sample of labelled rows.
@@ -25,6 +25,10 @@ from sluice.llm import textbytes
 from sluice.llm.work import ship
 
 
+#: Features of their own, one each for two kinds of word n-grams: a word twice in a row, and three words that come again.
+AGAIN = textbytes.mix(np.array([1, 2], np.uint64))
+
+
 @dataclass(frozen=True)
 class Training:
     """`max_rows` bounds the labelled sample, the one part of a job that does not grow with the corpus."""
@@ -65,7 +69,10 @@ def features(block: textbytes.Block, how: Training) -> Iterator[tuple[np.ndarray
         return
     shift = np.uint64(64 - how.bits)
     word_text = np.repeat(np.arange(block.n), np.diff(first))
-    yield word_text, (block.word_hashes(starts, ends) >> shift).astype(np.int64)
+    words = block.word_hashes(starts, ends)
+    yield word_text, (words >> shift).astype(np.int64)
+    for mark, again in zip(AGAIN >> shift, repeats(words, word_text), strict=True):
+        yield word_text[again], np.full(int(again.sum()), mark, np.int64)
     # the words again, each between two marks
     length = ends - starts + 2
     begin = np.concatenate(([0], np.cumsum(length)[:-1]))
@@ -89,6 +96,21 @@ def features(block: textbytes.Block, how: Training) -> Iterator[tuple[np.ndarray
         yield text[:size][whole], ((value ^ (value >> np.uint64(29))) * textbytes.PRIME >> shift).astype(np.int64)
 
 
+def repeats(words: np.ndarray, text: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Which words are the word before once more, and which begin three words that their text has had already."""
+    same = np.zeros(len(words), bool)
+    same[1:] = (words[1:] == words[:-1]) & (text[1:] == text[:-1])
+    size = max(len(words) - 2, 0)
+    three = textbytes.mix(words[:size] + textbytes.mix(words[1 : size + 1] + textbytes.mix(words[2:])))
+    whole = text[:size] == text[2:]
+    keys = np.where(whole, textbytes.mix(three ^ textbytes.mix(text[:size].astype(np.uint64))), np.arange(size, dtype=np.uint64))
+    order = np.argsort(keys, kind="stable")
+    had = np.zeros(len(words), bool)
+    had[order[1:]] = keys[order[1:]] == keys[order[:-1]]
+    had[:size] &= whole
+    return same, had
+
+
 def frequencies(rows: DataFrame, how: Training) -> list[tuple[float, np.ndarray, np.ndarray]]:
     """(label, buckets, shares) of the texts of rows (doc, label, text), in the order of doc, label and content."""
     ship(rows.sparkSession)
@@ -168,9 +190,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, how: Training, id: str =
         .orderBy(F.xxhash64("labelled"), "labelled", "label")
         .limit(how.max_rows)
     )
-    return docs.join(F.broadcast(chosen), F.col(id) == F.col("labelled")).select(
-        F.col(id).cast("string").alias("doc"), "label", F.col(text).alias("text")
-    ).limit(how.max_rows)
+    texts = docs.select(F.col(id).alias("doc"), F.col(text).alias("text"))
+    found = texts.join(F.broadcast(chosen), F.col("doc") == F.col("labelled"))
+    return found.select(F.col("doc").cast("string").alias("doc"), "label", "text").limit(how.max_rows)
 
 
 def score(model: Model, docs: DataFrame, text: str = "text", out: str = "score") -> DataFrame:
