@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from sluice.llm import textbytes
-from sluice.llm.work import ship, stored, unused
+from sluice.llm.work import ship, stored, unused, where_computed
 
 BUCKET_BITS = 14
 
@@ -242,5 +242,5 @@ def mixed(docs: DataFrame, classifier: Classifier, mixture: Mixture, id: str = "
 def repeated(docs: DataFrame, classifier: Classifier, mixture: Mixture, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows of `docs`, each as often as its copies say; no other column is added."""
     mix, copy = unused(docs, "mix", "copy")
-    rows = mixed(docs, classifier, mixture, id, text, mix).where(F.col(f"{mix}.copies") > 0)
+    rows = where_computed(mixed(docs, classifier, mixture, id, text, mix), F.col(f"{mix}.copies") > 0)
     return rows.withColumn(copy, F.explode(F.sequence(F.lit(1), F.col(f"{mix}.copies").cast("int")))).drop(mix, copy)

@@ -7,7 +7,8 @@ import tempfile
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import sluice
 from sluice import session
@@ -47,3 +48,15 @@ def unused(df: DataFrame, *names: str) -> list[str]:
         taken.add(name.lower())
         out.append(name)
     return out
+
+
+def where_computed(df: DataFrame, condition: Column) -> DataFrame:
+    """The rows for which a condition on computed columns holds.
+
+    A plain filter is moved below the projections that compute those columns,
+    with their expressions put in for each mention: long ones are then worked
+    out many times over. The row number here is not deterministic, so the filter
+    stays above it.
+    """
+    (row,) = unused(df, "row")
+    return df.withColumn(row, F.monotonically_increasing_id()).where(condition & (F.col(row) >= 0)).drop(row)
