@@ -74,7 +74,8 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = session.fresh_dir(spark, "archives")
     warc.write(table(spark, sf_dir, "pages"), folder)
-    found = warc.digests(warc.captures(warc.read(spark, folder)))
+    records = stored(warc.summaries(warc.read(spark, folder)), "records")  # read the archives once
+    found = warc.digests(warc.captures(records))
     return found.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

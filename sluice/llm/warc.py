@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.work import ship, unused
+from sluice.llm.work import ship, stored, unused
 
 # Fixed values of the format.
 VERSION = "WARC/1.1"
@@ -37,10 +37,15 @@ RECORD = f"type string, id string, concurrent string, headers {HEADERS}, http {H
 
 @dataclass(frozen=True)
 class Archives:
-    """Payloads shorter than `least_revisit` bytes are stored each time. `records` bounds the size of an archive."""
+    """Payloads shorter than `least_revisit` bytes are stored each time. `records` bounds the size of an archive.
+
+    Up to `broadcast` digests that several ids share, some 20 MB, go to all
+    executors, so that payloads need not be moved; more are joined by a shuffle.
+    """
 
     least_revisit: int = 1000
     records: int = 30_000
+    broadcast: int = 200_000
     date: str = "2024-01-01T00:00:00Z"
 
 
@@ -53,8 +58,8 @@ def with_originals(pages: DataFrame, how: Archives, id: str, payload: str, out:
     Of equal payloads of at least `least_revisit` bytes the largest id is the
     original, and refers_to of the others is that id. Rows that repeat the
     original's id and payload are originals too. A null id refers to the
-    original if there is one with an id. Only digests are grouped; payloads go
-    to the writer by way of a join with the few digests that several ids share.
+    original if there is one with an id. Only digests are grouped; rows are then
+    joined with the digests that several ids share.
     """
     size, sha, sha1, original = unused(pages, "size", "sha", "sha1", "original")
     data = F.encode(F.coalesce(F.col(payload), F.lit("")), "UTF-8")
@@ -66,6 +71,9 @@ def with_originals(pages: DataFrame, how: Archives, id: str, payload: str, out:
         .where("id is not null and (id <> least or known < n)")
         .select(F.struct("digest", "id").alias(original))
     )
+    shared = stored(shared, "shared")
+    if shared.limit(how.broadcast + 1).count() <= how.broadcast:
+        shared = F.broadcast(shared)
     same = (F.col(sha) == F.col(f"{original}.digest")) & (F.col(size) >= how.least_revisit)
     other = F.when(~F.col(id).eqNullSafe(F.col(f"{original}.id")), F.col(f"{original}.id"))
     return (
@@ -280,21 +288,31 @@ def captures(records: DataFrame) -> DataFrame:
     metadata record that is concurrent to nothing is left out, since no capture has it.
     """
 
+    fields = ["type", "id", "headers", "http", "block", "payload"]
+    fields += [c for c in ("bytes", "sha1") if c in records.columns]
+
     def part(names: tuple[str, ...], out: str) -> DataFrame:
         key = F.col("id") if out == "request" else F.col("concurrent")
         wanted = records.where(F.col("type").isin(*names))
-        return wanted.select(key.alias("capture"), F.struct("type", "id", "headers", "http", "block", "payload").alias(out)).where("capture is not null")
+        return wanted.select(key.alias("capture"), F.struct(*fields).alias(out)).where("capture is not null")
 
     whole = part(("response", "revisit"), "response").join(part(("metadata",), "metadata"), "capture", "full_outer")
     return part(("request",), "request").join(whole, "capture", "full_outer").select("capture", "request", "response", "metadata")
 
 
+def summaries(records: DataFrame) -> DataFrame:
+    """The records with `bytes` and `sha1` of their payloads, and without the payloads of HTTP messages."""
+    data = F.col("payload")
+    kept = F.when(F.size("http") == 0, data)
+    return records.withColumns({"bytes": F.octet_length(data).cast("long"), "sha1": F.sha1(data), "payload": kept})
+
+
 def page_of(uri: Column) -> Column:
     return F.nullif(F.regexp_extract(uri, r"\A<urn:page:(.*)>\z", 1), F.lit(""))
 
 
 def digests(found: DataFrame) -> DataFrame:
-    """(page_id, payload_bytes, payload_digest, record_type, refers_to, url) of each capture.
+    """(page_id, payload_bytes, payload_digest, record_type, refers_to, url) of each capture of `summaries`.
 
     Length and digest of a response are those of the payload that was read; of a
     revisit, which has none, those that its headers give for the full payload.
@@ -306,9 +324,9 @@ def digests(found: DataFrame) -> DataFrame:
     return found.where("response is not null").select(
         F.nullif(page, F.lit("")).cast("long").alias("page_id"),
         F.when(revisit, F.element_at(F.col("response.http"), "content-length").cast("long"))
-        .otherwise(F.octet_length("response.payload").cast("long"))
+        .otherwise(F.col("response.bytes"))
         .alias("payload_bytes"),
-        F.when(revisit, F.regexp_replace(told("warc-payload-digest"), r"\Asha1:", "")).otherwise(F.sha1("response.payload")).alias("payload_digest"),
+        F.when(revisit, F.regexp_replace(told("warc-payload-digest"), r"\Asha1:", "")).otherwise(F.col("response.sha1")).alias("payload_digest"),
         F.col("response.type").alias("record_type"),
         page_of(told("warc-refers-to")).cast("long").alias("refers_to"),
         told("warc-target-uri").alias("url"),

@@ -26,7 +26,7 @@ def brute(rows):
 def digests(spark, pages):
     folder = session.fresh_dir(spark, "archives")
     warc.write(pages, folder)
-    found = warc.digests(warc.captures(warc.read(spark, folder))).collect()
+    found = warc.digests(warc.captures(warc.summaries(warc.read(spark, folder)))).collect()
     return sorted((tuple(r)[:5] for r in found), key=str), found, folder
 
 
@@ -47,6 +47,14 @@ def test_edges(spark):
     assert {r.page_id: r.url for r in found if r.page_id in (1, 4)} == {1: "http://a/b?c#d", 4: "http://a/  X: y"}
 
 
+def test_shuffled_join_of_shared_payloads(spark):
+    rows = [(i, f"http://h/{i}", "p" * 2000 if i % 3 else str(i) * 1500) for i in range(30)]
+    folder = session.fresh_dir(spark, "archives")
+    warc.write(spark.createDataFrame(rows, "page_id long, url string, html string"), folder, warc.Archives(broadcast=0))
+    found = warc.digests(warc.captures(warc.summaries(warc.read(spark, folder)))).collect()
+    assert sorted((tuple(r)[:5] for r in found), key=str) == brute([(i, h) for i, _, h in rows])
+
+
 def test_empty_table(spark):
     assert digests(spark, spark.createDataFrame([], SCHEMA))[0] == []
 
