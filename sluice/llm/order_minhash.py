@@ -63,7 +63,7 @@ def kmers(words: np.ndarray, k: int) -> np.ndarray:
 
 
 def labelled(x: np.ndarray) -> np.ndarray:
-    """Each k-mer joined with the number of its earlier occurrences."""
+    """Each k-mer joined with the number of its earlier occurrences; a first occurrence is the k-mer itself, whatever else repeats."""
     order = np.argsort(x, kind="stable")
     same = np.concatenate(([False], x[order][1:] == x[order][:-1]))
     if not same.any():
@@ -72,7 +72,7 @@ def labelled(x: np.ndarray) -> np.ndarray:
     earlier = at - np.maximum.accumulate(np.where(same, 0, at))
     label = np.empty(len(x), np.uint64)
     label[order] = earlier
-    return textbytes.mix(x + label * np.uint64(0xD6E8FEB86659FD93))
+    return np.where(label == 0, x, textbytes.mix(x + label * np.uint64(0xD6E8FEB86659FD93)))
 
 
 class Sketcher:

@@ -119,6 +119,24 @@ def test_group_of_copies_chain_and_edges(spark):
     assert ids == sorted(want, key=str)
 
 
+def test_a_repeated_line_hides_no_copy(spark):
+    rng, rows = random.Random(17), []
+    for i in range(12):
+        once = [f"t{i}w{j}" for j in range(100)]
+        twice = once + once[40:48] if i % 2 else once[:60] + once[20:28] + once[60:]
+        assert len(set(shingles(" ".join(once)))) == len(shingles(" ".join(once)))
+        rows += [(2 * i, " ".join(once)), (2 * i + 1, " ".join(twice))]
+        x = list(order_minhash.sequences(order_minhash.pa.array([" ".join(once), " ".join(twice)]), 5))
+        assert order_minhash.connecting(x, np.array([0, 1]), np.array([5, 6]), 0.8) == [(0, 1)]
+        kept = order_minhash.labelled(np.concatenate([x[0], x[0][:3]]))
+        assert (kept[: len(x[0])] == x[0]).all() and len(set(kept.tolist())) == len(kept)
+    rng.shuffle(rows)
+    docs = spark.createDataFrame([(i, t, "extra", 1) for i, t in rows], SCHEMA)
+    got = sorted(((r.doc_id, r.class_id) for r in order_minhash.duplicate_classes(docs).collect()), key=str)
+    assert got == brute_classes(rows)
+    assert all(c == i - i % 2 for i, c in got)
+
+
 def test_empty_table(spark):
     docs = spark.createDataFrame([], SCHEMA)
     assert order_minhash.duplicate_classes(docs).collect() == []
