@@ -46,6 +46,44 @@ def test_several_notices_in_line_and_wrapped(matcher):
     ]
 
 
+@pytest.mark.parametrize("name", sorted(TEMPLATES))
+def test_wrapped_at_every_word_and_with_words_ahead(matcher, name):
+    parts = TEMPLATES[name].split()
+    for cut in range(1, len(parts)):
+        text = " ".join(parts[:cut]) + "\n * " + " ".join(parts[cut:])
+        assert [(n, d) for n, _, _, d in matcher.find(f"Before.\n * {text}\n * after it")] == [(name, "")], cut
+    for ahead in range(51):
+        assert [(n, d) for n, _, _, d in matcher.find("ahead " * ahead + TEMPLATES[name] + " and after")] == [(name, "")], ahead
+
+
+@pytest.mark.parametrize("name", sorted(TEMPLATES))
+def test_one_added_word(matcher, name):
+    parts = TEMPLATES[name].split()
+    for cut in range(1, len(parts)):
+        text = " ".join(parts[:cut]) + " entirely " + " ".join(parts[cut:])
+        if len(matcher.cue.findall(text)) == len(matcher.cue.findall(TEMPLATES[name])):  # else it parts a cue's words
+            assert name in [n for n, _, _, _ in matcher.find(text)], text
+
+
+def test_usual_notices(matcher):
+    for name, text in {
+        "MIT-licensed": "this project is licensed under the MIT licence",
+        "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public\nLicense, v. 2.0. If a copy",
+        "CC-BY-SA-4.0": "Licensed under CC-BY-SA-4.0",
+        "GPL-program": "This program is free software; you can redistribute it and/or\nmodify it under the terms of the GNU General Public\nLicense.",
+        "Unlicense": "This is free and unencumbered software released into the public\ndomain.",
+        "Apache-2.0": "Licensed under the Apache License, v2.0",
+    }.items():
+        assert [n for n, _, _, _ in matcher.find(text)] == [name]
+    for text in ("Licensed under CC BY-ND 4.0.", "Licensed under the Mozilla Public License 1.1.", "licensed under the GNU Library General Public License, version 2"):
+        assert matcher.find(text) == []
+
+
+def test_every_cue_has_a_template():
+    for cue in ("licens", "copyright", "permission is hereby", "public domain", "redistribution and use"):
+        assert any(cue in t.lower() for t in TEMPLATES.values())
+
+
 def test_query_equals_exact_search(spark):
     rows = queries.op6_license_scan(spark, DATA).collect()
     texts = {r.doc_id: r.text for r in spark.read.parquet(f"{DATA}/documents.parquet").collect()}
