@@ -6,8 +6,8 @@ scores (of a unigram model, or of a BPE model, whose merges follow from them)
 and the bytes that stand for characters outside the vocabulary. Batches are
 encoded by the library's threads. Decoding looks the pieces' bytes up in a table.
 
-A share of the texts can be encoded by the reference library as well, to verify
-that both give the same ids.
+Every text is encoded by the reference library as well, unless a smaller share is
+asked for, to verify that both give the same ids.
 """
 
 from __future__ import annotations
@@ -249,13 +249,13 @@ def decode(ids: Column, name: str) -> Column:
     return arrow_udf(run, "string")(ids)
 
 
-def checked(docs: DataFrame, name: str, text: str = "text", out: str = "tokens", threads: int = 2, verify: float = 1 / 64) -> DataFrame:
+def checked(docs: DataFrame, name: str, text: str = "text", out: str = "tokens", threads: int = 2, verify: float = 1.0) -> DataFrame:
     """`docs` with a struct column `out`: n_tokens, ids_sha256, decoded_sha256, round_trip, parity.
 
     ids_sha256 is of the ids as 32-bit little-endian numbers, decoded_sha256 of
-    the decoded text, and round_trip tells whether that is the text itself. A
-    share `verify` of the texts, picked by their hash, is encoded by the
-    reference library too: parity is null for the others.
+    the decoded text, and round_trip tells whether that is the text itself. All
+    texts are encoded by the reference library too; with `verify` below 1 that
+    share of them, picked by their hash: parity is null for the others.
     """
     ship(docs.sparkSession)
     kind = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("round_trip", pa.bool_()), ("parity", pa.bool_())])

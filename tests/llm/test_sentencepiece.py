@@ -65,6 +65,11 @@ def test_query(spark):
     assert {r.parity for r in rows} == {True, None}
 
 
+def test_query_verifies_every_text(spark):
+    rows = queries.op7_sentencepiece(spark, DATA).collect()
+    assert len(rows) == 1000 and all(r.parity for r in rows)
+
+
 def test_columns_and_edges(spark):
     name = sentencepiece_codec.send(spark, queries.TOKENIZER)
     docs = spark.createDataFrame([(i, t, "t", 1) for i, t in enumerate(TEXTS)] + [(None, None, None, None), (1, "same", "t", 1), (1, "same", "t", 1)], SCHEMA)
