@@ -4,17 +4,21 @@
    table and gives every text its posterior over the domains.
 2. Rates r >= 0, one per document, are fitted so that the expected tokens of each
    domain, the sum over documents of tokens * posterior * rate, meet the targets:
-   least squares by projected gradient steps with momentum. A step reads a compact
-   table of (tokens, posterior) and brings one number per domain to the driver.
-
-In the metric in which every token weighs the same, a step changes a document's
-rate by an amount that depends on its posterior alone. So the rate after k steps
-follows from the posterior and the k short vectors of the steps, and no rate is
-ever stored: the last pass computes it again beside the text.
+   least squares of the relative misfits, and of all rates that do as well those
+   nearest to 1, with a weight of `NEAR` against the misfits. Newton steps on the
+   dual problem, which has one unknown a domain, end at its one optimum. A step
+   reads a compact table of (tokens, posterior) and brings a matrix of domains by
+   domains to the driver.
+
+At the optimum a document's rate is 1 + posterior * shift within the bounds, with
+one short vector `shift` for all. So no rate is ever stored: the last pass
+computes it again beside the text.
 """
 
 from __future__ import annotations
 
+import math
+import warnings
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -28,6 +32,7 @@ from sluice.llm import textbytes
 from sluice.llm.work import ship, stored, unused, where_computed
 
 BUCKET_BITS = 14
+NEAR = 1e-6  # weight of the rates' distance from 1 against that of the misfits
 
 
 @dataclass(frozen=True)
@@ -59,22 +64,34 @@ class Classifier:
 
 @dataclass(frozen=True)
 class Fit:
-    """The steps of a fit. `expected` are the domains' tokens that the rates give, `targets` what was asked for."""
+    """The result of a fit. `expected` are the domains' tokens that the rates give, `targets` what was asked for.
+
+    `optimal` tells whether the optimum was reached; a misfit that is left then is one that no rates within the bounds avoid.
+    """
 
     domains: tuple[str, ...]
     least: float
     most: float
-    steps: tuple[tuple[float, ...], ...]
+    shift: tuple[float, ...]
     targets: tuple[float, ...]
     expected: tuple[float, ...]
+    optimal: bool
 
     def rates(self, posterior: np.ndarray) -> np.ndarray:
-        return folded(posterior, self.steps, self.least, self.most)[0]
+        return np.clip(1 + posterior @ np.asarray(self.shift), self.least, self.most)
+
+    def misfit(self) -> float:
+        """The largest difference of expected and target tokens, as a share of the target; of all tokens where that is 0."""
+        whole = max(sum(self.targets), 1e-300)
+        return max((abs(e - t) / (t or whole) for e, t in zip(self.expected, self.targets, strict=True)), default=0.0)
 
 
 @dataclass(frozen=True)
 class Mixture:
-    """Target weights by domain, and bounds of the rates.
+    """Target weights by domain, and bounds of the rates; there is no upper one unless `most` is given.
+
+    The fit ends at its optimum, or after `steps` passes over the rows if given.
+    A misfit above `tolerance` is warned of.
 
     `tokens` is the total to reach; None takes the present total or, if rates may
     not fall below `least`, the smallest total at which no domain has to.
@@ -82,9 +99,9 @@ class Mixture:
 
     weights: dict[str, float] = field(default_factory=dict)
     least: float = 0.0
-    most: float = 8.0
+    most: float = math.inf
     tokens: float | None = None
-    steps: int = 60
+    steps: int | None = None
     tolerance: float = 1e-4
 
 
@@ -146,73 +163,87 @@ def memberships(classifier: Classifier) -> Column:
 # --- fit -------------------------------------------------------------------------------------
 
 
-def folded(p: np.ndarray, steps, least: float, most: float) -> tuple[np.ndarray, np.ndarray]:
-    """Rates after the steps, and the point ahead of them where the next gradient is taken."""
-    rate = np.full(len(p), min(max(1.0, least), most))
-    ahead, t = rate, 1.0
-    for step in steps:
-        new = np.clip(ahead - p @ np.asarray(step), least, most)
-        after = (1 + np.sqrt(1 + 4 * t * t)) / 2
-        ahead, rate, t = new + (t - 1) / after * (new - rate), new, after
-    return rate, ahead
-
-
 def fit(members: DataFrame, mixture: Mixture, domains: tuple[str, ...]) -> Fit:
-    """Rates for rows (tokens, posterior) by projected gradient least squares.
+    """Rates for rows (tokens, posterior): Newton steps on the dual of the least squares.
 
-    Each step is one pass over the rows; sums by domain are combined on the executors.
+    With reached(y) the tokens by domain at the shift y, the optimum is where
+    reached(y) - targets + near * scale**2 * y is 0: the gradient of a convex
+    function, quadratic in pieces. Each step, and each shorter one tried where a
+    whole one does not lower that function, is one pass over the rows; sums by
+    domain are combined on the executors.
     """
     weights = np.array([mixture.weights.get(d, 0.0) for d in domains])
     weights = weights / weights.sum()
-    n = len(domains)
+    n, least, most = len(domains), mixture.least, mixture.most
+
+    def totals(shift: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
+        """Sum over the tokens of the integral of the rate up to the shift; tokens reached; the latter's derivative; tokens at rate 1."""
 
-    def totals(steps) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = np.zeros((2 + n, n))
+            out = np.zeros((3 + n, n))
             for batch in batches:
                 tokens = batch.column("tokens").to_numpy().astype(float)
                 p = batch.column("posterior").flatten().to_numpy().reshape(len(tokens), n)
-                rate, ahead = folded(p, steps, mixture.least, mixture.most)
-                out[0] += (tokens * rate) @ p
-                out[1] += (tokens * ahead) @ p
-                if not steps:
-                    out[2:] += (p * tokens[:, None]).T @ p
+                free = 1 + p @ shift
+                rate = np.clip(free, least, most)
+                out[0, 0] += (tokens * rate * (free - rate / 2)).sum()
+                out[1] += (tokens * rate) @ p
+                out[2] += tokens @ p
+                out[3:] += (p * (tokens * (free == rate))[:, None]).T @ p
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(out.size)), pa.array(out.ravel())], ["i", "x"])
 
         found = members.mapInArrow(run, "i bigint, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
-        out = np.zeros((2 + n) * n)
+        out = np.zeros((3 + n) * n)
         for r in found:
             out[r["i"]] = r["x"]
-        out = out.reshape(2 + n, n)
-        return out[0], out[1], out[2:]
+        out = out.reshape(3 + n, n)
+        return out[0, 0], out[1], out[3:], out[2]
 
-    start = min(max(1.0, mixture.least), mixture.most)
-    reached, ahead, gram = totals([])
-    present = reached / start
+    shift, passes = np.zeros(n), 1
+    area, reached, slope, present = totals(shift)
     if mixture.tokens is not None:
         budget = mixture.tokens
-    elif mixture.least > 0:
-        budget = max((mixture.least * have / w for have, w in zip(present, weights, strict=True) if w > 0), default=0.0)
+    elif least > 0:
+        budget = max((least * have / w for have, w in zip(present, weights, strict=True) if w > 0), default=0.0)
     else:
         budget = present.sum()
     targets = budget * weights
-    scale = np.maximum(targets, 1e-9 * max(budget, 1.0))
-    steps: list[tuple[float, ...]] = []
-    if present.sum() > 0 and budget > 0:
-        whole = present.sum()
-        pull = whole / scale  # of a domain's shortfall on each document of it
-        length = 1 / np.linalg.eigvalsh(gram / whole * pull[:, None] * pull[None, :])[-1]
-        while len(steps) < mixture.steps and np.abs((reached - targets) / scale).max() > mixture.tolerance:
-            steps.append(tuple(length * pull * (ahead - targets) / scale))
-            reached, ahead, _ = totals(steps)
-    return Fit(domains, mixture.least, mixture.most, tuple(steps), tuple(targets), tuple(reached))
+    scale = np.maximum(targets, 1e-4 * max(budget, 1.0))
+    optimal = not (present.sum() > 0 and budget > 0)
+    near = NEAR / max(present.sum(), 1.0) * scale**2
+    value = lambda area, y: area - targets @ y + near @ y**2 / 2
+    gradient = reached - targets + near * shift
+    while not optimal and (mixture.steps is None or passes < mixture.steps):
+        # in units of the scale, so that small domains count as much as large ones
+        hessian = (slope + np.diag(near)) / scale[:, None] / scale[None, :]
+        step = -np.linalg.solve(hessian, gradient / scale) / scale
+        rise, size = float(gradient @ step), 1.0
+        if -rise <= 1e-13 * present.sum():  # what a step can gain is below what the sums resolve
+            optimal = True
+            break
+        here = value(area, shift)
+        while True:
+            new = shift + size * step
+            area, reached, slope, _ = totals(new)
+            passes += 1
+            if size < 1e-9 or value(area, new) <= here + 1e-4 * size * rise + 1e-13 * (abs(here) + abs(area)):
+                break
+            size /= 2
+        if size < 1e-9:
+            area, reached, slope, _ = totals(shift)
+            break
+        shift, gradient = new, reached - targets + near * new
+        optimal = bool((np.abs(gradient) / scale).max() <= 1e-7)
+    return Fit(domains, least, most, tuple(shift.tolist()), tuple(targets.tolist()), tuple(reached.tolist()), optimal)
 
 
 # --- use -------------------------------------------------------------------------------------
 
 
 def mixed(docs: DataFrame, classifier: Classifier, mixture: Mixture, id: str = "doc_id", text: str = "text", out: str = "mix") -> DataFrame:
-    """`docs` with a struct column `out`: tokens, posterior, rate, copies.
+    """`docs` with a struct column `out`: tokens, posterior, rate, copies, targets, expected.
+
+    `targets` and `expected` are the fit's tokens by domain, the same in every row.
 
     `copies` is the rate rounded up or down by a hash of id and text, so that
     its mean is the rate and a rerun gives the same. Texts that are null or
@@ -223,18 +254,21 @@ def mixed(docs: DataFrame, classifier: Classifier, mixture: Mixture, id: str = "
     member = memberships(classifier)
     compact = docs.select(member(F.col(text)).alias("m")).select("m.tokens", "m.posterior")
     fitted = fit(stored(compact, "members"), mixture, classifier.domains)
+    if fitted.misfit() > mixture.tolerance:
+        warnings.warn(f"targets {fitted.targets} of {fitted.domains} are missed: {fitted.expected}, optimal: {fitted.optimal}", stacklevel=2)
 
     def run(posterior: pa.Array) -> pa.Array:
         p = posterior.flatten().to_numpy().reshape(len(posterior), len(fitted.domains))
         return pa.array(fitted.rates(p))
 
     m, rate = unused(docs, "member", "rate")
+    whole = [F.array(*[F.lit(float(x)) for x in xs]).alias(c) for c, xs in (("targets", fitted.targets), ("expected", fitted.expected))]
     draw = F.pmod(F.xxhash64(F.lit("mix"), F.col(id), F.col(text)), F.lit(1 << 53)) / float(1 << 53)
     copies = F.floor(rate) + (draw < F.col(rate) - F.floor(rate)).cast("long")
     return (
         docs.withColumn(m, member(F.col(text)))
         .withColumn(rate, F.round(arrow_udf(run, "double")(F.col(f"{m}.posterior")), 9))
-        .withColumn(out, F.struct(f"{m}.tokens", f"{m}.posterior", F.col(rate).alias("rate"), copies.alias("copies")))
+        .withColumn(out, F.struct(f"{m}.tokens", f"{m}.posterior", F.col(rate).alias("rate"), copies.alias("copies"), *whole))
         .drop(m, rate)
     )
 

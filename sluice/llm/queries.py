@@ -143,7 +143,8 @@ def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     classifier = language_classifier(spark, sf_dir)
     mixed = mixing.mixed(docs, classifier, mixing.Mixture(LANGUAGES))
     shares = [F.round(F.get("mix.posterior", i), 9).alias(f"p_{d}") for i, d in enumerate(classifier.domains)]
-    return mixed.select("doc_id", F.col("mix.tokens").alias("n_tokens"), *shares, "mix.rate", "mix.copies")
+    totals = [F.get(f"mix.{c}", i).alias(f"{c}_{d}") for c in ("targets", "expected") for i, d in enumerate(classifier.domains)]
+    return mixed.select("doc_id", F.col("mix.tokens").alias("n_tokens"), *shares, "mix.rate", "mix.copies", *totals)
 
 
 def op10_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -54,6 +54,46 @@ def test_fit_equals_plain_projected_gradient(spark):
     assert np.allclose(fitted.expected, (tokens * fitted.rates(p)) @ p)
 
 
+def test_rare_domains_meet_their_targets(spark):
+    rng = np.random.default_rng(6)
+    tokens = rng.integers(50, 400, 2000)
+    rare = np.arange(2000) % 100 == 0  # one per cent is to become a third
+    p = np.where(rare[:, None], [0.02, 0.98], [1.0, 0.0])
+    members = spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens, p, strict=True)], "tokens long, posterior array<double>")
+    fitted = mixing.fit(members, Mixture({"a": 2.0, "b": 1.0}), ("a", "b"))
+    assert fitted.optimal and fitted.misfit() < 1e-4 and fitted.rates(p).max() > 20
+    assert np.allclose(fitted.expected, (tokens * fitted.rates(p)) @ p)
+
+
+def test_targets_out_of_reach_end_at_the_least_misfit(spark):
+    rng = np.random.default_rng(8)
+    tokens, p = rng.integers(1, 400, 300), rng.dirichlet([2.0, 0.1, 0.3], 300)
+    members = spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens, p, strict=True)], "tokens long, posterior array<double>")
+    fitted = mixing.fit(members, Mixture({"a": 0.2, "b": 0.5, "c": 0.3}, least=1.0, tokens=float(tokens.sum())), ("a", "b", "c"))
+    targets = tokens.sum() * np.array([0.2, 0.5, 0.3])
+    rate = fitted.rates(p)
+    slope = p @ (((tokens * rate) @ p - targets) / targets**2) * tokens.sum()  # of half the squared relative misfits, a token
+    assert fitted.optimal and fitted.misfit() > 0.01 and rate.min() >= 1
+    assert (slope > -1e-3).all() and np.abs(slope[rate > 1]).max(initial=0) < 1e-3
+
+
+def test_domain_without_weight(spark):
+    rng = np.random.default_rng(9)
+    tokens, p = rng.integers(1, 400, 300), rng.dirichlet([0.3, 0.3, 0.3], 300)
+    members = spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens, p, strict=True)], "tokens long, posterior array<double>")
+    fitted = mixing.fit(members, Mixture({"a": 2.0, "b": 1.0}), ("a", "b", "c"))
+    rate = fitted.rates(p)
+    assert fitted.optimal and rate.min() >= 0 and np.abs(((tokens * rate) @ p / tokens.sum()) - [2 / 3, 1 / 3, 0]).max() < 0.02
+
+
+def test_query_reports_the_fit(spark):
+    rows = queries.op9_mixing(spark, DATA).collect()
+    for d in queries.LANGUAGES:
+        assert len({(r[f"targets_{d}"], r[f"expected_{d}"]) for r in rows}) == 1
+        assert abs(rows[0][f"expected_{d}"] / rows[0][f"targets_{d}"] - 1) < 1e-4
+        assert abs(sum(r.n_tokens * r.rate * r[f"p_{d}"] for r in rows) / rows[0][f"expected_{d}"] - 1) < 1e-4
+
+
 def test_nothing_is_dropped_with_a_least_rate_of_one(spark, classifier):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     out = mixing.repeated(docs, classifier, Mixture(queries.LANGUAGES, least=1.0))
