@@ -1,9 +1,10 @@
 """Secrets in texts: fixed patterns, and strings that a character model finds random.
 
 Two first-order Markov models over characters, one of random strings and one of
-ordinary identifiers, are counted from labelled samples. A long run of
-identifier characters is reported if the logarithm of its likelihood ratio is
-high. Training and scoring are DataFrame expressions.
+ordinary identifiers, are counted from labelled samples. A run of identifier
+characters is reported if the logarithm of its likelihood ratio is high, or that
+of a stretch inside it, so that words joined to a key do not hide it. Training
+and scoring are DataFrame expressions.
 
 Places are code points from 0, ends exclusive. Null reads as the empty text,
 which has no spans; rows that repeat are scanned alike, each on its own.
@@ -27,10 +28,12 @@ KINDS = ("assign", "access", "hex", "random")
 LEAST = {"assign": 6, "access": 20}
 
 #: Strings that the models judge, and those that they are trained on.
-CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
+CANDIDATE = r"[A-Za-z0-9+/_=-]{12,}"
 SAMPLE = r"[A-Za-z0-9+/_=-]{12,}"
 #: Characters the models tell apart; letters in either case are one.
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+JOINTS = "/_=-"
+WHOLE = 20
 SMOOTH = 0.1
 SPAN = "struct<start:bigint,kind:int,end:bigint>"
 
@@ -42,6 +45,7 @@ class Models:
     ratios: tuple[float, ...]
     least_total: float = 12.0
     least_mean: float = 0.5
+    least_steps: int = 11
 
 
 # --- training --------------------------------------------------------------------------------
@@ -106,9 +110,34 @@ def steps(token: Column) -> Column:
 
 
 def is_random(token: Column, models: Models) -> Column:
+    """Whether the ratios of a string, or of the best stretch up to some place in it, reach the least total and mean.
+
+    Where a stretch's ratios fall to the least mean a new one begins: of those
+    that end at a place, the stretch left is the furthest above that mean.
+    Pairs with a character of `JOINTS` tell nothing in a stretch and in a string
+    of fewer than `WHOLE` characters: they join ordinary words too.
+    """
+    size, joints = len(ALPHABET), {ALPHABET.index(c) for c in JOINTS}
     table = F.lit(list(models.ratios))
-    ratio = F.aggregate(steps(token), F.lit(0.0), lambda a, s: a + F.coalesce(F.get(table, s), F.lit(0.0)))
-    return (ratio >= models.least_total) & (ratio >= models.least_mean * (F.char_length(token) - 1))
+    inner = F.lit([0.0 if {i // size, i % size} & joints else x for i, x in enumerate(models.ratios)])
+    zero = F.struct(F.lit(0.0).alias("whole"), F.lit(0.0).alias("words"), F.lit(0.0).alias("above"), F.lit(0.0).alias("total"), F.lit(0).alias("n"), F.lit(False).alias("found"))
+
+    def add(state: Column, step: Column) -> Column:
+        ratio = F.coalesce(F.get(inner, step), F.lit(0.0))
+        above, total, n = state["above"] + ratio - models.least_mean, state["total"] + ratio, state["n"] + 1
+        on = above > 0
+        return F.struct(
+            (state["whole"] + F.coalesce(F.get(table, step), F.lit(0.0))).alias("whole"),
+            (state["words"] + ratio).alias("words"),
+            F.when(on, above).otherwise(0.0).alias("above"),
+            F.when(on, total).otherwise(0.0).alias("total"),
+            F.when(on, n).otherwise(0).alias("n"),
+            (state["found"] | (on & (total >= models.least_total) & (n >= models.least_steps))).alias("found"),
+        )
+
+    least = F.greatest(F.lit(models.least_total), models.least_mean * (F.char_length(token) - 1))
+    long = F.char_length(token) >= WHOLE
+    return F.aggregate(steps(token), zero, add, lambda x: x["found"] | (x["words"] >= least) | (long & (x["whole"] >= least)))
 
 
 def all_of(text: Column, pattern: str, group: int = 0) -> Column:

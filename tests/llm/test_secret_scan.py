@@ -72,6 +72,22 @@ def test_models_tell_random_strings_from_identifiers(spark, models):
     assert not any(judge(spark.createDataFrame([(x,) for x in ordinary], "sample string")))
 
 
+def test_keys_joined_to_words_and_short_keys(spark, models):
+    path = "services/team/project/settings/internal/"
+    assigned = "SOME_VERY_LONG_SETTING_NAME_OF_THE_APPLICATION="
+    key = "Zq8vR2xT9mLpW4sKc7Yb1NdH"
+    texts = [f"see {path}{key} here", f"{assigned}{key}", f"see {key[:14]}.", f"{assigned}{key[:18]} and", "see internationalization_of_documents", "getHTTPResponseCode"]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in secret_scan.redacted(docs, models).collect()}
+    assert [clean[i] for i in range(4)] == ["see [SECRET] here", "[SECRET]", "see [SECRET].", "[SECRET] and"]
+    assert [clean[i] for i in (4, 5)] == texts[4:]
+
+
+def test_false_alarms_on_labelled_identifiers(spark, models):
+    samples = secret_scan.labelled_strings(spark.read.parquet(f"{DATA}/documents.parquet")).where("not random")
+    assert samples.count() > 100 and samples.where(secret_scan.is_random(F.col("sample"), models)).count() == 0
+
+
 def test_redaction(spark, models):
     rows = [(i, t, "b", 1, 2) for i, t in enumerate(TEXTS)] + [(None, "secret=abcdefgh!", None, None, None)] * 2
     docs = spark.createDataFrame(rows, SCHEMA)
