@@ -42,6 +42,14 @@ def test_decisions_take_effect(spark, stages):
     assert all(len(r.ids) == r.n_tokens > 0 for r in tokens.collect())
 
 
+def test_round_trip_is_told(spark, stages):
+    assert all(r.round_trip for r in stages[-1].collect())
+    odd = [(1, "a plain text", "en", "s", 12), (2, "a ▁ marked one", "en", "s", 14), (3, None, "en", "s", 0)]
+    docs = spark.createDataFrame(odd, "doc_id long, text string, lang string, source string, n_chars long")
+    told = {r.doc_id: r.round_trip for r in corpus_pipeline.tokens(spark, docs, DATA).collect()}
+    assert told == {1: True, 2: False, 3: True}
+
+
 def test_run(spark, stages):
     assert sorted(map(str, corpus_pipeline.run(spark, DATA).collect())) == sorted(map(str, stages[-1].collect()))
 
