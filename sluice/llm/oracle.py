@@ -105,3 +105,45 @@ reach(vec_id, other) AS (
 component AS (SELECT vec_id, min(other) AS component_id FROM reach GROUP BY vec_id)
 SELECT c.vec_id, count(l.b) AS n_links, component_id, c.vec_id = component_id AS kept
 FROM component c LEFT JOIN link l ON l.a = c.vec_id GROUP BY ALL"""
+
+
+#: CRC-32 byte by byte: its table of 256 entries is worked out from the polynomial.
+SHARDING = r"""
+WITH RECURSIVE bits AS (
+    SELECT i AS n, i::BIGINT AS c, 0 AS step FROM range(256) t(i)
+    UNION ALL SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, step + 1 FROM bits WHERE step < 8),
+steps AS (SELECT list(c ORDER BY n) AS t FROM bits WHERE step = 8),
+d AS (
+    SELECT doc_id, source, coalesce(strlen(text), 0)::BIGINT + 1 AS size,
+           xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'),
+                           lambda x: ('0x' || x)::BIGINT)), lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) AS text_crc32,
+           md5(concat_ws(':', '0', doc_id)) AS key
+    FROM documents, steps),
+r AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY key, doc_id) - 1 AS rank, count(*) OVER (PARTITION BY source) AS n FROM d),
+s AS (SELECT *, row_number() OVER (ORDER BY (2 * rank + 1) / (2 * n), source NULLS FIRST, key, doc_id) - 1 AS pos, count(*) OVER () AS total FROM r)
+SELECT doc_id, size, text_crc32, 'rows' AS law, ((pos * SHARDS) // total)::INT AS shard,
+       pos - (((pos * SHARDS) // total) * total + SHARDS - 1) // SHARDS AS slot, NULL::INT AS grown_shard
+FROM s"""
+
+
+def sharding(shards: int) -> str:
+    return SHARDING.replace("SHARDS", str(shards))
+
+
+SEARCH = r"""
+WITH d AS (
+    SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[TERM]+') AS terms, row_number() OVER () AS row
+    FROM documents),
+i AS (
+    SELECT item_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[TERM]+') AS terms
+    FROM benchmark),
+e AS (SELECT count(*) AS documents, sum(len(terms))::BIGINT AS total FROM d WHERE len(terms) > 0),
+tf AS (SELECT row, doc_id, len(terms) AS n, unnest(terms) AS term FROM d),
+f AS (SELECT row, doc_id, n, term, count(*) AS tf FROM tf GROUP BY ALL),
+w AS (SELECT term, floor(1000 * ln((2 * documents + 2) / (2 * count(*) + 1)))::BIGINT AS w FROM f, e GROUP BY term, documents),
+q AS (SELECT item_id, term, count(*) AS many FROM (SELECT item_id, unnest(terms) AS term FROM i) GROUP BY ALL),
+s AS (
+    SELECT item_id, row, doc_id, sum(many * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * documents) // total))))::BIGINT AS score
+    FROM q JOIN f USING (term) JOIN w USING (term), e GROUP BY ALL)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM s WHERE score > 0 QUALIFY rank <= 10""".replace("[TERM]", r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]")

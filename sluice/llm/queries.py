@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from sluice import session
 from sluice.llm import (
     grid_join,
+    lexical_search,
     license_scan,
     mixing,
     oracle,
@@ -18,8 +19,10 @@ from sluice.llm import (
     quality_rules,
     secret_scan,
     sentencepiece_codec,
+    sharding,
     url_filter,
     warc,
+    whitening,
 )
 from sluice.llm.work import stored
 
@@ -151,6 +154,31 @@ def op10_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return grid_join.near_duplicates(table(spark, sf_dir, "embeddings"))
 
 
+SHARDS = 8
+
+
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id",
+        "source",
+        (F.coalesce(F.octet_length("text"), F.lit(0)) + 1).cast("long").alias("size"),
+        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+    )
+    placed = sharding.assigned(stored(docs, "sizes"), SHARDS)  # texts are read once and not moved
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit(sharding.LAW).alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard")
+    )
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").where(whitening.usable(F.col("embedding")))
+    return whitening.whitened(vectors.select("vec_id", whitening.whole(F.col("embedding")).alias("x")), "vec_id", "x")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_order_minhash": op1_order_minhash,
@@ -163,6 +191,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_url_filter": op8_url_filter,
         "op9_mixing": op9_mixing,
         "op10_grid_join": op10_grid_join,
+        "op11_sharding": op11_sharding,
+        "op12_lexical_search": op12_lexical_search,
+        "op13_whitening": op13_whitening,
     }
 
 
@@ -172,4 +203,6 @@ def oracle_sql() -> dict[str, str]:
         "op4_warc": oracle.WARC,
         "op8_url_filter": oracle.urls(URL_RULES),
         "op10_grid_join": oracle.EMBEDDINGS,
+        "op11_sharding": oracle.sharding(SHARDS),
+        "op12_lexical_search": oracle.SEARCH,
     }

@@ -6,8 +6,8 @@ scores (of a unigram model, or of a BPE model, whose merges follow from them)
 and the bytes that stand for characters outside the vocabulary. Batches are
 encoded by the library's threads. Decoding looks the pieces' bytes up in a table.
 
-Every text is encoded by the reference library as well, unless a smaller share is
-asked for, to verify that both give the same ids.
+`checked` has every text encoded by the reference library as well, to verify that
+both give the same ids.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from sluice.llm.work import ship
+from sluice.llm.work import making_room, ship
 
 SPACE = "▁"
 # Fixed values of the model format: kinds of pieces and of models.
@@ -157,12 +157,27 @@ def tokenizer(model: Model):
     return built
 
 
+def batches(texts: list[str]) -> Iterator[list[str]]:
+    held, size = [], 0
+    for text in texts:
+        held.append(text)
+        size += len(text)
+        if size >= BATCH_CHARS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
+
+
 class Codec:
+    """Encodes and decodes by one model; texts go to the library in batches of about a million characters."""
+
     def __init__(self, data: bytes, threads: int = 2):
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         self.model, self.data = parse(data), data
         self.tokenizer = tokenizer(self.model)
+        self._reference = None
         texts = []
         for text, _, kind in self.model.pieces:
             if kind == BYTE:
@@ -178,17 +193,9 @@ class Codec:
         self.bytes = np.frombuffer(b"".join(texts), np.uint8)
 
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """Ids of each text, in batches of about a million characters."""
         run = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
-        held, size = [], 0
-        for text in texts:
-            held.append(text)
-            size += len(text)
-            if size >= BATCH_CHARS:
-                yield from (np.array(x.ids, np.int32) for x in run(held, add_special_tokens=False))
-                held, size = [], 0
-        if held:
-            yield from (np.array(x.ids, np.int32) for x in run(held, add_special_tokens=False))
+        for batch in batches(texts):
+            yield from (np.array(x.ids, np.int32) for x in run(batch, add_special_tokens=False))
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids, without the space that was put before it; bytes that make no character read as U+FFFD."""
@@ -200,17 +207,24 @@ class Codec:
         text = self.bytes[at].tobytes().decode("utf-8", "replace")
         return text[1:] if self.model.dummy_prefix and text[:1] == " " else text
 
-    def reference(self):
+    def reference(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of each text by the reference library."""
         import sentencepiece
 
-        return sentencepiece.SentencePieceProcessor(model_proto=self.data)
+        if self._reference is None:
+            self._reference = sentencepiece.SentencePieceProcessor(model_proto=self.data)
+        for batch in batches(texts):
+            yield from (np.array(ids, np.int32) for ids in self._reference.encode(batch, num_threads=1))
+
+
+THREADS = 2
 
 
 @lru_cache(maxsize=2)
-def codec(name: str, threads: int) -> Codec:
-    """The codec of a model file that was sent to the executors; built once in each worker."""
+def codec(name: str) -> Codec:
+    """The codec of a model file that was sent to the executors; built once in each worker, whatever it is used for."""
     with open(SparkFiles.get(name), "rb") as file:
-        return Codec(file.read(), threads)
+        return Codec(file.read(), THREADS)
 
 
 _sent: set[tuple[str, str]] = set()
@@ -230,11 +244,11 @@ def lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int32), pa.int32()))
 
 
-def encode(text: Column, name: str, threads: int = 2) -> Column:
+def encode(text: Column, name: str) -> Column:
     """Ids of a text as an array of int; null reads as the empty text, which has none."""
 
     def run(column: pa.Array) -> pa.Array:
-        return lists(list(codec(name, threads).encode(column.fill_null("").to_pylist())))
+        return lists(list(codec(name).encode(column.fill_null("").to_pylist())))
 
     return arrow_udf(run, "array<int>")(text)
 
@@ -243,36 +257,48 @@ def decode(ids: Column, name: str) -> Column:
     """The text of an array of ids; null reads as no ids."""
 
     def run(column: pa.Array) -> pa.Array:
-        each = codec(name, 1)
+        each = codec(name)
         return pa.array([each.decode(np.asarray(x.values.to_numpy() if x.is_valid else [], np.int64)) for x in column], pa.string())
 
     return arrow_udf(run, "string")(ids)
 
 
-def checked(docs: DataFrame, name: str, text: str = "text", out: str = "tokens", threads: int = 2, verify: float = 1.0) -> DataFrame:
+def encode_and_compare(text: Column, name: str) -> Column:
+    """A struct of the ids of a text and `round_trip`: whether they decode to the text itself; null reads as the empty text."""
+    kind = pa.struct([("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())])
+
+    def run(column: pa.Array) -> pa.Array:
+        each, texts = codec(name), column.fill_null("").to_pylist()
+        ids, same = [], []
+        for whole, found in zip(texts, each.encode(texts), strict=True):
+            ids.append(found)
+            same.append(each.decode(found) == whole)
+        return pa.StructArray.from_arrays([lists(ids).cast(kind[0].type), pa.array(same, pa.bool_())], fields=list(kind))
+
+    return arrow_udf(run, "struct<ids:array<int>,round_trip:boolean>")(text)
+
+
+def checked(docs: DataFrame, name: str, text: str = "text", out: str = "tokens") -> DataFrame:
     """`docs` with a struct column `out`: n_tokens, ids_sha256, decoded_sha256, round_trip, parity.
 
     ids_sha256 is of the ids as 32-bit little-endian numbers, decoded_sha256 of
-    the decoded text, and round_trip tells whether that is the text itself. All
-    texts are encoded by the reference library too; with `verify` below 1 that
-    share of them, picked by their hash: parity is null for the others.
+    the decoded text, and round_trip tells whether that is the text itself.
+    Every text is encoded by the reference library too: parity tells whether it
+    gives the same ids. A column of `docs` named as `out` is kept with `_` behind its name.
     """
     ship(docs.sparkSession)
+    docs = making_room(docs, out)
     kind = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("round_trip", pa.bool_()), ("parity", pa.bool_())])
 
     def run(column: pa.Array) -> pa.Array:
-        each, rows = codec(name, threads), []
-        texts = column.fill_null("").to_pylist()
-        other = None
-        for whole, ids in zip(texts, each.encode(texts), strict=True):
-            back, parity = each.decode(ids), None
-            data = whole.encode()
-            if int.from_bytes(hashlib.blake2b(data, digest_size=4).digest()) < verify * 2**32:
-                other = other or each.reference()
-                parity = other.encode(whole) == ids.tolist()
-            rows.append((len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(back.encode()).hexdigest(), back == whole, parity))
-        parts = list(zip(*rows, strict=True)) if rows else [()] * 5
-        return pa.StructArray.from_arrays([pa.array(list(x), f.type) for x, f in zip(parts, kind, strict=True)], fields=list(kind))
+        each, texts = codec(name), column.fill_null("").to_pylist()
+        parts: list[list] = [[] for _ in kind]
+        for whole, ids, theirs in zip(texts, each.encode(texts), each.reference(texts), strict=True):
+            back = each.decode(ids)
+            row = (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(back.encode()).hexdigest(), back == whole, np.array_equal(ids, theirs))
+            for part, value in zip(parts, row, strict=True):
+                part.append(value)
+        return pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(parts, kind, strict=True)], fields=list(kind))
 
     schema = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string,round_trip:boolean,parity:boolean>"
     return docs.withColumn(out, arrow_udf(run, schema)(F.col(text)))

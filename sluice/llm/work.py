@@ -50,6 +50,20 @@ def unused(df: DataFrame, *names: str) -> list[str]:
     return out
 
 
+def making_room(df: DataFrame, *names: str) -> DataFrame:
+    """`df` with `_` behind the names of its own columns that clash, in whatever case, with columns to be added."""
+    wanted = {n.lower() for n in names}
+    taken, renamed = {c.lower() for c in df.columns} | wanted, {}
+    for column in df.columns:
+        if column.lower() in wanted:
+            name = column + "_"
+            while name.lower() in taken:
+                name += "_"
+            taken.add(name.lower())
+            renamed[column] = name
+    return df.withColumnsRenamed(renamed) if renamed else df
+
+
 def where_computed(df: DataFrame, condition: Column) -> DataFrame:
     """The rows for which a condition on computed columns holds.
 

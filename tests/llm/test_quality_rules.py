@@ -79,3 +79,16 @@ def test_each_rule(spark):
 def test_no_user_functions(spark):
     plan = quality_rules.judged(spark.read.parquet(DATA))._jdf.queryExecution().toString()
     assert not re.search("Python|Arrow|Pandas|Exchange", plan)
+
+
+def test_a_plain_filter_on_the_verdict(spark):
+    docs = spark.read.parquet(DATA)
+    kept = [r.doc_id for r in quality_rules.judged(docs).where("quality.kept").select("doc_id").collect()]
+    failed = quality_rules.judged(docs).where("NOT quality.kept AND quality.n_words > 0 OR quality.base_failed").count()
+    assert sorted(kept) == sorted(r.doc_id for r in quality_rules.keep(docs).collect())
+    assert len(kept) + failed == docs.count()
+
+
+def test_a_column_named_as_the_result_is_kept(spark):
+    docs = spark.createDataFrame([("a b", "mine")], "text string, Quality string")
+    assert quality_rules.judged(docs).select("Quality_", "quality.n_words").first() == ("mine", 2)

@@ -20,7 +20,7 @@ ROOT = Path(entry.__file__).resolve().parent
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_same_rows_as_sql(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "embeddings", "pages", "labels"):
+    for table in ("documents", "embeddings", "pages", "labels", "benchmark"):
         duck.execute(f"CREATE VIEW {table} AS SELECT * FROM read_parquet('{SF_DIR}/{table}.parquet')")
     df = queries.queries()[name](spark, SF_DIR)
     columns = sorted(df.columns)
@@ -33,7 +33,7 @@ def test_same_rows_as_sql(spark, name):
 
 def test_one_query_for_each_operator():
     names = list(entry.queries())
-    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)] == [1] * 10 and "pipeline" in names
+    assert [sum(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)] == [1] * 13 and "pipeline" in names
 
 
 @pytest.mark.parametrize("missing", [["corpus_pipeline.py", "sluice/llm"], ["corpus_pipeline.py"], ["sluice/llm"]])
