@@ -52,10 +52,9 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of each text, as a training job reads them, and whether they decode to the text itself."""
     name = sentencepiece_codec.send(spark, llm_queries.TOKENIZER)
-    ids = sentencepiece_codec.encode(F.col("text"), name)
-    rows = docs.select("doc_id", "lang", "source", "text", ids.alias("ids"))
-    same = sentencepiece_codec.decode(F.col("ids"), name) == F.coalesce("text", F.lit(""))
-    return rows.withColumn("n_tokens", F.size("ids").cast("long")).withColumn("round_trip", same).drop("text")
+    coded = sentencepiece_codec.encode_and_compare(F.col("text"), name)
+    rows = docs.select("doc_id", "lang", "source", coded.alias("coded"))
+    return rows.select("doc_id", "lang", "source", "coded.ids", F.size("coded.ids").cast("long").alias("n_tokens"), "coded.round_trip")
 
 
 STAGES: list[tuple[str, Stage]] = [
