@@ -4,15 +4,16 @@
    table and gives every text its posterior over the domains.
 2. Rates r >= 0, one per document, are fitted so that the expected tokens of each
    domain, the sum over documents of tokens * posterior * rate, meet the targets:
-   least squares of the relative misfits, and of all rates that do as well those
-   nearest to 1, with a weight of `NEAR` against the misfits. Newton steps on the
-   dual problem, which has one unknown a domain, end at its one optimum. A step
-   reads a compact table of (tokens, posterior) and brings a matrix of domains by
-   domains to the driver.
-
-At the optimum a document's rate is 1 + posterior * shift within the bounds, with
-one short vector `shift` for all. So no rate is ever stored: the last pass
-computes it again beside the text.
+   least squares of the relative misfits by projected gradient steps from rates of
+   1, with Nesterov's momentum. A document's step is divided by its domains' share
+   of the curvature, so that small and large domains move alike. Each step is one
+   pass over a compact table of (tokens, posterior) that brings one number a domain
+   to the driver; steps end when the targets are met, or when the duality gap shows
+   that no rates do better by more than a stated misfit.
+
+The steps are a short list of gradients by domain, and a document's rate follows
+from that list and its posterior alone. So no rate is ever stored: each pass
+computes it again, the last one beside the text.
 """
 
 from __future__ import annotations
@@ -32,7 +33,8 @@ from sluice.llm import textbytes
 from sluice.llm.work import ship, stored, unused, where_computed
 
 BUCKET_BITS = 14
-NEAR = 1e-6  # weight of the rates' distance from 1 against that of the misfits
+SLOW = 6  # steps over which the value must fall by a fifth, once the gap is small enough
+STALL = 25  # steps without a better value or bound by a hundredth that end the fit
 
 
 @dataclass(frozen=True)
@@ -62,23 +64,44 @@ class Classifier:
         return np.concatenate(counts), z / z.sum(axis=1, keepdims=True)
 
 
+@dataclass(frozen=True)
+class Steps:
+    """The steps so far: a momentum and a gradient by domain each, and the curvature by domain that they are divided by."""
+
+    curvature: np.ndarray
+    taken: tuple[tuple[float, np.ndarray], ...] = ()
+
+    def rates(self, posterior: np.ndarray, least: float, most: float) -> np.ndarray:
+        rate = before = np.clip(np.ones(len(posterior)), least, most)
+        if self.taken:
+            gradients = posterior @ np.stack([u for _, u in self.taken], 1)
+            gradients /= np.maximum(posterior @ self.curvature, 1e-300)[:, None]
+            for k, (momentum, _) in enumerate(self.taken):
+                ahead = rate + momentum * (rate - before)
+                before, rate = rate, np.clip(ahead - gradients[:, k], least, most)
+        return rate
+
+
 @dataclass(frozen=True)
 class Fit:
     """The result of a fit. `expected` are the domains' tokens that the rates give, `targets` what was asked for.
 
-    `optimal` tells whether the optimum was reached; a misfit that is left then is one that no rates within the bounds avoid.
+    `gap` bounds how much smaller half the sum of squared relative misfits can be
+    with any rates within the bounds, and `optimal` tells whether that is as
+    little as was asked for; a misfit that is left then cannot be avoided.
     """
 
     domains: tuple[str, ...]
     least: float
     most: float
-    shift: tuple[float, ...]
     targets: tuple[float, ...]
     expected: tuple[float, ...]
     optimal: bool
+    gap: float
+    steps: Steps
 
     def rates(self, posterior: np.ndarray) -> np.ndarray:
-        return np.clip(1 + posterior @ np.asarray(self.shift), self.least, self.most)
+        return self.steps.rates(posterior, self.least, self.most)
 
     def misfit(self) -> float:
         """The largest difference of expected and target tokens, as a share of the target; of all tokens where that is 0."""
@@ -90,8 +113,10 @@ class Fit:
 class Mixture:
     """Target weights by domain, and bounds of the rates; there is no upper one unless `most` is given.
 
-    The fit ends at its optimum, or after `steps` passes over the rows if given.
-    A misfit above `tolerance` is warned of.
+    The fit ends when all targets are met to a tenth of `tolerance`, when no
+    rates can bring the root of the summed squares of the misfits further down
+    than `gap` and steps gain little, when they gain nothing, or after `steps` of
+    them if given. A misfit above `tolerance` is warned of.
 
     `tokens` is the total to reach; None takes the present total or, if rates may
     not fall below `least`, the smallest total at which no domain has to.
@@ -103,6 +128,7 @@ class Mixture:
     tokens: float | None = None
     steps: int | None = None
     tolerance: float = 1e-4
+    gap: float = 2.5e-3
 
 
 def bucket(hashes: np.ndarray) -> np.ndarray:
@@ -164,43 +190,44 @@ def memberships(classifier: Classifier) -> Column:
 
 
 def fit(members: DataFrame, mixture: Mixture, domains: tuple[str, ...]) -> Fit:
-    """Rates for rows (tokens, posterior): Newton steps on the dual of the least squares.
+    """Rates for rows (tokens, posterior) by accelerated projected gradient steps; sums by domain are combined on the executors.
 
-    With reached(y) the tokens by domain at the shift y, the optimum is where
-    reached(y) - targets + near * scale**2 * y is 0: the gradient of a convex
-    function, quadratic in pieces. Each step, and each shorter one tried where a
-    whole one does not lower that function, is one pass over the rows; sums by
-    domain are combined on the executors.
+    The objective is half the sum of the squared relative misfits. A rate's
+    curvature is at most the sum over domains of posterior * tokens present /
+    scale squared, times the document's tokens, which is the step's divisor.
+    Momentum starts anew where the objective rises. The gap is that to the dual
+    value of the last gradient, made feasible by one shift common to all domains.
     """
     weights = np.array([mixture.weights.get(d, 0.0) for d in domains])
     weights = weights / weights.sum()
     n, least, most = len(domains), mixture.least, mixture.most
 
-    def totals(shift: np.ndarray) -> tuple[float, np.ndarray, np.ndarray, np.ndarray]:
-        """Sum over the tokens of the integral of the rate up to the shift; tokens reached; the latter's derivative; tokens at rate 1."""
+    def totals(steps: Steps, gradient: np.ndarray) -> tuple[np.ndarray, np.ndarray, float, float]:
+        """Tokens reached; tokens at rate 1; least slope of a document along a gradient; lowest sum of tokens * slope * rate."""
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            out = np.zeros((3 + n, n))
+            reached, present, lowest, bound = np.zeros(n), np.zeros(n), math.inf, 0.0
             for batch in batches:
+                if not batch.num_rows:
+                    continue
                 tokens = batch.column("tokens").to_numpy().astype(float)
                 p = batch.column("posterior").flatten().to_numpy().reshape(len(tokens), n)
-                free = 1 + p @ shift
-                rate = np.clip(free, least, most)
-                out[0, 0] += (tokens * rate * (free - rate / 2)).sum()
-                out[1] += (tokens * rate) @ p
-                out[2] += tokens @ p
-                out[3:] += (p * (tokens * (free == rate))[:, None]).T @ p
-            yield pa.RecordBatch.from_arrays([pa.array(np.arange(out.size)), pa.array(out.ravel())], ["i", "x"])
-
-        found = members.mapInArrow(run, "i bigint, x double").groupBy("i").agg(F.sum("x").alias("x")).collect()
-        out = np.zeros((3 + n) * n)
-        for r in found:
-            out[r["i"]] = r["x"]
-        out = out.reshape(3 + n, n)
-        return out[0, 0], out[1], out[3:], out[2]
-
-    shift, passes = np.zeros(n), 1
-    area, reached, slope, present = totals(shift)
+                reached += (tokens * steps.rates(p, least, most)) @ p
+                present += tokens @ p
+                slope = p @ gradient
+                lowest = min(lowest, float(slope.min()))
+                if most < math.inf:
+                    bound += float((tokens * np.where(slope > 0, least, most) * slope).sum())
+            yield pa.RecordBatch.from_pylist([{"reached": reached.tolist(), "present": present.tolist(), "lowest": lowest, "bound": bound}], schema=kind)
+
+        kind = pa.schema([("reached", pa.list_(pa.float64())), ("present", pa.list_(pa.float64())), ("lowest", pa.float64()), ("bound", pa.float64())])
+        sums = [F.sum(F.get(c, i)).alias(f"{c}{i}") for c in ("reached", "present") for i in range(n)]
+        row = members.mapInArrow(run, "reached array<double>, present array<double>, lowest double, bound double").agg(*sums, F.min("lowest").alias("lowest"), F.sum("bound").alias("bound")).first()
+        reached, present = (np.array([row[f"{c}{i}"] or 0.0 for i in range(n)]) for c in ("reached", "present"))
+        return reached, present, row["lowest"] if row["lowest"] is not None else math.inf, row["bound"] or 0.0
+
+    steps = Steps(np.ones(n))
+    reached, present, _, _ = totals(steps, np.zeros(n))
     if mixture.tokens is not None:
         budget = mixture.tokens
     elif least > 0:
@@ -208,33 +235,38 @@ def fit(members: DataFrame, mixture: Mixture, domains: tuple[str, ...]) -> Fit:
     else:
         budget = present.sum()
     targets = budget * weights
-    scale = np.maximum(targets, 1e-4 * max(budget, 1.0))
-    optimal = not (present.sum() > 0 and budget > 0)
-    near = NEAR / max(present.sum(), 1.0) * scale**2
-    value = lambda area, y: area - targets @ y + near @ y**2 / 2
-    gradient = reached - targets + near * shift
-    while not optimal and (mixture.steps is None or passes < mixture.steps):
-        # in units of the scale, so that small domains count as much as large ones
-        hessian = (slope + np.diag(near)) / scale[:, None] / scale[None, :]
-        step = -np.linalg.solve(hessian, gradient / scale) / scale
-        rise, size = float(gradient @ step), 1.0
-        if -rise <= 1e-13 * present.sum():  # what a step can gain is below what the sums resolve
-            optimal = True
-            break
-        here = value(area, shift)
-        while True:
-            new = shift + size * step
-            area, reached, slope, _ = totals(new)
-            passes += 1
-            if size < 1e-9 or value(area, new) <= here + 1e-4 * size * rise + 1e-13 * (abs(here) + abs(area)):
-                break
-            size /= 2
-        if size < 1e-9:
-            area, reached, slope, _ = totals(shift)
-            break
-        shift, gradient = new, reached - targets + near * new
-        optimal = bool((np.abs(gradient) / scale).max() <= 1e-7)
-    return Fit(domains, least, most, tuple(shift.tolist()), tuple(targets.tolist()), tuple(reached.tolist()), optimal)
+    scale = np.where(targets > 0, targets, 0.01 * max(budget, 1.0))  # a domain to be left out: its misfit in hundredths of all tokens
+    steps = Steps(present / scale**2)
+
+    def value(at: np.ndarray) -> float:
+        return float((((at - targets) / scale) ** 2).sum() / 2)
+
+    def dual(gradient: np.ndarray, lowest: float, bound: float) -> float:
+        """A lower bound of the objective over all rates within the bounds."""
+        if most < math.inf:
+            return float(-((scale * gradient) ** 2).sum() / 2 - gradient @ targets + bound)
+        shifted = gradient + max(0.0, -lowest)
+        return float(-((scale * shifted) ** 2).sum() / 2 - shifted @ targets + least * (shifted @ present))
+
+    before, now, lower, speed, quiet, values = reached, value(reached), 0.0, 1.0, 0, [math.inf] * SLOW
+    wanted = (mixture.tolerance / 10) ** 2 / 2
+
+    def done() -> bool:
+        return now <= wanted or (now - lower <= mixture.gap**2 / 2 and now > values[-SLOW] * 0.8)
+
+    while present.sum() > 0 and budget > 0 and not done() and quiet < STALL and (mixture.steps is None or len(steps.taken) < mixture.steps):
+        faster = (1 + math.sqrt(1 + 4 * speed * speed)) / 2
+        momentum = (speed - 1) / faster
+        gradient = (reached + momentum * (reached - before) - targets) / scale**2
+        steps = Steps(steps.curvature, (*steps.taken, (momentum, gradient)))
+        new, _, lowest, bound = totals(steps, gradient)
+        values.append(now)
+        better, higher = value(new), max(lower, dual(gradient, lowest, bound))
+        quiet = 0 if now - better > 0.01 * (now - lower) or higher - lower > 0.01 * (now - lower) else quiet + 1
+        speed = 1.0 if better > now else faster
+        before, reached, now, lower = reached, new, better, higher
+    met = now <= wanted or not (present.sum() > 0 and budget > 0)
+    return Fit(domains, least, most, tuple(targets.tolist()), tuple(reached.tolist()), met or done(), max(now - lower, 0.0), steps)
 
 
 # --- use -------------------------------------------------------------------------------------
@@ -255,7 +287,7 @@ def mixed(docs: DataFrame, classifier: Classifier, mixture: Mixture, id: str = "
     compact = docs.select(member(F.col(text)).alias("m")).select("m.tokens", "m.posterior")
     fitted = fit(stored(compact, "members"), mixture, classifier.domains)
     if fitted.misfit() > mixture.tolerance:
-        warnings.warn(f"targets {fitted.targets} of {fitted.domains} are missed: {fitted.expected}, optimal: {fitted.optimal}", stacklevel=2)
+        warnings.warn(f"targets {fitted.targets} of {fitted.domains} are missed: {fitted.expected}, half the squared misfits can fall by at most {fitted.gap:.1e}", stacklevel=2)
 
     def run(posterior: pa.Array) -> pa.Array:
         p = posterior.flatten().to_numpy().reshape(len(posterior), len(fitted.domains))
