@@ -20,8 +20,9 @@ class Contract:
     """A partial schema, bound to a file by header name.
 
     ``types`` maps a column to ``bigint``, ``double`` or ``string``;
-    ``timestamps`` maps a column to its pattern, or to ``None`` for
-    ``yyyy-MM-dd HH:mm:ss[.SSSSSS]``. A column the file has and the contract
+    ``timestamps`` maps a column to its pattern, or to ``None`` for a form of ISO
+    8601, the same for all its cells: ``yyyy-MM-dd HH:mm:ss[.SSSSSS]``, that
+    with ``T`` for the space, or ``yyyy-MM-dd``. A column the file has and the contract
     does not name stays text. A typed column the file lacks is left out; a
     missing timestamp column is an error.
     """

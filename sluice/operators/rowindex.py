@@ -6,11 +6,12 @@ from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sluice import session
 from sluice.functions.contract import Contract
+from sluice.operators.ordering import running_total
 from sluice.sources.delimited import (
     LENGTH,
     ORIGIN,
@@ -18,9 +19,9 @@ from sluice.sources.delimited import (
     ROW,
     START,
     conform,
-    kept_as_text,
     numbered,
     read_parts,
+    settled,
     union_by_name,
 )
 
@@ -49,19 +50,9 @@ def count_splits(raws: Sequence[DataFrame], scope: Mapping[str, Column]) -> Data
     )
 
 
-def rows_before(scope: Mapping[str, Column]) -> Column:
-    """Rows in all earlier splits of the same index."""
-    in_order = (
-        Window.partitionBy(*[F.col(c) for c in scope] or [F.lit(0)])
-        .orderBy(PATH, START)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return F.coalesce(F.sum(ROWS).over(in_order), F.lit(0))
-
-
 def one_split(df: DataFrame) -> bool:
     """Whether a single task reads the whole source, as for one month in one gzip file."""
-    return len(df.inputFiles()) == 1 and df.rdd.getNumPartitions() == 1
+    return df.rdd.getNumPartitions() == 1 and len(df.inputFiles()) == 1
 
 
 def number_rows(
@@ -95,9 +86,8 @@ def number_rows(
         raise ValueError("a file is given more than once")
     # While no two splits share a hash, the hash alone is an exact key and keeps the table small.
     on = {KEY: key} if size.n == size.hashes else {f"{KEY}_{c}": F.col(c) for c in (PATH, START, LENGTH)}
-    offsets = splits.select(
-        *[column.alias(name) for name, column in on.items()], *added, FIRST, LAST, rows_before(within).alias(BEFORE)
-    )
+    before = running_total(splits, ROWS, [PATH, START], list(within), BEFORE)
+    offsets = before.select(*[column.alias(name) for name, column in on.items()], *added, FIRST, LAST, BEFORE)
     fits = size.n * SPLIT_BYTES <= broadcast_limit
     match = reduce(lambda a, b: a & b, [column == F.col(name) for name, column in on.items()])
     index = F.when(F.col(ROW).between(F.col(FIRST), F.col(LAST)), F.col(BEFORE) + F.col(ROW) - F.col(FIRST))
@@ -119,23 +109,29 @@ def read_indexed(
     bad_timestamp: str = "raise",
     with_path: bool = False,
     broadcast_limit: int = BROADCAST_LIMIT,
+    writers: int | None = None,
 ) -> DataFrame:
     """Typed rows of delimited files with ``index`` in front: 0..n-1 in file order.
 
     By default every file has its own index. ``scope`` names columns computed
     from the file path (``PATH``); files that agree on them share one index, in
     path order, and the columns are put in front as well. An empty scope
-    numbers the whole source. Other options are those of ``read_delimited``.
+    numbers the whole source. ``writers`` spreads the rows over that many tasks,
+    in ranges of the index, before their cells are typed: for sources that few
+    tasks read. Other options are those of ``read_delimited``.
     """
     # Loads select all columns, so widths are checked there; the counting pass need not read any cell.
     parts = read_parts(spark, paths, contract, headers=headers, multi_line=multi_line, whole_records=False)
-    as_text = kept_as_text(parts, contract, bad_timestamp)
+    contract, as_text = settled(parts, contract, bad_timestamp)
     front = [*(scope or {}), INDEX]
     for part in parts:
         taken = sorted(set(front) & set(part.header))
         if taken:
             raise ValueError(f"the file already has columns named {taken}")
-    numbered_parts = zip(parts, number_rows([p.raw for p in parts], scope, broadcast_limit))
+    raws = number_rows([p.raw for p in parts], scope, broadcast_limit)
+    if writers is not None:
+        raws = [raw.repartitionByRange(writers, *(scope or {}), INDEX) for raw in raws]
+    numbered_parts = zip(parts, raws)
     after = [PATH] if with_path else []
     return union_by_name([conform(replace(p, raw=raw), contract, as_text, front, after) for p, raw in numbered_parts])
 

@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import csv
 from collections import defaultdict
-from collections.abc import Iterable, Sequence
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from collections.abc import Iterable, Iterator, Sequence
+from dataclasses import dataclass, replace
 from functools import reduce
 from urllib.parse import unquote, urlsplit
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 from sluice import session
 from sluice.functions import parsing
 from sluice.functions.contract import Contract
+from sluice.sources import quotes
 
 # Where a row came from: file, split of the file, and position among the rows of its task.
 PATH, START, LENGTH, ROW = "__path", "__start", "__length", "__row"
@@ -42,16 +43,19 @@ def decoded(uri: str) -> str:
     return unquote(uri) if urlsplit(uri).scheme else uri
 
 
-def list_files(spark: SparkSession, paths: str | Sequence[str]) -> list[str]:
-    """All files below the paths, sorted; a listing only, no data is read. A file that two paths give is refused."""
+def list_files(spark: SparkSession, paths: Sequence[str]) -> list[str]:
+    """All files below the paths, sorted; a listing only, no data is read."""
+    return sorted(decoded(f) for f in spark.read.text(list(paths)).inputFiles())
+
+
+def given_paths(paths: str | Sequence[str]) -> list[str]:
+    """The paths; a file that two of them give is refused."""
     given = [paths] if isinstance(paths, str) else list(paths)
-    found = sorted(decoded(f) for f in spark.read.text(given).inputFiles())
-    if len(given) > 1:
-        places = [urlsplit(p).path if urlsplit(p).scheme else p for p in given]
-        places = [p.rstrip("/") for p in places]
-        if len(set(places)) < len(places) or any(above in set(places) for p in places for above in parents(p)):
-            raise ValueError("a file is given more than once")
-    return found
+    places = [urlsplit(p).path if urlsplit(p).scheme else p for p in given]
+    places = [p.rstrip("/") for p in places]
+    if len(set(places)) < len(places) or any(above in set(places) for p in places for above in parents(p)):
+        raise ValueError("a file is given more than once")
+    return given
 
 
 def parents(path: str) -> list[str]:
@@ -77,22 +81,8 @@ def first_record(lines: Iterable[str]) -> list[str] | None:
     return next(csv.reader(unread()), None)
 
 
-def read_header(spark: SparkSession, file: str) -> list[str]:
-    """Column names of one file. Repeated names get .1, .2; empty ones their position."""
-    # A few lines first: a job over a whole file for its header would be a waste, and hardly any header is longer.
-    text = spark.read.text(literal_path(file))
-    record, taken = None, 16
-    while True:
-        lines = [r.value for r in text.take(taken)]
-        whole = len(lines) < taken
-        if lines:
-            lines[0] = lines[0].removeprefix("\ufeff")
-        record = first_record(lines)
-        if whole or (record is not None and closed(lines)):
-            break
-        taken *= 8
-    if record is None:
-        raise ValueError(f"no header in {file}")
+def column_names(record: Sequence[str]) -> list[str]:
+    """Names of a heading. Repeated ones get .1, .2; empty ones their position."""
     names: list[str] = []
     seen: dict[str, int] = defaultdict(int)
     for position, name in enumerate(record):
@@ -108,9 +98,73 @@ def closed(lines: Sequence[str]) -> bool:
     return first_record(lines) == first_record([*lines, 'x"'])
 
 
-def read_headers(spark: SparkSession, files: Sequence[str]) -> dict[str, tuple[str, ...]]:
-    with ThreadPoolExecutor(max_workers=16) as pool:
-        return dict(zip(files, pool.map(lambda f: tuple(read_header(spark, f)), files)))
+LAYOUTS = 10_000  # different headings that one source may have
+FILE_BYTES = 1 << 42  # of a file that is looked at by one task; larger ones have more tasks, which find no heading
+HEADING = "path string, heading array<string>"
+
+
+def headings(spark: SparkSession, files: Sequence[str]) -> DataFrame:
+    """(path, heading) of each file, null where there is none. One task for each file reads its first lines and stops there."""
+    lines = quotes.located(spark.read.text(list(files)))  # whatever ends a line
+
+    def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[str] = []
+        path = None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if batch.column(2)[0].as_py():
+                return
+            path = batch.column(1)[0].as_py()
+            held += [line.decode("utf-8", "replace") for line in batch.column(0).to_pylist()]
+            if first_record(held) is not None and closed(held):
+                break
+        if path is not None:
+            held[0] = held[0].removeprefix("\ufeff")
+            yield pa.RecordBatch.from_arrays([pa.array([path], pa.string()), pa.array([first_record(held)], pa.list_(pa.string()))], names=["path", "heading"])
+
+    return lines.select(F.col("value").cast("binary"), "path", "start").mapInArrow(first, HEADING)
+
+
+def one_task_each(spark: SparkSession):
+    """Settings under which every file is a task of its own, which is given a few lines at a time."""
+    return session.settings(
+        spark,
+        spark__sql__files__maxPartitionBytes=str(FILE_BYTES),
+        spark__sql__files__openCostInBytes=str(FILE_BYTES),
+        spark__sql__execution__arrow__maxRecordsPerBatch="64",
+    )
+
+
+def layouts(spark: SparkSession, files: Sequence[str]) -> list[list[str]]:
+    """The different headings of all files, found by one job; files themselves are not listed here."""
+    with one_task_each(spark):
+        found = headings(spark, files)
+        rows = found.groupBy("heading").agg(F.count(F.lit(1)).alias("n"), F.min("path").alias("path")).limit(LAYOUTS + 1).collect()
+    if len(rows) > LAYOUTS:
+        raise ValueError(f"the files have more than {LAYOUTS} different headings")
+    for row in rows:
+        if row["heading"] is None:
+            raise ValueError(f"no header in {decoded(row['path'])}")
+    if sum(row["n"] for row in rows) < len(spark.read.text(list(files)).inputFiles()):
+        raise ValueError("no header in an empty file")
+    return sorted(row["heading"] for row in rows)
+
+
+def files_by_layout(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str, ...], list[str]]:
+    """The files of each layout: for sources with more than one, or with files that are read in different ways."""
+    with one_task_each(spark):
+        rows = headings(spark, files).collect()
+    out: dict[tuple[str, ...], list[str]] = defaultdict(list)
+    for row in sorted(rows, key=lambda r: r["path"]):
+        out[tuple(column_names(row["heading"]))].append(decoded(row["path"]))
+    return out
+
+
+def read_header(spark: SparkSession, file: str) -> list[str]:
+    """Column names of one file, from its first lines."""
+    (found,) = layouts(spark, [literal_path(file)])
+    return column_names(found)
 
 
 def raw_schema(names: Sequence[str]) -> T.StructType:
@@ -130,36 +184,41 @@ def csv_options(multi_line: bool, verify_header: bool) -> dict[str, object]:
     }
 
 
+def located(raw: DataFrame) -> DataFrame:
+    return raw.withColumns({PATH: F.input_file_name(), START: F.input_file_block_start(), LENGTH: F.input_file_block_length()})
+
+
 def with_origin(raw: DataFrame, multi_line: bool) -> DataFrame:
-    """Drop blank records; note the file and split of each record and what is wrong with its width.
+    """Drop blank records; note the file and split of each record and what is wrong with its width."""
+    cells = [c for c in raw.columns if c not in (MALFORMED, EXTRA)]
+    if multi_line:  # the line-by-line reader has skipped blank lines already
+        blank = F.coalesce(quoted(cells[0]), F.lit("")).rlike(r"\A\s*\z") & F.col(MALFORMED).rlike(r"\A\s*\z")
+        raw = raw.where(~F.coalesce(blank, F.lit(False)))
+    return measured(located(raw), cells)
+
+
+def measured(raw: DataFrame, cells: Sequence[str]) -> DataFrame:
+    """What is wrong with the width of each record.
 
     A record of another width than the header's keeps its raw text. It is too
     long if, read again with a mark behind it, the mark is not among the first
     fields. The reader of one column asks for two, so that every record keeps
     its raw text and a quoted blank can be told from a blank line.
     """
-    cells = [c for c in raw.columns if c not in (MALFORMED, EXTRA)]
-    if multi_line:  # the line-by-line reader has skipped blank lines already
-        blank = F.coalesce(quoted(cells[0]), F.lit("")).rlike(r"\A\s*\z") & F.col(MALFORMED).rlike(r"\A\s*\z")
-        raw = raw.where(~F.coalesce(blank, F.lit(False)))
     again = F.concat(F.regexp_replace(MALFORMED, r"[\r\n]+\z", ""), F.lit("," + MARK))
     schema = ", ".join(f"f{i} string" for i in range(len(cells) + 1))
-    fields = F.from_csv(again, schema, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
-    short = F.array_contains(F.array(*[F.coalesce(fields[f"f{i}"], F.lit("")) for i in range(len(cells) + 1)]), MARK)
+    read_again = F.from_csv(again, schema, {"quote": '"', "escape": '"', "mode": "PERMISSIVE"})
+    # within a function of an array of one, so that the second reading is mentioned once and stays out of generated code
+    short = F.exists(F.array(read_again), lambda r: F.array_contains(F.array(*[F.coalesce(r[f"f{i}"], F.lit("")) for i in range(len(cells) + 1)]), MARK))
     outside = F.regexp_replace(MALFORMED, r'"[^"]*"', "")  # for the message only: stray quotes make it an estimate
     seen = F.length(outside) - F.length(F.replace(outside, F.lit(","), F.lit(""))) + 1
     complaint = F.concat(F.lit(f"expected {len(cells)} fields, saw "), F.greatest(seen, F.lit(len(cells) + 1)), F.lit(": "), MALFORMED)
-    return raw.select(
-        *[quoted(c) for c in cells],
-        F.when(F.col(MALFORMED).isNotNull() & ~short, complaint).alias(TOO_LONG),
-        F.input_file_name().alias(PATH),
-        F.input_file_block_start().alias(START),
-        F.input_file_block_length().alias(LENGTH),
-    )
+    where = [c for c in (*ORIGIN,) if c in raw.columns]
+    return raw.select(*[quoted(c) for c in cells], F.when(F.col(MALFORMED).isNotNull() & ~short, complaint).alias(TOO_LONG), *where)
 
 
 def numbered(raw: DataFrame) -> DataFrame:
-    return raw.withColumn(ROW, F.monotonically_increasing_id())
+    return raw if ROW in raw.columns else raw.withColumn(ROW, F.monotonically_increasing_id())
 
 
 @dataclass(frozen=True)
@@ -174,7 +233,8 @@ class Part:
 def conform(part: Part, contract: Contract, as_text: Sequence[str] = (), before: Sequence[str] = (), after: Sequence[str] = ()) -> DataFrame:
     """Type every cell of a part, between other columns of its frame that are kept."""
     where, too_long = F.col(PATH), F.col(TOO_LONG)
-    complaint = F.raise_error(F.concat(too_long, F.lit(" (file "), where, F.lit(")")))
+    first = F.coalesce(quoted(part.cells[0]), F.lit(""))  # named too since Spark refuses to read the raw text alone
+    complaint = F.raise_error(F.concat(too_long, F.lit(" (first cell '"), first, F.lit("', file "), where, F.lit(")"))).cast("boolean")
     not_text = F.raise_error(F.concat(F.lit("bytes that are not UTF-8, or U+FFFD for such bytes (file "), where, F.lit(")")))
 
     def typed(cell: str, name: str) -> Column:
@@ -187,22 +247,10 @@ def conform(part: Part, contract: Contract, as_text: Sequence[str] = (), before:
             value = parsing.parse_timestamp(name, text, where, contract.timestamps[name])
         else:
             value = F.when(text.contains(REPLACEMENT), not_text).otherwise(parsing.parse_string(text))
-        return F.when(too_long.isNotNull(), complaint).otherwise(value).alias(name)
+        return value.alias(name)
 
-    return part.raw.select(*before, *[typed(c, n) for c, n in zip(part.cells, part.header)], *after)
-
-
-def untyped_timestamps(part: Part, contract: Contract) -> set[str]:
-    """Timestamp columns with at least one cell that does not fit."""
-    bad = {
-        name: parsing.is_bad_timestamp(quoted(cell), contract.timestamps[name])
-        for cell, name in zip(part.cells, part.header)
-        if name in contract.timestamps
-    }
-    if not bad:
-        return set()
-    found = part.raw.agg(*[F.bool_or(b).alias(f"b{i}") for i, b in enumerate(bad.values())]).first()
-    return {name for name, hit in zip(bad, found) if hit}
+    rows = part.raw.where(F.when(too_long.isNotNull(), complaint).otherwise(True))
+    return rows.select(*before, *[typed(c, n) for c, n in zip(part.cells, part.header)], *after)
 
 
 def read_parts(
@@ -217,36 +265,156 @@ def read_parts(
     """The files as text cells, one part per layout."""
     if headers not in ("each", "first"):
         raise ValueError(f"headers must be 'each' or 'first', not {headers!r}")
+    session.ship(spark)
     session.prefer_compiled_methods(spark)
-    files = list_files(spark, paths)
-    known = read_headers(spark, files if headers == "each" else files[:1])
-
-    groups: dict[tuple[bool, tuple[str, ...]], list[str]] = defaultdict(list)
-    for file in files:
-        layout = known[file] if headers == "each" else known[files[0]]
-        spans = multi_line is None or multi_line
-        groups[spans, layout].append(file)
-
+    given = given_paths(paths)
+    known = quotes.survey(spark, given)
+    if multi_line is False and known.spanning:
+        raise ValueError(f"quoted cells hold line ends in {min(known.spanning)}, though multi_line=False says that none does")
+    apart = {decoded(f) for f in known.spanning | known.returns}
+
+    verify = headers == "first"
+    if verify:
+        files = list_files(spark, given)
+        if not files:
+            raise ValueError(f"no files below {given}")
+        groups: dict[tuple[str, ...], list[str] | None] = {tuple(read_header(spark, files[0])): files if apart else None}
+    else:
+        found = layouts(spark, given)
+        one = len(found) == 1 and not apart
+        groups = {tuple(column_names(found[0])): None} if one else dict(files_by_layout(spark, given))
+        # tasks compare headings with names as they stand there, unless folders give columns of the same name
+        folders = {c.lower() for c in spark.read.text(given).columns[1:]}
+        verify = one and column_names(found[0]) == found[0] and not folders & {c.lower() for c in found[0]}
     parts = []
-    for (spans, header), members in groups.items():
+    for header, members in groups.items():
         contract.require(header)
-        verify = headers == "first"
         cells = header if verify else tuple(f"c{i}" for i in range(len(header)))
-        source = spark.read.schema(raw_schema(cells)).options(**csv_options(spans, verify))
-        if whole_records:
-            source = source.option("columnPruning", False)
-        raw = source.csv([literal_path(f) for f in members])  # the files whose headers were read, and no later ones
-        parts.append(Part(with_origin(raw, spans), cells, header))
+        for how, some in by_reading(members, known).items():
+            paths_read = given if some is None else [literal_path(f) for f in some]
+            # a single column is read with one more, see `measured`, so its heading cannot be compared
+            raw = READERS[how](spark, paths_read, cells, known, verify and len(header) > 1, whole_records)
+            parts.append(Part(raw, cells, header))
     return parts
 
 
-def kept_as_text(parts: Sequence[Part], contract: Contract, bad_timestamp: str) -> tuple[str, ...]:
-    """Timestamp columns to leave as text, decided over all parts."""
-    if bad_timestamp == "raise":
-        return ()
-    if bad_timestamp != "text":
+LINES, WHOLE_FILES, RECORDS = "lines", "whole files", "records"
+
+
+def by_reading(files: Sequence[str] | None, known: quotes.Survey) -> dict[str, list[str] | None]:
+    """Files by the way they are read: most line by line, those with line ends in quoted cells otherwise.
+
+    A gzip file is one task in any case, and so is one that has carriage returns within lines.
+    """
+    if files is None:
+        return {LINES: None}
+    spanning, returns = ({decoded(f) for f in some} for some in (known.spanning, known.returns))
+    out: dict[str, list[str] | None] = defaultdict(list)
+    for file in files:
+        if file in returns or (file in spanning and packed(file)):
+            out[WHOLE_FILES].append(file)
+        else:
+            out[RECORDS if file in spanning else LINES].append(file)
+    return out
+
+
+def packed(file: str) -> bool:
+    """Whether a file can only be read from its beginning, by its name, as Spark sees it."""
+    return file.rsplit(".", 1)[-1].lower() in ("gz", "bz2", "lz4", "snappy", "deflate", "zst")
+
+
+def read_cells(spark: SparkSession, files: Sequence[str], cells: Sequence[str], multi_line: bool, verify: bool, whole_records: bool) -> DataFrame:
+    source = spark.read.schema(raw_schema(cells)).options(**csv_options(multi_line, verify))
+    if whole_records:
+        source = source.option("columnPruning", False)
+    raw = source.csv(list(files))
+    return with_origin(raw.select(*[quoted(c) for c in raw_schema(cells).names]), multi_line)
+
+
+def read_records(spark: SparkSession, files: Sequence[str], cells: Sequence[str], known: quotes.Survey, verify: bool) -> DataFrame:
+    options = {k: v for k, v in csv_options(False, verify).items() if k not in ("header", "enforceSchema")}
+    fields = F.from_csv(F.rtrim(F.col("record"), F.lit("\r\n")), schema_text(cells), options)
+    raw = quotes.records(spark, files, known, list(cells) if verify else None).select(
+        fields.alias("fields"), F.col("path").alias(PATH), F.col("start").alias(START), F.col("length").alias(LENGTH), F.col("row").alias(ROW)
+    )
+    return measured(raw.select("fields.*", *ORIGIN), cells)
+
+
+def schema_text(cells: Sequence[str]) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` string" for f in raw_schema(cells))
+
+
+READERS = {
+    LINES: lambda spark, files, cells, known, verify, whole: read_cells(spark, files, cells, False, verify, whole),
+    WHOLE_FILES: lambda spark, files, cells, known, verify, whole: read_cells(spark, files, cells, True, verify, whole),
+    RECORDS: lambda spark, files, cells, known, verify, whole: read_records(spark, files, cells, known, verify),
+}
+
+
+def open_forms(part: Part, contract: Contract) -> dict[str, str]:
+    """Names of the timestamp columns without a pattern, and the cells they are in."""
+    return {n: c for c, n in zip(part.cells, part.header) if n in contract.timestamps and contract.timestamps[n] is None}
+
+
+def first_forms(parts: Sequence[Part], names: Sequence[str]) -> dict[str, int]:
+    """The form of one cell of each column, from the first records that have any: the others must be like it."""
+    found: dict[str, int] = {}
+    for part in parts:
+        cells = {n: c for c, n in zip(part.cells, part.header) if n in names}
+        while missing := [n for n in cells if n not in found]:
+            forms = [parsing.iso_forms(quoted(cells[n])).alias(f"f{i}") for i, n in enumerate(missing)]
+            row = part.raw.select(*forms).where(reduce(lambda a, b: a | b, [F.col(f"f{i}") > 0 for i in range(len(forms))])).first()
+            if row is None:
+                break
+            found |= {n: form for n, form in zip(missing, row) if form}
+    return found
+
+
+def all_forms(parts: Sequence[Part], names: Sequence[str]) -> dict[str, int]:
+    """The forms of all cells of each column as bits, one aggregate for each part."""
+    found = dict.fromkeys(names, 0)
+    for part in parts:
+        cells = {n: c for c, n in zip(part.cells, part.header) if n in names}
+        if cells:
+            row = part.raw.agg(*[F.bit_or(parsing.iso_forms(quoted(c))).alias(f"f{i}") for i, c in enumerate(cells.values())]).first()
+            found |= {n: found[n] | (bits or 0) for n, bits in zip(cells, row)}
+    return found
+
+
+def patterned_as_text(parts: Sequence[Part], contract: Contract) -> set[str]:
+    """Timestamp columns of a declared pattern with at least one cell that does not fit."""
+    out: set[str] = set()
+    for part in parts:
+        bad = {
+            name: parsing.is_bad_timestamp(quoted(cell), contract.timestamps[name])
+            for cell, name in zip(part.cells, part.header)
+            if contract.timestamps.get(name) is not None
+        }
+        if bad:
+            found = part.raw.agg(*[F.bool_or(b).alias(f"b{i}") for i, b in enumerate(bad.values())]).first()
+            out |= {name for name, hit in zip(bad, found) if hit}
+    return out
+
+
+def settled(parts: Sequence[Part], contract: Contract, bad_timestamp: str) -> tuple[Contract, tuple[str, ...]]:
+    """The contract with a pattern for every timestamp column, and the timestamp columns to leave as text.
+
+    A column without a declared pattern has one form of ISO 8601 throughout.
+    With "raise", its first cell tells which, and a cell of another form fails.
+    With "text", one pass over the source sees the forms of all cells, and
+    a column of several forms, or of any other text, stays text.
+    """
+    if bad_timestamp not in ("raise", "text"):
         raise ValueError(f"bad_timestamp must be 'raise' or 'text', not {bad_timestamp!r}")
-    return tuple(sorted(set().union(*[untyped_timestamps(p, contract) for p in parts])))
+    names = sorted(set().union(*[open_forms(p, contract) for p in parts]))
+    look = first_forms if bad_timestamp == "raise" else all_forms
+    forms = look(parts, names) if names else {}
+    single = {1 << bit: form for bit, form in enumerate(parsing.ISO_FORMS)}
+    as_text: set[str] = set()
+    if bad_timestamp == "text":
+        as_text = patterned_as_text(parts, contract) | {n for n, bits in forms.items() if bits and bits not in single}
+    patterns = {n: single.get(forms.get(n, 0), parsing.SPACED) if p is None else p for n, p in contract.timestamps.items()}
+    return replace(contract, timestamps=patterns), tuple(sorted(as_text))
 
 
 def union_by_name(frames: Sequence[DataFrame]) -> DataFrame:
@@ -270,19 +438,22 @@ def read_delimited(
     one header only, for folders of many parts with one layout; the tasks
     compare the header of each file they read with it and fail on a difference.
 
-    ``multi_line=False`` is a promise that no quoted cell holds a newline. Plain
-    files are then split among tasks; by default one task reads a whole file,
-    and the same bytes give the same rows, gzipped or not.
+    All lines are looked at once first, to see which line ends lie in quoted
+    cells; a quoted cell that is never closed fails there. Plain files are then
+    split among tasks whether they hold such line ends or not, and the same bytes
+    give the same rows, gzipped or not. ``multi_line=False`` says that no quoted
+    cell holds a line end: a file that does fails.
 
     Text with bytes that are not UTF-8 fails.
 
-    ``bad_timestamp="text"`` leaves a timestamp column as text when any of its
-    cells does not fit, decided once for the whole source by an extra pass.
+    A timestamp column without a declared pattern has one form of ISO 8601 in
+    all its cells. ``bad_timestamp="text"`` leaves a timestamp column as text when
+    any of its cells does not fit, decided once for the whole source by an extra pass.
 
     The width of every record is checked, whichever columns are selected; cells
     are checked in the columns that are. ``whole_records=False`` leaves out
     what no selected column needs, the widths too.
     """
     parts = read_parts(spark, paths, contract, headers=headers, multi_line=multi_line, whole_records=whole_records)
-    as_text = kept_as_text(parts, contract, bad_timestamp)
+    contract, as_text = settled(parts, contract, bad_timestamp)
     return union_by_name([conform(p, contract, as_text) for p in parts])

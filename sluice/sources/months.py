@@ -65,6 +65,7 @@ def read_months(
     headers: str = "each",
     multi_line: bool | None = None,
     bad_timestamp: str = "raise",
+    writers: int | None = None,
 ) -> DataFrame:
     """Typed rows of a range of months, each with ``year``, ``month`` and its index in the month.
 
@@ -78,4 +79,5 @@ def read_months(
         headers=headers,
         multi_line=multi_line,
         bad_timestamp=bad_timestamp,
+        writers=writers,
     )

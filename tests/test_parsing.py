@@ -1,12 +1,13 @@
 """Cell parsing: null tokens, whole numbers, doubles, timestamps."""
 
 import math
+import re
 from datetime import datetime
 
 import pytest
 
 from sluice.functions.contract import TRIPS, Contract
-from sluice.functions.parsing import NULL_TOKENS
+from sluice.functions.parsing import ISO_FORMS, NULL_TOKENS
 from sluice.sources.delimited import read_delimited
 
 
@@ -82,13 +83,44 @@ def test_timestamps(spark, put, text, value):
 
 @pytest.mark.parametrize(
     "text",
-    ["2021-01-01", "2021-01-01T00:00:00", "2021-01-01 00:00:00+02:00", "01/02/2021 03:04", "2021-13-01 00:00:00", "2021-02-30 00:00:00", "1", "2021-01-01 00:00:0 ", "2021-1-1 0:0:00 UTC", " 2021-01-01 00:00:00", "2021-01-01 00:00:00\n"],
+    ["2021-01-01T00:00:00Z", "2021-01-01T", "2021-01-01 00:00", "2021-01-01 00:00:00+02:00", "2021-02-30T00:00:00", "2021-02-30", "01/02/2021 03:04", "2021-13-01 00:00:00", "2021-02-30 00:00:00", "1", "2021-01-01 00:00:0 ", "2021-1-1 0:0:00 UTC", " 2021-01-01 00:00:00", "2021-01-01 00:00:00\n"],
 )
 def test_other_timestamp_forms_fail(spark, put, text):
     with pytest.raises(Exception, match="(?s)column x: .* is not a timestamp"):
         one_cell(spark, put, "timestamp", text)
 
 
+FORMS = {
+    "2021-03-04 05:06:07": datetime(2021, 3, 4, 5, 6, 7), "2021-03-04 05:06:07.25": datetime(2021, 3, 4, 5, 6, 7, 250_000),
+    "2021-03-04T05:06:07": datetime(2021, 3, 4, 5, 6, 7), "2021-03-04T05:06:07.000001": datetime(2021, 3, 4, 5, 6, 7, 1),
+    "2021-03-04": datetime(2021, 3, 4),
+}
+
+
+@pytest.mark.parametrize("mode", ["raise", "text"])
+def test_each_column_has_a_form_of_its_own(spark, put, mode):
+    a, b = put("f/a.csv", "n,s,t,d,none\n0,NA,,,\n1,,NA,2021-03-04,\n"), put("f/b.csv", "d,t,s,n,none\n2021-03-04,2021-03-04T05:06:07,2021-03-04 05:06:07,2,NA\n")
+    df = read_delimited(spark, [a, b], Contract.of({"n": "bigint"}, ["s", "t", "d", "none"]), bad_timestamp=mode)
+    assert set(dict(df.drop("n").dtypes).values()) == {"timestamp_ntz"}
+    day, time = FORMS["2021-03-04"], FORMS["2021-03-04T05:06:07"]
+    assert sorted(tuple(r) for r in df.select("n", "s", "t", "d", "none").collect()) == [(0, None, None, None, None), (1, None, None, day, None), (2, time, time, day, None)]
+
+
+@pytest.mark.parametrize("text", FORMS)
+@pytest.mark.parametrize("other", FORMS)
+def test_a_column_of_two_forms_fails_or_stays_text(spark, put, text, other):
+    path = put("m.csv", f"k,t\n1,\n2,{text}\n3,{other}\n")
+    kept = read_delimited(spark, path, Contract.of({}, ["t"]), bad_timestamp="text")
+    alike = [f for f in ISO_FORMS.values() if re.match(f.replace(r"\z", r"\Z"), text) and re.match(f.replace(r"\z", r"\Z"), other)]
+    read = read_delimited(spark, path, Contract.of({}, ["t"])).select("t")
+    if alike:
+        assert [r.t for r in read.collect()] == [None, FORMS[text], FORMS[other]] == [r.t for r in kept.collect()]
+    else:
+        assert dict(kept.dtypes)["t"] == "string"
+        with pytest.raises(Exception, match="is not a timestamp of the form"):
+            read.collect()
+
+
 def test_declared_timestamp_pattern(spark, put):
     assert one_cell(spark, put, "timestamp", "01/02/2021 03:04", "dd/MM/yyyy HH:mm") == datetime(2021, 2, 1, 3, 4)
     with pytest.raises(Exception, match="dd/MM/yyyy"):

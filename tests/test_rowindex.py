@@ -42,10 +42,16 @@ def test_index_is_the_line_number_whatever_the_splits(spark, put, setting, split
 
 def test_gzip_with_newlines_in_quotes(spark, put):
     text = "k,v\n" + "".join(f'{k},"a\n{k}"\n' + ("  \n" if k % 7 == 0 else "") for k in range(3000))
-    df = index(spark, put("g.csv.gz", text))
+    df = index(spark, put("g.csv.gz", text), multi_line=True)
     assert df.count() == 3000 and wrong(df) == 0
 
 
+@pytest.mark.parametrize("name", ["p.csv", "p.csv.gz"])
+def test_a_broken_promise_of_no_newlines_fails(spark, put, name):
+    with pytest.raises(ValueError, match="multi_line=False"):
+        index(spark, put(name, 'k,v\n0,"a\nb"\n1,c\n'))
+
+
 def test_each_file_has_its_own_index(spark, put, setting):
     setting("spark.sql.files.maxPartitionBytes", "8192")
     paths = [put(f"d/{name}", lines(n, seed=n)) for name, n in [("a.csv", 1), ("b.csv", 3000), ("c.csv.gz", 500), ("d.csv", 0)]]
