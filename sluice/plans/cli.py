@@ -78,7 +78,7 @@ def main(argv: Sequence[str] | None = None) -> None:
     args = parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"sluice-{args.job}").getOrCreate()
     if args.job == "ingest":
-        show_progress(ingest(spark, config(args)))
+        show_progress(ingest(spark, config(args), tell=lambda done, of: print(f"{done} of {of} tasks", file=sys.stderr)))
     else:
         print(month_job(spark, args.month, args.folder))
 

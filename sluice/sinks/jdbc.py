@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -15,7 +16,7 @@ class Connection:
     password: str = field(repr=False)
     host: str = "localhost"
     port: int = 5432
-    database: str = "ny_taxi"
+    database: str = "ny_taxi"  # fixed value: the database that loads go to by default
 
     @property
     def url(self) -> str:
@@ -33,8 +34,8 @@ def write_jdbc(
     replace: bool,
     writers: int = 8,
     batch_size: int = 10_000,
-) -> None:
-    """Replace or append to a database table with up to ``writers`` parallel connections.
+) -> int:
+    """Replace or append to a database table with up to ``writers`` parallel connections; gives the rows sent.
 
     Every partition is one transaction. Replace drops and recreates the table
     first and is not atomic. A task that is lost after its commit and before it
@@ -42,12 +43,20 @@ def write_jdbc(
     (``check_loaded``).
     """
     options = connection.properties() | {"batchsize": str(batch_size), "numPartitions": str(writers)}
-    df.write.jdbc(connection.url, table, mode="overwrite" if replace else "append", properties=options)
+    counted = Observation()
+    sent = df.observe(counted, F.count(F.lit(1)).alias("rows"))  # counted as they are sent: the source is read once
+    sent.write.jdbc(connection.url, table, mode="overwrite" if replace else "append", properties=options)
+    return counted.get["rows"]
 
 
-def read_jdbc(spark: SparkSession, connection: Connection, table: str) -> DataFrame:
-    options = connection.properties() | {"preferTimestampNTZ": "true"}
-    return spark.read.jdbc(connection.url, table, properties=options)
+def read_jdbc(spark: SparkSession, connection: Connection, table: str, index: str | None = None, rows: int = 0, readers: int = 8) -> DataFrame:
+    """The rows of a table; with ``index``, a column that runs from 0 to ``rows``, over several connections by its ranges."""
+    ranges = partition_options(index, rows, readers) if index is not None and rows else {}
+    return spark.read.jdbc(connection.url, table, properties=connection.properties() | {"preferTimestampNTZ": "true"}, **ranges)
+
+
+def partition_options(index: str, rows: int, readers: int) -> dict[str, object]:
+    return {"column": f'"{index}"', "lowerBound": 0, "upperBound": rows, "numPartitions": max(1, min(readers, rows))}
 
 
 def check_loaded(before: int, sent: int, after: int) -> None:

@@ -4,23 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from sluice import session
+from sluice.sinks.folders import replace_folder
 
 
 def write_month_parquet(df: DataFrame, folder: str, month: str) -> str:
     """Write ``output_month_{month}.parquet``, with the month exactly as given.
 
-    The rows are worked out into the shared folder first: a job that fails
-    there leaves an earlier month's file as it was.
+    A job that fails leaves an earlier month's file as it was, and so does a
+    driver that is lost, see ``sinks/folders.py``.
     """
     path = f"{folder.rstrip('/')}/output_month_{month}.parquet"
     replace_folder(df, path)
     return path
-
-
-def replace_folder(df: DataFrame, path: str, *partitions: str) -> None:
-    """Replace a Parquet folder by rows that are complete before the old ones go."""
-    staged = session.fresh_dir(df.sparkSession, "staged")
-    df.write.parquet(staged)
-    rows = df.sparkSession.read.schema(df.schema).parquet(staged)
-    rows.write.mode("overwrite").partitionBy(*partitions).parquet(path)

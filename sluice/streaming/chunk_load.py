@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
@@ -12,12 +13,13 @@ from pyspark.sql.streaming import StreamingQuery
 from sluice import session
 from sluice.functions.contract import Contract
 from sluice.operators import rowindex
-from sluice.sinks.parquet import replace_folder
+from sluice.sinks.folders import replace_folder
 from sluice.sources import delimited
 from sluice.sources.delimited import PATH
 
 BATCH = "batch_id"
 SOURCE = "source_file"
+MILLISECONDS = "milliseconds"
 
 
 @dataclass(frozen=True)
@@ -25,7 +27,8 @@ class StreamLoad:
     """A load from ``source`` (searched with its subfolders) into a Parquet folder.
 
     ``target`` gets the rows with ``index`` within their file, ``audit`` the
-    rows inserted per file and chunk. Both are partitioned by ``batch_id``.
+    rows inserted per file and chunk, and how long the batch took to load. Both
+    are partitioned by ``batch_id``.
     All files must have the header of the first one; a task that meets another
     header fails.
     """
@@ -44,8 +47,8 @@ def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     """Write one batch so that repeating it changes nothing.
 
     Batch 0 belongs to a fresh checkpoint and replaces whatever the folder held,
-    once its rows are complete elsewhere: a bad cell leaves the old rows in
-    place. A later batch replaces only its own partition.
+    once its rows are complete beside it: a bad cell or a lost driver leaves the
+    old rows or the new ones. A later batch replaces only its own partition.
     """
     rows = df.withColumn(BATCH, F.lit(batch_id).cast("bigint"))
     if batch_id == 0:
@@ -64,12 +67,19 @@ def read_batch(spark: SparkSession, path: str, batch_id: int) -> DataFrame | Non
         return None
 
 
+def first_file(spark: SparkSession, source: str) -> str:
+    """The first file of a source by name, found by tasks; no file is opened and no list comes back."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(source)
+    name = files.agg(F.min("path")).first()[0]
+    if name is None:
+        raise ValueError(f"no files below {source}")
+    return delimited.decoded(name)
+
+
 def start(spark: SparkSession, load: StreamLoad) -> StreamingQuery:
     """Load all files present and not yet loaded under this checkpoint, then stop."""
-    files = spark.read.option("recursiveFileLookup", True).text(load.source).inputFiles()
-    if not files:
-        raise ValueError(f"no files below {load.source}")
-    header = tuple(delimited.read_header(spark, delimited.decoded(min(files))))
+    session.ship(spark)
+    header = tuple(delimited.read_header(spark, first_file(spark, load.source)))
     load.contract.require(header)
     session.prefer_compiled_methods(spark)
     raw = (
@@ -82,13 +92,15 @@ def start(spark: SparkSession, load: StreamLoad) -> StreamingQuery:
     located = delimited.with_origin(raw, load.multi_line)
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
+        begun = time.monotonic()
         raw = rowindex.number_rows([batch])[0]
         rows = delimited.conform(delimited.Part(raw, header, header), load.contract, (), [rowindex.INDEX], [PATH])
         rows = rows.withColumnRenamed(PATH, SOURCE)
         write_batch(rows, load.target, batch_id)
         written = read_batch(batch.sparkSession, load.target, batch_id)
         counts = rowindex.chunk_counts(rows.limit(0) if written is None else written, load.chunk_size, [SOURCE])
-        write_batch(counts, load.audit, batch_id)
+        took = F.lit(round((time.monotonic() - begun) * 1000)).cast("bigint")
+        write_batch(counts.withColumn(MILLISECONDS, took), load.audit, batch_id)
 
     return (
         located.writeStream.foreachBatch(load_batch)
@@ -98,14 +110,7 @@ def start(spark: SparkSession, load: StreamLoad) -> StreamingQuery:
     )
 
 
-def progress(query: StreamingQuery, load: StreamLoad) -> DataFrame:
-    """Rows loaded per batch, from the audit, and the time of the query's latest batches.
-
-    The query's own input count is not used: each batch is read twice, once to
-    count the records of its file splits.
-    """
-    spark = SparkSession.getActiveSession()
-    times = [(p["batchId"], p["batchDuration"]) for p in query.recentProgress]
-    loaded = spark.read.parquet(load.audit).groupBy(BATCH).agg(F.sum("inserted").alias("inserted"))
-    took = spark.createDataFrame(times, f"{BATCH} bigint, milliseconds bigint")
-    return loaded.withColumn(BATCH, F.col(BATCH).cast("bigint")).join(took, BATCH, "left")
+def progress(spark: SparkSession, load: StreamLoad) -> DataFrame:
+    """Rows loaded per batch and the time that took, of all batches: from the audit, so also after the query has ended."""
+    audit = spark.read.parquet(load.audit).groupBy(F.col(BATCH).cast("bigint").alias(BATCH))
+    return audit.agg(F.sum("inserted").alias("inserted"), F.max(MILLISECONDS).alias(MILLISECONDS))

@@ -6,8 +6,9 @@ import pytest
 
 from sluice.functions.contract import TRIPS
 from sluice.plans import cli
-from sluice.plans.jobs import IngestConfig, ingest, show_progress
+from sluice.plans.jobs import IngestConfig, ingest, read_source, show_progress
 from sluice.sinks import jdbc
+from sluice.sources.delimited import read_delimited
 from sluice.sources.months import TRIPS_FILE
 
 
@@ -48,9 +49,30 @@ def test_month_load(spark, month, tmp_path, capsys):
     assert capsys.readouterr().out.splitlines() == ["Table created", "Inserted: 500", "Inserted: 500", "Inserted: 234"]
 
 
-def test_rows_can_be_spread_after_the_read(spark, month, tmp_path):
+def test_records_can_be_spread_before_they_are_typed(spark, month, tmp_path, capsys):
     cfg = IngestConfig(source=month[1], target_table="spread", target_dir=str(tmp_path / "t"), chunk_size=1000, writers=4)
     assert sorted(tuple(r) for r in ingest(spark, cfg).chunks.collect()) == [(0, 1000), (1, 234)]
+    read_source(spark, cfg).explain()
+    plan = capsys.readouterr().out
+    exchange = plan.index("rangepartitioning")
+    assert "transform" in plan[:exchange] and "transform" not in plan[exchange:].split("FileScan")[0]
+
+
+def test_progress_is_told_while_the_load_runs(spark, month, tmp_path):
+    told = []
+    cfg = IngestConfig(source=month[1], target_table="watched", target_dir=str(tmp_path / "t"))
+    ingest(spark, cfg, tell=lambda done, of: told.append((done, of)), every=0.01)
+    assert told and all(0 <= done <= of for done, of in told)
+
+
+def test_no_generated_code_of_trips_is_too_large(spark, month):
+    """Spark logs and runs without generated code where a method or class would be too large."""
+    import re
+
+    for df in (read_delimited(spark, month[1].format(year=2021, month=1), TRIPS), read_source(spark, IngestConfig(source=month[1]))):
+        code = spark._jvm.org.apache.spark.sql.execution.debug.package.codegenString(df._jdf.queryExecution().executedPlan())
+        sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+        assert sizes and 0 < max(sizes) < 65535, sizes
 
 
 def test_database_target_is_replaced_and_counted(spark, month, tmp_path, monkeypatch):
@@ -60,15 +82,16 @@ def test_database_target_is_replaced_and_counted(spark, month, tmp_path, monkeyp
     def write(df, connection, table, *, replace):
         sent.append((connection.url, table, replace))
         df.write.mode("overwrite").parquet(place)
+        return df.count()
 
     monkeypatch.setattr(jdbc, "write_jdbc", write)
-    monkeypatch.setattr(jdbc, "read_jdbc", lambda spark, connection, table: spark.read.parquet(place))
+    monkeypatch.setattr(jdbc, "read_jdbc", lambda spark, connection, table, index, rows: spark.read.parquet(place))
     cfg = IngestConfig(source=month[1], target_table="trips", chunk_size=1000, connection=jdbc.Connection("u", "p"))
     report = ingest(spark, cfg)
     assert sent == [("jdbc:postgresql://localhost:5432/ny_taxi", "trips", True)]
     assert report.rows == 1234 and sorted(tuple(r) for r in report.chunks.collect()) == [(0, 1000), (1, 234)]
 
-    monkeypatch.setattr(jdbc, "read_jdbc", lambda spark, connection, table: spark.read.parquet(place, place))
+    monkeypatch.setattr(jdbc, "read_jdbc", lambda spark, connection, table, index, rows: spark.read.parquet(place, place))
     with pytest.raises(RuntimeError, match="grew by 2468"):
         ingest(spark, cfg)
 

@@ -88,12 +88,14 @@ def test_writes_and_reads_pass_the_right_options(spark, monkeypatch):
     from pyspark.sql.readwriter import DataFrameReader, DataFrameWriter
 
     calls = []
-    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, mode, properties: calls.append((url, table, mode, properties)))
-    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, url, table, properties: calls.append((url, table, properties)))
+    monkeypatch.setattr(DataFrameWriter, "jdbc", lambda self, url, table, mode, properties: (self._df.collect(), calls.append((url, table, mode, properties))))
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, url, table, properties, **ranges: calls.append((url, table, properties, ranges)))
     connection = jdbc.Connection("u", "p")
-    jdbc.write_jdbc(spark.range(3), connection, "t", replace=True, writers=3)
-    jdbc.write_jdbc(spark.range(3), connection, "t", replace=False)
+    assert jdbc.write_jdbc(spark.range(3), connection, "t", replace=True, writers=3) == 3
+    assert jdbc.write_jdbc(spark.range(5), connection, "t", replace=False) == 5
     jdbc.read_jdbc(spark, connection, "t")
+    jdbc.read_jdbc(spark, connection, "t", "index", 1000, 4)
+    assert calls.pop()[3] == {"column": '"index"', "lowerBound": 0, "upperBound": 1000, "numPartitions": 4}
     url = "jdbc:postgresql://localhost:5432/ny_taxi"
     assert [c[:2] for c in calls] == [(url, "t")] * 3
     assert [c[2] for c in calls[:2]] == ["overwrite", "append"]

@@ -41,15 +41,27 @@ ALL_CHUNKS = [("a", 0, 10), ("a", 1, 10), ("a", 2, 5), ("b", 0, 10), ("c", 0, 10
 
 def test_all_files_once_with_index_and_audit(spark, load):
     it = load()
-    query = chunk_load.start(spark, it)
-    query.awaitTermination()
+    chunk_load.start(spark, it).awaitTermination()
     assert loaded(spark, it) == ALL and chunks(spark, it) == ALL_CHUNKS
     assert spark.read.parquet(it.target).select("batch_id").distinct().count() == 3
-    batches = chunk_load.progress(query, it).orderBy("batch_id").collect()
+    batches = chunk_load.progress(spark, it).orderBy("batch_id").collect()
     assert [r.batch_id for r in batches] == [0, 1, 2] and all(r.milliseconds > 0 for r in batches)
     assert sorted(r.inserted for r in batches) == [10, 25, 31]
 
 
+def test_every_batch_has_a_time(spark, load, put, setting):
+    """However many batches the query remembers itself."""
+    setting("spark.sql.streaming.numRecentProgressUpdates", "2")
+    for i in range(9):
+        put(f"in/x{i}/part.csv.gz", "k,v\n0,y\n")
+    it = load()
+    query = chunk_load.start(spark, it)
+    query.awaitTermination()
+    assert len(query.recentProgress) <= 2
+    batches = chunk_load.progress(spark, it).collect()
+    assert len(batches) == 12 and all(r.milliseconds > 0 and r.inserted > 0 for r in batches)
+
+
 def test_new_files_are_added_and_a_fresh_checkpoint_replaces(spark, load, put):
     it = load()
     chunk_load.start(spark, it).awaitTermination()
