@@ -19,11 +19,21 @@ def test_inventory(spark, put, tmp_path):
     put("box/script.py", "print()")
     put("box/sub/inner.txt", "not listed")
     put("box/_hidden", "x")
-    put("box/.hidden", "x")
-    df = file_inventory(spark, str(tmp_path / "box"), exclude="script.py")
-    assert sorted((r.size, r.content) for r in df.collect()) == [(0, ""), (13, "naïve\nlines\n"), (15, "Hello from host")]
-    assert "file1.txt" in {r.name for r in df.select("name").collect()}
-    assert file_inventory(spark, str(tmp_path / "box")).count() == 4
+    put("box/.hidden", "y")
+    put("box/packed.txt.gz", "z")
+    want = {
+        ("file1.txt", True, 15, "Hello from host"), ("é ü.txt", True, 13, "naïve\nlines\n"), ("empty.txt", True, 0, ""),
+        ("sub", False, None, None), ("_hidden", True, 1, "x"), (".hidden", True, 1, "y"),
+    }
+    df = file_inventory(spark, str(tmp_path / "box"), exclude="script.py").where("name <> 'packed.txt.gz'")
+    assert sorted(map(tuple, df.collect()), key=str) == sorted(want, key=str)
+    names = file_inventory(spark, f"file://{tmp_path}/box", contents=False)
+    assert names.count() == 8 and names.where("content IS NOT NULL").count() == 0
+    assert names.rdd.getNumPartitions() > 1
+    os.makedirs(tmp_path / "none")
+    assert file_inventory(spark, str(tmp_path / "none")).collect() == []
+    with pytest.raises(Exception, match="not a folder"):
+        file_inventory(spark, str(tmp_path / "box" / "file1.txt")).collect()
 
 
 def test_content_must_be_utf8(spark, tmp_path):
