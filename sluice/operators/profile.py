@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from dataclasses import dataclass
 from datetime import datetime, timedelta
 from decimal import ROUND_HALF_DOWN, ROUND_HALF_UP, Decimal
 
@@ -49,13 +50,24 @@ def timestamp_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema if isinstance(f.dataType, T.TimestampNTZType)]
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, *, approx: bool = False) -> DataFrame:
-    """Count, mean, sample deviation, min, quartiles and max, one row per numeric column.
+@dataclass(frozen=True)
+class Profile:
+    """One row per column: of numbers, and of timestamps."""
+
+    numbers: DataFrame
+    timestamps: DataFrame
+
 
-    Nulls and NaN are left out. Quartiles interpolate linearly and are exact;
-    ``approx=True`` settles for ``percentile_approx`` in a single pass.
+def describe(df: DataFrame, columns: Sequence[str] | None = None, *, approx: bool = False) -> Profile:
+    """Count, mean, extremes and quartiles of all numeric and timestamp columns, in the scans that one column needs.
+
+    Numbers also have the sample deviation. Nulls and NaN are left out.
+    Quartiles interpolate linearly and are exact; ``approx=True`` settles for
+    ``percentile_approx`` in a single pass.
     """
-    names = list(columns) if columns is not None else numeric_columns(df)
+    wanted = [f.name for f in df.schema] if columns is None else list(columns)
+    times = [n for n in timestamp_columns(df) if n in wanted]
+    names = [n for n in (numeric_columns(df) if columns is None else wanted) if n not in times]
     values = {}
     for name in names:
         kind = df.schema[name].dataType
@@ -64,23 +76,29 @@ def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, *, app
         else:
             number = _named(name).cast("double")
             values[name] = F.when(~F.isnan(number), number)
-    found = summarize(df, values, PROBABILITIES, approx=approx)
-    rows = [
-        (name, s.n, s.mean, s.std, _float(s.min), *map(_float, s.quantiles), _float(s.max))
-        for name, s in found.items()
-    ]
-    return df.sparkSession.createDataFrame(rows, NUMERIC_PROFILE)
-
+    found = summarize(df, values | {n: micros(_named(n)) for n in times}, PROBABILITIES, approx=approx, exact_mean=times)
 
-def describe_timestamp(df: DataFrame, columns: Sequence[str] | None = None, *, approx: bool = False) -> DataFrame:
-    """The same for timestamp columns, without a deviation."""
-    names = list(columns) if columns is not None else timestamp_columns(df)
-    found = summarize(df, {n: micros(_named(n)) for n in names}, PROBABILITIES, approx=approx, exact_mean=True)
+    def number_row(name: str, s: Summary) -> tuple:
+        return (name, s.n, s.mean, s.std, _float(s.min), *map(_float, s.quantiles), _float(s.max))
 
-    def row(name: str, s: Summary) -> tuple:
+    def time_row(name: str, s: Summary) -> tuple:
         return (name, s.n, _from_micros(s.mean), *map(_from_micros, (s.min, *s.quantiles, s.max)))
 
-    return df.sparkSession.createDataFrame([row(n, s) for n, s in found.items()], TIMESTAMP_PROFILE)
+    spark = df.sparkSession
+    return Profile(
+        spark.createDataFrame([number_row(n, found[n]) for n in names], NUMERIC_PROFILE),
+        spark.createDataFrame([time_row(n, found[n]) for n in times], TIMESTAMP_PROFILE),
+    )
+
+
+def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None, *, approx: bool = False) -> DataFrame:
+    """The numeric part of `describe`, of these columns only."""
+    return describe(df, numeric_columns(df) if columns is None else columns, approx=approx).numbers
+
+
+def describe_timestamp(df: DataFrame, columns: Sequence[str] | None = None, *, approx: bool = False) -> DataFrame:
+    """The timestamp part of `describe`, of these columns only."""
+    return describe(df, timestamp_columns(df) if columns is None else columns, approx=approx).timestamps
 
 
 def _float(value: float | int | None) -> float | None:

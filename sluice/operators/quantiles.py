@@ -13,7 +13,7 @@ result. When few rows are left in all open intervals, their values are counted.
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping, Sequence
+from collections.abc import Collection, Mapping, Sequence
 from dataclasses import dataclass, replace
 from functools import reduce
 
@@ -91,8 +91,11 @@ def _propose(df: DataFrame, values: Sequence[Column], gaps: Sequence[Gap], accur
     return [sorted(set(c)) for c in row]
 
 
-def _positions(df: DataFrame, values: Sequence[Column], gaps: Sequence[Gap], cuts: Sequence[Sequence[Number]]) -> list:
-    """For every gap its cuts, each with the rows of the column below it and up to it."""
+CHANGED = "the source changed between two scans: the quantiles of its columns cannot be told"
+
+
+def _positions(df: DataFrame, values: Sequence[Column], gaps: Sequence[Gap], cuts: Sequence[Sequence[Number]], sizes: Mapping[int, int]) -> list:
+    """For every gap its cuts, each with the rows of the column below it and up to it; fails if a column has other rows than before."""
     counts = [
         count.alias(f"n{g}_{i}_{k}")
         for g, gap in enumerate(gaps)
@@ -101,41 +104,42 @@ def _positions(df: DataFrame, values: Sequence[Column], gaps: Sequence[Gap], cut
             (F.count_if(values[gap.column] < F.lit(cut)), F.count_if(values[gap.column] <= F.lit(cut)))
         )
     ]
-    row = df.agg(*counts).first()
+    columns = sorted({gap.column for gap in gaps})
+    row = df.agg(*counts, *[F.count(values[c]).alias(f"all{c}") for c in columns]).first()
+    if any(row[f"all{c}"] != sizes[c] for c in columns):
+        raise RuntimeError(CHANGED)
     return [
         [(cut, row[f"n{g}_{i}_0"], row[f"n{g}_{i}_1"]) for i, cut in enumerate(cuts[g])] for g in range(len(gaps))
     ]
 
 
 def _settle(df: DataFrame, values: Sequence[Column], gaps: Sequence[Gap], found: dict) -> None:
-    """Read the values of the few rows left, counted per value."""
-    for kind in ("bigint", "double"):
-        chosen = [g for g in gaps if (kind == "double") == _is_double(df, values[g.column])]
-        if not chosen:
-            continue
-        inside = [gap.holds(values[gap.column]) for gap in chosen]
-        picks = [
-            F.struct(F.lit(i).alias("gap"), F.when(inside[i], values[gap.column]).alias("value"))
-            for i, gap in enumerate(chosen)
-        ]
-        rows = (
-            df.where(reduce(lambda a, b: a | b, inside))
-            .select(F.explode(F.array(*picks)).alias("p"))
-            .where("p.value IS NOT NULL")
-            .groupBy("p.gap", "p.value")
-            .agg(F.count(F.lit(1)).alias("n"))
-            .collect()
-        )
-        at = [gap.below for gap in chosen]
-        for gap, value, n in sorted(rows):
-            for rank in chosen[gap].ranks:
-                if at[gap] <= rank < at[gap] + n:
-                    found[chosen[gap].column, rank] = value
-            at[gap] += n
-
-
-def _is_double(df: DataFrame, value: Column) -> bool:
-    return df.select(value).schema[0].dataType.simpleString() == "double"
+    """Read the values of the few rows left, counted per value; one scan for columns of both types."""
+    doubles = [f.dataType.simpleString() == "double" for f in df.schema]
+    inside = [gap.holds(values[gap.column]) for gap in gaps]
+
+    def pick(i: int, gap: Gap) -> Column:
+        value = F.when(inside[i], values[gap.column])
+        none = [F.lit(None).cast("bigint"), F.lit(None).cast("double")]
+        whole, real = (none[0], value) if doubles[gap.column] else (value, none[1])
+        return F.struct(F.lit(i).alias("gap"), whole.alias("whole"), real.alias("real"))
+
+    rows = (
+        df.where(reduce(lambda a, b: a | b, inside))
+        .select(F.explode(F.array(*[pick(i, gap) for i, gap in enumerate(gaps)])).alias("p"))
+        .where("p.whole IS NOT NULL OR p.real IS NOT NULL")
+        .groupBy("p.gap", "p.whole", "p.real")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .collect()
+    )
+    at = [gap.below for gap in gaps]
+    for i, value, n in sorted((r["gap"], r["real"] if r["whole"] is None else r["whole"], r["n"]) for r in rows):
+        for rank in gaps[i].ranks:
+            if at[i] <= rank < at[i] + n:
+                found[gaps[i].column, rank] = value
+        at[i] += n
+    if any(at[i] != gap.below + gap.rows for i, gap in enumerate(gaps)):
+        raise RuntimeError(CHANGED)
 
 
 def summarize(
@@ -144,15 +148,17 @@ def summarize(
     probabilities: Sequence[float],
     *,
     approx: bool = False,
-    exact_mean: bool = False,
+    exact_mean: Collection[str] = (),
     accuracy: int = ACCURACY,
     few_rows: int = FEW_ROWS,
 ) -> dict[str, Summary]:
     """Count, mean, sample deviation, extremes and quantiles of bigint or double expressions.
 
     Runs jobs at once: one for the aggregates and the first cuts, then one or
-    two per round. At most ``few_rows`` distinct values reach the driver.
-    ``exact_mean`` adds bigint values up as decimals instead of doubles.
+    two per round, each for all columns whatever their types. At most
+    ``few_rows`` distinct values reach the driver. ``exact_mean`` names bigint
+    columns that are added up as decimals instead of doubles. A source that
+    gives other rows to a later scan fails.
     """
     if not values:
         return {}
@@ -168,7 +174,7 @@ def summarize(
     for i, v in enumerate(columns):
         aggregates += [
             F.count(v).alias(f"n{i}"),
-            F.avg(v.cast("decimal(20,0)") if exact_mean else v).alias(f"mean{i}"),
+            F.avg(v.cast("decimal(20,0)") if list(values)[i] in exact_mean else v).alias(f"mean{i}"),
             F.stddev_samp(v).alias(f"std{i}"),
             F.min(v).alias(f"min{i}"),
             F.max(v).alias(f"max{i}"),
@@ -193,7 +199,7 @@ def summarize(
             break
         if cuts is None:
             cuts = _propose(df, columns, gaps, accuracy)
-        positions = _positions(df, columns, gaps, cuts)
+        positions = _positions(df, columns, gaps, cuts, {i: stats[f"n{i}"] for i in range(len(columns))})
         gaps = [left for gap, at in zip(gaps, positions) for left in gap.narrow(at, found)]
         cuts = None
 

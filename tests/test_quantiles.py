@@ -104,3 +104,34 @@ def test_table_ddl(spark):
     )
     with pytest.raises(ValueError, match="a"):
         profile.table_ddl(spark.createDataFrame([], "a array<int>"), "t")
+
+
+def test_one_describe_over_numbers_and_timestamps(spark, tmp_path):
+    """Nine columns need the scans that one needs, and give what each gives alone."""
+    from sluice.operators import profile
+
+    path = str(tmp_path / "rows")
+    ts = F.timestamp_seconds(F.col("id") * 977 % 100_000).cast("timestamp_ntz")
+    spark.range(50_000).select(*[((F.col("id") * p) % 30_011).alias(f"n{p}") for p in (3, 5, 7, 11)], *[(F.col("id") * p % 977 / 7).alias(f"d{p}") for p in (3, 5, 7, 11)], ts.alias("t")).write.parquet(path)
+    df = spark.read.parquet(path)
+
+    def jobs(action):
+        group = f"describe {action}"
+        spark.sparkContext.setJobGroup(group, "")
+        found = action()
+        n = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        spark.sparkContext.setJobGroup("", "")
+        return n, found
+
+    n_all, whole = jobs(lambda: profile.describe(df))
+    n_one = max(jobs(lambda c=c: profile.describe(df, [c]))[0] for c in ("n7", "d7", "t"))
+    assert n_all <= n_one + 2
+    assert sorted(map(tuple, whole.numbers.collect())) == sorted(map(tuple, profile.describe_numeric(df).collect()))
+    assert whole.timestamps.collect() == profile.describe_timestamp(df).collect()
+    assert whole.numbers.count() == 8 and whole.timestamps.count() == 1
+
+
+def test_a_source_that_changes_between_scans_fails(spark):
+    changing = spark.range(60_000).select(F.col("id").alias("x")).where("x < 9999 + unix_micros(current_timestamp()) % 50000")
+    with pytest.raises(RuntimeError, match="changed between two scans"):
+        summarize(changing, {"x": F.col("x")}, (0.5,), accuracy=50, few_rows=10)
