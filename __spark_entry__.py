@@ -136,13 +136,17 @@ def read_header_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def parse_timestamps(spark: SparkSession, sf_dir: str) -> DataFrame:
-    events = table(spark, sf_dir, "events").select(
-        "event_id",
+    """Three forms of ISO 8601, each found in its column, and a declared pattern."""
+    events = table(spark, sf_dir, "events")
+    texts = events.select(
+        *[c for c in events.columns if c != "ts"],
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("ts"),
+        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("with_t"),
+        F.date_format("ts", "yyyy-MM-dd").alias("day"),
         F.date_format("ts", "dd/MM/yyyy HH:mm:ss.SSSSSS").alias("day_first"),
     )
-    folder = extracts.kept(spark, sf_dir, "timestamps", lambda path: extracts.write_csv(events, path))
-    contract = Contract.of({"event_id": "bigint"}, {"ts": None, "day_first": "dd/MM/yyyy HH:mm:ss.SSSSSS"})
+    folder = extracts.kept(spark, sf_dir, "timestamps", lambda path: extracts.write_csv(texts, path))
+    contract = Contract.of(EVENTS.types, {"ts": None, "with_t": None, "day": None, "day_first": "dd/MM/yyyy HH:mm:ss.SSSSSS"})
     return read_delimited(spark, folder, contract)
 
 
@@ -209,11 +213,11 @@ def row_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def files_with_content(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_inventory(spark, page_files(spark, sf_dir)).select("name", "content")
+    return file_inventory(spark, page_files(spark, sf_dir))
 
 
 def file_exclude(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return file_inventory(spark, page_files(spark, sf_dir), exclude="page_0.html").select("name")
+    return file_inventory(spark, page_files(spark, sf_dir), exclude="page_0.html", contents=False).select("name", "is_file", "size")
 
 
 def literal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -425,7 +429,7 @@ def own_oracle_sql() -> dict[str, str]:
         "read_quoted_text": "SELECT * FROM documents",
         "read_quoted_plain": "SELECT * FROM documents",
         "read_header_bound": "SELECT * FROM orders",
-        "parse_timestamps": "SELECT event_id, ts, ts AS day_first FROM events",
+        "parse_timestamps": "SELECT *, ts AS with_t, date_trunc('day', ts)::TIMESTAMP AS day, ts AS day_first FROM events",
         "read_null_tokens": """
             SELECT o_orderkey, CASE WHEN o_orderkey % 20 = 19 THEN o_orderstatus END AS o_orderstatus,
                    CASE WHEN o_orderkey % 20 = 19 THEN o_custkey END AS o_custkey,
@@ -448,8 +452,12 @@ def own_oracle_sql() -> dict[str, str]:
             GROUP BY ALL""",
         "head_rows": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 5",
         "row_count": "SELECT count(*) AS n FROM lineitem",
-        "file_inventory": "SELECT 'page_' || page_id || '.html' AS name, html AS content FROM pages",
-        "file_exclude": "SELECT 'page_' || page_id || '.html' AS name FROM pages WHERE page_id <> 0",
+        "file_inventory": """
+            SELECT 'page_' || page_id || '.html' AS name, true AS is_file, strlen(html)::BIGINT AS size, html AS content
+            FROM pages""",
+        "file_exclude": """
+            SELECT 'page_' || page_id || '.html' AS name, true AS is_file, strlen(html)::BIGINT AS size
+            FROM pages WHERE page_id <> 0""",
         "literal_rows": """
             SELECT o.day, num_passengers, count(*) AS n
             FROM (SELECT day(o_orderdate) AS day FROM orders) o
