@@ -50,8 +50,9 @@ def op1_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def secret_models(docs: DataFrame) -> secret_scan.Models:
-    labelled = secret_scan.labelled_strings(docs).unionByName(secret_scan.random_strings(docs.sparkSession))
-    return secret_scan.train(labelled)
+    spark = docs.sparkSession
+    made = secret_scan.random_strings(spark).unionByName(secret_scan.ordinary_strings(spark))
+    return secret_scan.train(secret_scan.labelled_strings(docs).unionByName(made))
 
 
 def op2_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:

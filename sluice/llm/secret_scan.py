@@ -1,10 +1,13 @@
 """Secrets in texts: fixed patterns, and strings that a character model finds random.
 
 Two first-order Markov models over characters, one of random strings and one of
-ordinary identifiers, are counted from labelled samples. A run of identifier
-characters is reported if the logarithm of its likelihood ratio is high, or that
-of a stretch inside it, so that words joined to a key do not hide it. Training
-and scoring are DataFrame expressions.
+ordinary ones, are counted from labelled samples: generated random strings and what
+the base patterns catch on one side; on the other names from Python's library,
+numbers, dates, repeated characters, and the long strings that remain in the texts.
+A run of identifier characters is reported if the logarithm of its likelihood
+ratio is high, or that of a stretch inside it, so that words joined to a key do not
+hide it. Characters that join words, as in paths, tell nothing either way.
+Training and scoring are DataFrame expressions.
 
 Places are code points from 0, ends exclusive. Null reads as the empty text,
 which has no spans; rows that repeat are scanned alike, each on its own.
@@ -12,13 +15,17 @@ which has no spans; rows that repeat are scanned alike, each on its own.
 
 from __future__ import annotations
 
+import builtins
+import importlib
 import math
+import re
+import sys
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sluice.llm.work import unused
+from sluice.llm.work import making_room, unused
 
 # The base patterns.
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -33,8 +40,15 @@ SAMPLE = r"[A-Za-z0-9+/_=-]{12,}"
 #: Characters the models tell apart; letters in either case are one.
 ALPHABET = "abcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 JOINTS = "/_=-"
-WHOLE = 20
-SMOOTH = 0.1
+#: How a model mixes the counts after a character, of all characters, and equal shares: seen `SEEN` times, counts weigh a half.
+SEEN, SURE, COMMON = 8.0, 0.9, 0.7
+# Library modules whose names are samples of ordinary identifiers.
+MODULES = """
+argparse ast asyncio calendar codecs collections configparser csv datetime decimal difflib email.message fractions functools
+http.client http.server inspect itertools json locale logging mailbox pathlib pickle platform random shutil smtplib socket
+sqlite3 ssl statistics string subprocess tarfile tempfile threading tokenize typing unittest urllib.parse urllib.request
+xml.dom.minidom zipfile
+""".split()
 SPAN = "struct<start:bigint,kind:int,end:bigint>"
 
 
@@ -62,6 +76,19 @@ def random_strings(spark: SparkSession, n: int = 20_000) -> DataFrame:
     return spark.range(n).select(text.alias("sample"), F.lit(True).alias("random"))
 
 
+def ordinary_strings(spark: SparkSession, n: int = 5_000) -> DataFrame:
+    """Labelled samples of ordinary strings: names from the library of this Python, numbers, dates and times, repeated characters."""
+    names = {*sys.stdlib_module_names, *dir(builtins)}
+    for module in MODULES:
+        names.update(dir(importlib.import_module(module)))
+    known = sorted(x for x in names if re.fullmatch(r"[A-Za-z0-9_]{4,}", x))
+    known += [c * 400 for c in ALPHABET]
+    number = F.conv(F.substring(F.sha2(F.concat(F.lit("number "), F.col("id").cast("string")), 256), 1, 13), 16, 10)
+    date = F.date_format(F.timestamp_seconds(F.col("id") * 86_399 * 7), "yyyy-MM-dd'T'HH-mm-ss")
+    made = spark.range(n).select(F.when(F.col("id") % 2 == 0, number).otherwise(date).alias("sample"))
+    return spark.createDataFrame([(x,) for x in known], "sample string").unionByName(made).withColumn("random", F.lit(False))
+
+
 def labelled_strings(docs: DataFrame, text: str = "text") -> DataFrame:
     """Labelled samples from texts: what the base patterns catch is random, other long strings are ordinary."""
     whole = F.coalesce(F.col(text), F.lit(""))
@@ -77,21 +104,32 @@ def labelled_strings(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def train(samples: DataFrame) -> Models:
-    """Models from rows (sample, random). Pairs of characters are counted over all samples, `SMOOTH` is added to each count.
+    """Models from rows (sample, random). Pairs of characters are counted over all samples.
 
-    What reaches the driver is one count for each pair and label: 3362 at most.
+    A pair that was never seen is as likely as its second character is, so that
+    unusual ordinary words do not look random. What reaches the driver is one
+    count for each pair and label: 3362 at most.
     """
     size = len(ALPHABET)
     pairs = samples.where("sample is not null and random is not null").select("random", F.explode(steps(F.col("sample"))).alias("step"))
-    counts = {True: [SMOOTH] * size * size, False: [SMOOTH] * size * size}
+    counts = {True: [0.0] * size * size, False: [0.0] * size * size}
     for row in pairs.groupBy("random", "step").count().collect():
         if row["step"] is not None:
             counts[row["random"]][row["step"]] += row["count"]
-    ratios = []
-    for i in range(size):
-        one, two = (counts[x][i * size : (i + 1) * size] for x in (True, False))
-        ratios += [math.log(a / sum(one)) - math.log(b / sum(two)) for a, b in zip(one, two, strict=True)]
-    return Models(tuple(ratios))
+    logs = {kind: log_chances(each, size) for kind, each in counts.items()}
+    return Models(tuple(a - b for a, b in zip(logs[True], logs[False], strict=True)))
+
+
+def log_chances(counts: list[float], size: int) -> list[float]:
+    """Logarithms of the chances of each character after each other one."""
+    common = [1 + sum(counts[b::size]) for b in range(size)]
+    out = []
+    for a in range(size):
+        after = counts[a * size : (a + 1) * size]
+        seen = sum(after)
+        trust = SURE * seen / (seen + SEEN)
+        out += [math.log(trust * n / max(seen, 1.0) + (1 - trust) * (COMMON * c / sum(common) + (1 - COMMON) / size)) for n, c in zip(after, common, strict=True)]
+    return out
 
 
 # --- scoring ---------------------------------------------------------------------------------
@@ -114,20 +152,18 @@ def is_random(token: Column, models: Models) -> Column:
 
     Where a stretch's ratios fall to the least mean a new one begins: of those
     that end at a place, the stretch left is the furthest above that mean.
-    Pairs with a character of `JOINTS` tell nothing in a stretch and in a string
-    of fewer than `WHOLE` characters: they join ordinary words too.
+    Pairs with a character of `JOINTS` tell nothing: they join ordinary words and
+    parts of keys alike.
     """
     size, joints = len(ALPHABET), {ALPHABET.index(c) for c in JOINTS}
-    table = F.lit(list(models.ratios))
     inner = F.lit([0.0 if {i // size, i % size} & joints else x for i, x in enumerate(models.ratios)])
-    zero = F.struct(F.lit(0.0).alias("whole"), F.lit(0.0).alias("words"), F.lit(0.0).alias("above"), F.lit(0.0).alias("total"), F.lit(0).alias("n"), F.lit(False).alias("found"))
+    zero = F.struct(F.lit(0.0).alias("words"), F.lit(0.0).alias("above"), F.lit(0.0).alias("total"), F.lit(0).alias("n"), F.lit(False).alias("found"))
 
     def add(state: Column, step: Column) -> Column:
         ratio = F.coalesce(F.get(inner, step), F.lit(0.0))
         above, total, n = state["above"] + ratio - models.least_mean, state["total"] + ratio, state["n"] + 1
         on = above > 0
         return F.struct(
-            (state["whole"] + F.coalesce(F.get(table, step), F.lit(0.0))).alias("whole"),
             (state["words"] + ratio).alias("words"),
             F.when(on, above).otherwise(0.0).alias("above"),
             F.when(on, total).otherwise(0.0).alias("total"),
@@ -136,8 +172,7 @@ def is_random(token: Column, models: Models) -> Column:
         )
 
     least = F.greatest(F.lit(models.least_total), models.least_mean * (F.char_length(token) - 1))
-    long = F.char_length(token) >= WHOLE
-    return F.aggregate(steps(token), zero, add, lambda x: x["found"] | (x["words"] >= least) | (long & (x["whole"] >= least)))
+    return F.aggregate(steps(token), zero, add, lambda x: x["found"] | (x["words"] >= least))
 
 
 def all_of(text: Column, pattern: str, group: int = 0) -> Column:
@@ -165,7 +200,11 @@ def placed(text: Column, pattern: str, kind: str, wanted: Column | None = None)
 
 
 def scanned(docs: DataFrame, models: Models, text: str = "text", out: str = "secrets") -> DataFrame:
-    """`docs` with a struct column `out`: base and spans, lists of (start, kind number, end) by start, then kind."""
+    """`docs` with a struct column `out`: base and spans, lists of (start, kind number, end) by start, then kind.
+
+    A column of `docs` named as `out` is kept with `_` behind its name.
+    """
+    docs = making_room(docs, out)
     base, tokens, marks, extra = unused(docs, "base", "tokens", "marks", "extra")
     whole = F.coalesce(F.col(text), F.lit(""))
     none = F.array().cast(f"array<{SPAN}>")
