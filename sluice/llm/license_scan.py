@@ -2,10 +2,11 @@
 
 Words that notices use are cues. Each template is laid on each cue by its own cue
 words, which gives a candidate block. A template is a raw zstandard dictionary:
-the block is compressed with and without it, and templates are ranked by how much
-shorter they make their blocks. They are confirmed, in that order, by the exact
-differences in wording: the smallest set of words to replace, drop or add that
-turns the template into a part of the block.
+the block is compressed with and without it, and templates are ranked by the bytes
+that they save, so a long notice comes before the short one that it holds. The
+first of them that is confirmed is the notice: by the exact differences in
+wording, the smallest set of words to replace, drop or add that turns the template
+into a part of the block.
 
 Null reads as the empty text, which has no notices. Rows that repeat are scanned
 alike, each on its own.
@@ -18,6 +19,7 @@ from bisect import bisect_right
 from collections import Counter
 from collections.abc import Collection, Mapping
 from dataclasses import dataclass, field
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,6 +35,7 @@ TEMPLATES = {
     "either version 3 of the License, or (at your option) any later version.",
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "Apache-2.0-short": "Licensed under the Apache 2.0 License.",
+    "Apache-2.0-distributed": "Distributed under the terms of the Apache License, Version 2.0.",
     "Apache-2.0-released": "Released under the Apache License 2.0.",
     "Apache-2.0-header": "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. "
     "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
@@ -49,6 +52,7 @@ TEMPLATES = {
     "2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation "
     "and/or other materials provided with the distribution. 3. Neither the name of the copyright holder nor the names of its contributors may be used to "
     "endorse or promote products derived from this software without specific prior written permission",
+    "BSD-3-Clause-distributed": "Distributed under the terms of the BSD 3-Clause License.",
     "BSD-style": "Use of this source code is governed by a BSD-style license that can be found in the LICENSE file.",
     "CC-BY-4.0": "Licensed under CC BY 4.0.",
     "CC-BY-4.0-name": "licensed under a Creative Commons Attribution 4.0 International License.",
@@ -61,9 +65,15 @@ TEMPLATES = {
     "CC0-1.0": "CC0 1.0 Universal Public Domain Dedication",
     "CC0-1.0-waiver": "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work",
     "GPL-2.0": "This work is licensed under the GNU General Public License, version 2.",
+    "GPL-2.0-name": "licensed under the GNU General Public License v2",
+    "GPL-2.0-short": "Licensed under GPL-2.0",
     "GPL-2.0-header": "it under the terms of the GNU General Public License as published by the Free Software Foundation; "
     "either version 2 of the License, or (at your option) any later version.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
+    "GPL-3.0-name": "licensed under the GNU General Public License v3",
+    "GPL-3.0-name-point": "licensed under the GNU General Public License v3.0",
+    "GPL-3.0-short": "Licensed under GPL-3.0",
+    "GPL-3.0-short-v": "Licensed under the GPL v3",
     "GPL-3.0-header": "it under the terms of the GNU General Public License as published by the Free Software Foundation, "
     "either version 3 of the License, or (at your option) any later version.",
     "GPL-program": "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
@@ -76,6 +86,7 @@ TEMPLATES = {
     "LGPL-3.0-header": "it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; "
     "either version 3 of the License, or (at your option) any later version.",
     "MIT": "Released under the MIT License.",
+    "MIT-distributed": "Distributed under the terms of the MIT License.",
     "MIT-licensed": "Licensed under the MIT License.",
     "MIT-permission": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software "
     "and associated documentation files (the Software), to deal in the Software without restriction",
@@ -85,15 +96,23 @@ TEMPLATES = {
     "Unlicense": "This is free and unencumbered software released into the public domain.",
 }
 
+# Licenses that are named by their identifier alone.
+IDENTIFIERS = """
+AGPL-3.0 Apache-2.0 BSD-2-Clause BSD-3-Clause CC-BY-4.0 CC-BY-SA-4.0 CC0-1.0 GPL-2.0 GPL-3.0 ISC LGPL-2.1 LGPL-3.0 MIT MPL-2.0 Unlicense
+""".split()
+TEMPLATES |= {f"{x}-identifier": f"SPDX-License-Identifier: {x}" for x in IDENTIFIERS}
+
 #: Words that one of these matches point at a notice, also where a line ends inside of them.
 CUE = r"(?i)licen[cs]|copyright|hereby|public\W+domain|cc0|unencumbered|redistribution"
 WORD = re.compile(r"[^\W_]+(?:\.[^\W_]+)*")
 #: Words of names and versions: a notice that lacks one of its template's is of another license, and so is one with another of the second kind.
 NAMED = frozenset(
     "agpl affero apache attribution bsd by cc cc0 clause commons creative dedication domain gnu gpl isc lesser lgpl library mit mozilla mpl nc nd "
-    "noncommercial noderivatives public sa sharealike style universal unencumbered".split()
+    "noncommercial noderivatives public sa sharealike spdx style universal unencumbered unlicense".split()
 )
-FOREIGN = NAMED - frozenset("by clause creative domain public style".split())
+FOREIGN = NAMED - frozenset("by clause creative domain public spdx style".split())
+#: A number that counts the parts of a text, not a version.
+PART = re.compile(r"[:.;] (\d+)\. ")
 
 
 @dataclass(frozen=True)
@@ -107,7 +126,7 @@ class Scan:
 
     templates: Mapping[str, str] = field(default_factory=lambda: TEMPLATES)
     cue: str = CUE
-    gain: float = 0.25
+    gain: float = 0.1
     differ: float = 0.1
     short: int = 6
     level: int = 9
@@ -170,7 +189,7 @@ class Template:
         starts = [s for _, s, _ in placed]
         self.cues = sorted({bisect_right(starts, m.start()) - 1 for m in cue.finditer(text)})
         self.counts = Counter(self.words)
-        self.fixed = {w for w in self.words if w in NAMED or w[0].isdigit()} if len(self.words) < 40 else self.counts.keys() & NAMED
+        self.fixed = {w for w in self.words if w in NAMED or w[0].isdigit()} - set(PART.findall(text))
         given = zstandard.ZstdCompressionDict(" ".join(self.words).encode(), dict_type=zstandard.DICT_TYPE_RAWCONTENT)
         self.coder = zstandard.ZstdCompressor(level=how.level, dict_data=given, write_content_size=False, write_dict_id=False)
 
@@ -197,10 +216,12 @@ class Matcher:
         self.plain = zstandard.ZstdCompressor(level=how.level, write_content_size=False)
         self.templates = [Template(name, text, how, self.cue) for name, text in sorted(how.templates.items())]
 
-    def gain(self, template: Template, block: list[str]) -> float:
-        """The share of a block's size that a template saves."""
+    def saved(self, template: Template, block: list[str]) -> tuple[int, float]:
+        """The bytes of a compressed block that a template saves, and their share."""
         data = " ".join(block).encode()
-        return 1 - len(template.coder.compress(data)) / len(self.plain.compress(data))
+        plain = len(self.plain.compress(data))
+        less = plain - len(template.coder.compress(data))
+        return less, less / plain
 
     def find(self, text: str) -> list[tuple[str, int, int, str]]:
         """(name, start, end, differences) of the notices of a text, in its order; places are code points, notices do not overlap.
@@ -225,23 +246,31 @@ class Matcher:
         return found
 
     def confirmed(self, flat: list[str], able: list[Template], at: int, first: int) -> tuple[str, int, int, list[str]] | None:
-        """The best notice about the word `at`: that with the most words in common, less those that differ."""
+        """The notice about the word `at`: of the templates ranked by what they save, the first whose wording is confirmed.
+
+        Blocks that lack more words than a template may differ by are not
+        compressed: its wording could not be confirmed. Of templates that save
+        equally much, one with fewer differences comes first, then by name.
+        """
         ranked = []
         for template in able:
             for cue in template.cues:
                 low = max(first, at - cue - template.allowed)
                 block = flat[low : max(low, at - cue + len(template.words) + template.allowed)]
-                if template.may_be_in(block) and (gain := self.gain(template, block)) >= self.how.gain:
-                    ranked.append((-gain, template.name, low, block, template))
-        best, most = None, 0
-        for _, name, low, block, template in sorted(ranked, key=lambda x: x[:3]):
-            if len(template.words) <= most:
-                continue
-            i, j, differences = wording(template.words, block, template.fixed)
-            score = len(template.words) - sum(d[0] == "-" for d in differences) - len(differences)
-            if j > i and score > most and template.accepts(differences):
-                best, most = (name, low + i, low + j, differences), score
-        return best
+                if template.may_be_in(block):
+                    less, share = self.saved(template, block)
+                    if share >= self.how.gain:
+                        ranked.append((-less, template.name, low, block, template))
+        ranked.sort(key=lambda x: x[:3])
+        for less, group in groupby(ranked, key=lambda x: x[0]):
+            confirmed = []
+            for _, name, low, block, template in group:
+                i, j, differences = wording(template.words, block, template.fixed)
+                if j > i and template.accepts(differences):
+                    confirmed.append((len(differences), name, low + i, low + j, differences))
+            if confirmed:
+                return min(confirmed)[1:]
+        return None
 
 
 def scanned(docs: DataFrame, how: Scan = Scan(), text: str = "text", out: str = "licenses") -> DataFrame:
