@@ -8,6 +8,7 @@ code: the code of a table of many columns stays small enough to be compiled.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column
@@ -138,6 +139,14 @@ def iso_forms(text: Column) -> Column:
     return F.when(is_missing(text), F.lit(0)).otherwise(found)
 
 
+def iso_form_of(text: str) -> int:
+    """The same for a text at hand, whether or not there is such a day."""
+    for bit, form in enumerate(ISO_FORMS.values()):
+        if re.match(form.replace(r"\z", r"\Z"), text):
+            return 1 << bit
+    return 1 << len(ISO_FORMS)
+
+
 def parse_timestamp(name: str, text: Column, where: Column, pattern: str | None = None) -> Column:
     """One pattern per column; any other form fails."""
     expected = f"a timestamp of the form {pattern or SPACED}"

@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from sluice import session
 from sluice.functions.contract import Contract
-from sluice.operators.ordering import running_total
+from sluice.operators.ordering import kept, running_total
 from sluice.sources.delimited import (
     LENGTH,
     ORIGIN,
@@ -31,22 +33,20 @@ ROWS, FIRST, LAST, BEFORE, KEY = "__rows", "__first", "__last", "__before", "__s
 ROWS_PER_TASK = 1 << 33  # monotonically_increasing_id counts each task from a multiple of this
 SPLIT_BYTES = 128  # one row of the broadcast split table, with hash overhead
 BROADCAST_LIMIT = 128 * 1024 * 1024
+FEW_TASKS = 256  # a task reads some 30 files at most, so so many read less than 10 000 splits
 
 
 def count_splits(raws: Sequence[DataFrame], scope: Mapping[str, Column]) -> DataFrame:
     """One row per file split: its number of rows, and its first and last row number.
 
-    The counting pass needs no cell of the file. Its result is one small row
-    per split, written to the shared checkpoint folder and read from there.
+    The counting pass needs no cell of the file.
     """
-    session.shared_dir(raws[0].sparkSession)
     session.pin_split_plan(raws[0].sparkSession)
     return (
         union_by_name([raw.select(*ORIGIN) for raw in raws])
         .groupBy(PATH, START, LENGTH)
         .agg(F.count(F.lit(1)).alias(ROWS), F.min(ROW).alias(FIRST), F.max(ROW).alias(LAST))
         .withColumns(dict(scope))
-        .checkpoint()
     )
 
 
@@ -55,6 +55,22 @@ def one_split(df: DataFrame) -> bool:
     return df.rdd.getNumPartitions() == 1 and len(df.inputFiles()) == 1
 
 
+def few_offsets(splits: DataFrame, within: Sequence[str]) -> DataFrame:
+    """The splits with the rows of all earlier splits of the same index, added up here: some thousand splits at most."""
+    totals: dict[tuple, int] = defaultdict(int)
+    rows = []
+    for row in sorted(splits.collect(), key=lambda r: (r[PATH], r[START])):
+        group = tuple(row[c] for c in within)
+        rows.append((*row, totals[group]))
+        totals[group] += row[ROWS]
+    return splits.sparkSession.createDataFrame(rows, T.StructType([*splits.schema.fields, T.StructField(BEFORE, T.LongType())]))
+
+
+def many_offsets(splits: DataFrame, within: Sequence[str]) -> DataFrame:
+    """The same in Spark, on two levels; the counts are written to the shared folder first."""
+    return running_total(kept(splits, "splits"), ROWS, [PATH, START], within, BEFORE)
+
+
 def number_rows(
     raws: Sequence[DataFrame],
     scope: Mapping[str, Column] | None = None,
@@ -75,9 +91,11 @@ def number_rows(
 
     added = {} if scope is None else dict(scope)
     within = {PATH: F.col(PATH)} if scope is None else added
-    splits = count_splits(raws, within)
+    counted = count_splits(raws, within)
+    few = sum(raw.rdd.getNumPartitions() for raw in raws) <= FEW_TASKS
+    before = few_offsets(counted, list(within)) if few else many_offsets(counted, list(within))
     key = F.xxhash64(PATH, START, LENGTH)
-    size = splits.agg(
+    size = before.agg(
         F.count(F.lit(1)).alias("n"),
         F.countDistinct(key).alias("hashes"),
         F.count_if(F.col(LAST) - F.col(FIRST) + 1 != F.col(ROWS)).alias("repeated"),
@@ -86,7 +104,6 @@ def number_rows(
         raise ValueError("a file is given more than once")
     # While no two splits share a hash, the hash alone is an exact key and keeps the table small.
     on = {KEY: key} if size.n == size.hashes else {f"{KEY}_{c}": F.col(c) for c in (PATH, START, LENGTH)}
-    before = running_total(splits, ROWS, [PATH, START], list(within), BEFORE)
     offsets = before.select(*[column.alias(name) for name, column in on.items()], *added, FIRST, LAST, BEFORE)
     fits = size.n * SPLIT_BYTES <= broadcast_limit
     match = reduce(lambda a, b: a & b, [column == F.col(name) for name, column in on.items()])

@@ -163,8 +163,26 @@ def files_by_layout(spark: SparkSession, files: Sequence[str]) -> dict[tuple[str
 
 def read_header(spark: SparkSession, file: str) -> list[str]:
     """Column names of one file, from its first lines."""
-    (found,) = layouts(spark, [literal_path(file)])
-    return column_names(found)
+    return first_records(spark, file)[0]
+
+
+def first_records(spark: SparkSession, file: str) -> tuple[list[str], list[list[str]]]:
+    """Column names of one file, and the records in the few lines behind them; no more lines are read."""
+    text = quotes.located(spark.read.text(literal_path(file))).select(F.decode(F.col("value").cast("binary"), "ISO-8859-1").alias("value"))
+    taken = 64
+    while True:
+        lines = [r.value.encode("latin-1").decode("utf-8", "replace") for r in text.take(taken)]
+        whole = len(lines) < taken
+        if lines:
+            lines[0] = lines[0].removeprefix("\ufeff")
+        record = first_record(lines)
+        if whole or (record is not None and closed(lines)):
+            break
+        taken *= 8
+    if record is None:
+        raise ValueError(f"no header in {file}")
+    heading, *rest = [r for r in csv.reader([line + "\n" for line in lines]) if any(c.strip() for c in r)]
+    return column_names(heading), rest
 
 
 def raw_schema(names: Sequence[str]) -> T.StructType:
@@ -223,11 +241,12 @@ def numbered(raw: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Part:
-    """Files of one layout: their cells as text, the names of the cells, the names in the header."""
+    """Files of one layout: their cells as text, the names of the cells, the names in the header; perhaps some first records."""
 
     raw: DataFrame
     cells: tuple[str, ...]
     header: tuple[str, ...]
+    first: tuple[Sequence[str], ...] = ()
 
 
 def conform(part: Part, contract: Contract, as_text: Sequence[str] = (), before: Sequence[str] = (), after: Sequence[str] = ()) -> DataFrame:
@@ -273,12 +292,13 @@ def read_parts(
         raise ValueError(f"quoted cells hold line ends in {min(known.spanning)}, though multi_line=False says that none does")
     apart = {decoded(f) for f in known.spanning | known.returns}
 
-    verify = headers == "first"
+    verify, seen = headers == "first", []
     if verify:
         files = list_files(spark, given)
         if not files:
             raise ValueError(f"no files below {given}")
-        groups: dict[tuple[str, ...], list[str] | None] = {tuple(read_header(spark, files[0])): files if apart else None}
+        heading, seen = first_records(spark, files[0])
+        groups: dict[tuple[str, ...], list[str] | None] = {tuple(heading): files if apart else None}
     else:
         found = layouts(spark, given)
         one = len(found) == 1 and not apart
@@ -294,7 +314,7 @@ def read_parts(
             paths_read = given if some is None else [literal_path(f) for f in some]
             # a single column is read with one more, see `measured`, so its heading cannot be compared
             raw = READERS[how](spark, paths_read, cells, known, verify and len(header) > 1, whole_records)
-            parts.append(Part(raw, cells, header))
+            parts.append(Part(raw, cells, header, tuple(seen)))
     return parts
 
 
@@ -359,6 +379,12 @@ def open_forms(part: Part, contract: Contract) -> dict[str, str]:
 def first_forms(parts: Sequence[Part], names: Sequence[str]) -> dict[str, int]:
     """The form of one cell of each column, from the first records that have any: the others must be like it."""
     found: dict[str, int] = {}
+    for part in parts:  # records at hand cost no job
+        for n in names:
+            at = part.header.index(n) if n in part.header else len(part.header)
+            cells = [r[at] for r in part.first if at < len(r) and r[at] not in parsing.NULL_TOKENS]
+            if cells and n not in found:
+                found[n] = parsing.iso_form_of(cells[0])
     for part in parts:
         cells = {n: c for c, n in zip(part.cells, part.header) if n in names}
         while missing := [n for n in cells if n not in found]:

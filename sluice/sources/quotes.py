@@ -17,6 +17,7 @@ import csv
 from bisect import bisect_left
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, field
+from urllib.parse import unquote, urlsplit
 
 import numpy as np
 import pyarrow as pa
@@ -106,11 +107,17 @@ class Survey:
 def survey(spark: SparkSession, paths: Sequence[str]) -> Survey:
     """Look at all lines once. A file whose last quoted cell is never closed is refused.
 
-    Lines without quotes or stray carriage returns, most of them, are passed over
-    inside the JVM. What comes back is one row for each split with such lines,
-    of files in which some line end lies in a quoted cell or a stray carriage return was seen.
+    The look at every line stays inside the JVM and gives the files in which
+    some line, begun outside a quoted cell, ends inside one, or has a stray
+    carriage return. In all other files every line is a record. The few found, if
+    any, are looked at again: one row for each split with quotes comes back.
     """
-    lines = read_lines(spark, paths).where(F.col("value").contains('"') | stray_return(F.col("value")))
+    lines = read_lines(spark, paths)
+    odd_line = (F.col("value").contains('"') & ends_inside(F.col("value"), False)) | stray_return(F.col("value"))
+    odd_files = [row["path"] for row in lines.where(odd_line).select("path").distinct().collect()]
+    if not odd_files:
+        return Survey()
+    lines = read_lines(spark, [literal(f) for f in odd_files]).where(F.col("value").contains('"') | stray_return(F.col("value")))
     told = lines.select("path", "start", "length", effect(F.col("value")).alias("effect"), stray_return(F.col("value")).alias("stray"))
 
     def compose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,6 +165,12 @@ def survey(spark: SparkSession, paths: Sequence[str]) -> Survey:
     return out
 
 
+def literal(uri: str) -> str:
+    """A file as Spark reports it, as a path that it does not expand."""
+    path = unquote(uri) if urlsplit(uri).scheme else uri
+    return "".join("\\" + c if c in "*?[]{}\\" else c for c in path)
+
+
 # --- records ---------------------------------------------------------------------------------
 
 RECORDS = "record binary, path string, start bigint, length bigint, row bigint"

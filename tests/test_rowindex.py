@@ -32,7 +32,9 @@ def wrong(df):
 
 @pytest.mark.parametrize("split", [2_000, 16_384, 1_000_000])
 @pytest.mark.parametrize("limit", [rowindex.BROADCAST_LIMIT, 0])
-def test_index_is_the_line_number_whatever_the_splits(spark, put, setting, split, limit):
+@pytest.mark.parametrize("few", [rowindex.FEW_TASKS, 0])
+def test_index_is_the_line_number_whatever_the_splits(spark, put, setting, monkeypatch, split, limit, few):
+    monkeypatch.setattr(rowindex, "FEW_TASKS", few)
     setting("spark.sql.files.maxPartitionBytes", str(split))
     path = put("many.csv", lines(5000))
     df = index(spark, path, broadcast_limit=limit)
@@ -70,7 +72,9 @@ def test_one_index_over_all_parts_of_a_source(spark, put, setting):
     assert df.count() == 2701 and wrong(df) == 0
 
 
-def test_index_within_a_scope_of_the_path(spark, put):
+@pytest.mark.parametrize("few", [rowindex.FEW_TASKS, 0])
+def test_index_within_a_scope_of_the_path(spark, put, monkeypatch, few):
+    monkeypatch.setattr(rowindex, "FEW_TASKS", few)
     put("m/ym=1/part-0.csv", lines(10))
     put("m/ym=1/part-1.csv", lines(5, start=10))
     put("m/ym=2/part-0.csv", lines(4))
@@ -80,6 +84,17 @@ def test_index_within_a_scope_of_the_path(spark, put):
     assert {r.ym: r["count"] for r in df.groupBy("ym").count().collect()} == {"1": 15, "2": 4}
 
 
+def test_no_window_over_all_splits(spark, put, monkeypatch, capsys):
+    monkeypatch.setattr(rowindex, "FEW_TASKS", 0)
+    raws = [numbered(read_parts(spark, put("w.csv", lines(100)), KV)[0].raw)]
+    rowindex.many_offsets(rowindex.count_splits(raws, {}), []).explain()
+    plan = capsys.readouterr().out
+    window = plan.split("Window [sum(__rows")[1]
+    assert "hashpartitioning(__in_range" in window.split("Window")[0]
+    for below in plan.split("Exchange SinglePartition")[1:]:  # what goes to one task is a row for each range of splits
+        assert "HashAggregate(keys=[__in_range" in below.split("Exchange")[0]
+
+
 def test_files_with_different_headers_are_indexed_together(spark, put):
     one, two = put("h/1.csv", "k,v\n0,a\n1,b\n"), put("h/2.csv", "v,k\nc,0\nd,1\n")
     assert wrong(index(spark, [one, two])) == 0
