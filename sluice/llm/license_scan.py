@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
-from sluice.llm.work import ship
+from sluice.llm.work import making_room, ship
 
 # Notices of common licenses, several wordings each. A name is that of the license, and of the wording if it has more than one.
 TEMPLATES = {
@@ -274,8 +274,12 @@ class Matcher:
 
 
 def scanned(docs: DataFrame, how: Scan = Scan(), text: str = "text", out: str = "licenses") -> DataFrame:
-    """`docs` with an array column `out` of struct(name, start, end, differences). Texts without a cue never leave the JVM."""
+    """`docs` with an array column `out` of struct(name, start, end, differences). Texts without a cue never leave the JVM.
+
+    A column of `docs` named as `out` is kept with `_` behind its name.
+    """
     ship(docs.sparkSession)
+    docs = making_room(docs, out)
     item = pa.struct([("name", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("differences", pa.string())])
 
     def run(column: pa.Array) -> pa.Array:

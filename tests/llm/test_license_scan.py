@@ -158,3 +158,5 @@ def test_edges(spark):
     found = license_scan.scanned(docs, out="found").collect()
     assert sorted((str(r.doc_id), len(r.found)) for r in found) == [("1", 0), ("2", 0), ("3", 1), ("3", 1), ("4", 0), ("5", 1), ("None", 1)]
     assert license_scan.scanned(docs.limit(0)).collect() == []
+    clash = license_scan.scanned(docs.where("doc_id = 2"))
+    assert clash.columns == ["doc_id", "text", "licenses_", "name", "licenses"] and clash.first()["licenses_"] == "l"
