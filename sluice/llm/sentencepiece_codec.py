@@ -12,12 +12,14 @@ both give the same ids.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import os
 import struct
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import tee
 
 import numpy as np
 import pyarrow as pa
@@ -157,7 +159,16 @@ def tokenizer(model: Model):
     return built
 
 
-def batches(texts: list[str]) -> Iterator[list[str]]:
+SLICE_ROWS = 256
+
+
+def texts_of(column: pa.Array) -> Iterator[str]:
+    """The texts of a column, null as the empty one, a few at a time: a column may hold 10 000 long ones."""
+    for start in range(0, len(column), SLICE_ROWS):
+        yield from column.slice(start, SLICE_ROWS).fill_null("").to_pylist()
+
+
+def batches(texts: Iterable[str]) -> Iterator[list[str]]:
     held, size = [], 0
     for text in texts:
         held.append(text)
@@ -192,7 +203,7 @@ class Codec:
         self.begins = np.concatenate(([0], np.cumsum(self.lengths)[:-1]))
         self.bytes = np.frombuffer(b"".join(texts), np.uint8)
 
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         run = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         for batch in batches(texts):
             yield from (np.array(x.ids, np.int32) for x in run(batch, add_special_tokens=False))
@@ -207,7 +218,7 @@ class Codec:
         text = self.bytes[at].tobytes().decode("utf-8", "replace")
         return text[1:] if self.model.dummy_prefix and text[:1] == " " else text
 
-    def reference(self, texts: list[str]) -> Iterator[np.ndarray]:
+    def reference(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
         """Ids of each text by the reference library."""
         import sentencepiece
 
@@ -244,11 +255,28 @@ def lists(arrays: list[np.ndarray]) -> pa.ListArray:
     return pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(arrays) if arrays else np.zeros(0, np.int32), pa.int32()))
 
 
+def released(array: pa.Array) -> pa.Array:
+    """The array, with the memory that was freed on the way given back to the system: idle workers stay small."""
+    pa.default_memory_pool().release_unused()
+    if trim := c_library_trim():
+        trim(0)
+    return array
+
+
+@lru_cache(maxsize=1)
+def c_library_trim():
+    """The C library's call for that, where it has one."""
+    try:
+        return ctypes.CDLL(None).malloc_trim
+    except (AttributeError, OSError):
+        return None
+
+
 def encode(text: Column, name: str) -> Column:
     """Ids of a text as an array of int; null reads as the empty text, which has none."""
 
     def run(column: pa.Array) -> pa.Array:
-        return lists(list(codec(name).encode(column.fill_null("").to_pylist())))
+        return released(lists(list(codec(name).encode(texts_of(column)))))
 
     return arrow_udf(run, "array<int>")(text)
 
@@ -268,12 +296,13 @@ def encode_and_compare(text: Column, name: str) -> Column:
     kind = pa.struct([("ids", pa.list_(pa.int32())), ("round_trip", pa.bool_())])
 
     def run(column: pa.Array) -> pa.Array:
-        each, texts = codec(name), column.fill_null("").to_pylist()
+        each = codec(name)
+        whole, read = tee(texts_of(column))  # holds the texts of one batch of the library
         ids, same = [], []
-        for whole, found in zip(texts, each.encode(texts), strict=True):
+        for text, found in zip(whole, each.encode(read), strict=True):
             ids.append(found)
-            same.append(each.decode(found) == whole)
-        return pa.StructArray.from_arrays([lists(ids).cast(kind[0].type), pa.array(same, pa.bool_())], fields=list(kind))
+            same.append(each.decode(found) == text)
+        return released(pa.StructArray.from_arrays([lists(ids).cast(kind[0].type), pa.array(same, pa.bool_())], fields=list(kind)))
 
     return arrow_udf(run, "struct<ids:array<int>,round_trip:boolean>")(text)
 
@@ -291,14 +320,15 @@ def checked(docs: DataFrame, name: str, text: str = "text", out: str = "tokens")
     kind = pa.struct([("n_tokens", pa.int64()), ("ids_sha256", pa.string()), ("decoded_sha256", pa.string()), ("round_trip", pa.bool_()), ("parity", pa.bool_())])
 
     def run(column: pa.Array) -> pa.Array:
-        each, texts = codec(name), column.fill_null("").to_pylist()
+        each = codec(name)
+        texts, one, other = tee(texts_of(column), 3)
         parts: list[list] = [[] for _ in kind]
-        for whole, ids, theirs in zip(texts, each.encode(texts), each.reference(texts), strict=True):
+        for whole, ids, theirs in zip(texts, each.encode(one), each.reference(other), strict=True):
             back = each.decode(ids)
             row = (len(ids), hashlib.sha256(ids.tobytes()).hexdigest(), hashlib.sha256(back.encode()).hexdigest(), back == whole, np.array_equal(ids, theirs))
             for part, value in zip(parts, row, strict=True):
                 part.append(value)
-        return pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(parts, kind, strict=True)], fields=list(kind))
+        return released(pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip(parts, kind, strict=True)], fields=list(kind)))
 
     schema = "struct<n_tokens:bigint,ids_sha256:string,decoded_sha256:string,round_trip:boolean,parity:boolean>"
     return docs.withColumn(out, arrow_udf(run, schema)(F.col(text)))
