@@ -27,7 +27,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sluice.llm.graph import components
-from sluice.llm.work import ship, stored
+from sluice.llm.work import joined_back, ship, stored
+from sluice.operators.ordering import in_order
 
 
 @dataclass(frozen=True)
@@ -39,6 +40,8 @@ class GridJoin:
     interval: int = 2048
     leaf: int = 512
     sample: int = 20_000
+    runs: int = 8
+    run_bytes: int = 32 << 20
 
     @property
     def epsilon(self) -> float:
@@ -189,17 +192,32 @@ def intervals(vectors: DataFrame, directions: np.ndarray, how: GridJoin) -> Data
     return placed.repartitionByRange("cell", "node").sortWithinPartitions("cell", "node").mapInArrow(cut, schema)
 
 
-def near_pairs(blocks: DataFrame, how: GridJoin) -> DataFrame:
-    """(a, b): pairs of intervals, a <= b, whose boxes are within epsilon.
+def grouped(blocks: DataFrame, how: GridJoin, width: int) -> DataFrame:
+    """The intervals with `run`: the number of the run of neighbouring intervals that each is in.
 
-    Intervals meet through the strips of the first direction that they touch,
+    A task joins two runs and is sent each of their intervals once. Runs are an
+    eighth of the sequence, so what is sent in all is a fixed number of times
+    the vectors, as long as a run stays below `how.run_bytes`.
+    """
+    order = in_order(blocks.select("block"), ["block"], (), "at", "intervals")
+    most = max(1, how.run_bytes // max(8 * width * how.interval, 1))
+    size = F.least(F.ceil(F.col("intervals") / how.runs), F.lit(most))
+    return blocks.join(order.select("block", F.floor(F.col("at") / size).alias("run")), "block")
+
+
+def near_pairs(blocks: DataFrame, how: GridJoin, directions: int) -> DataFrame:
+    """(a, b): pairs of runs, a <= b, whose boxes are within epsilon.
+
+    Runs meet through the strips of the first direction that they touch,
     each strip as wide as epsilon; their boxes settle the rest.
     """
+    side = lambda f, name: F.array(*[f(F.get(name, i)) for i in range(directions)]).alias(name)
+    boxes = blocks.groupBy("run").agg(side(F.min, "low"), side(F.max, "high"))
     strip = lambda c: F.floor(F.get(c, 0) / how.epsilon)
-    boxes = blocks.select("block", "low", "high", F.sequence(strip(F.col("low")), strip(F.col("high"))).alias("own"))
-    one = boxes.select(F.col("block").alias("a"), F.col("low").alias("a_low"), F.col("high").alias("a_high"), F.explode("own").alias("strip"))
+    boxes = boxes.select("run", "low", "high", F.sequence(strip(F.col("low")), strip(F.col("high"))).alias("own"))
+    one = boxes.select(F.col("run").alias("a"), F.col("low").alias("a_low"), F.col("high").alias("a_high"), F.explode("own").alias("strip"))
     two = boxes.select(
-        F.col("block").alias("b"), F.col("low").alias("b_low"), F.col("high").alias("b_high"),
+        F.col("run").alias("b"), F.col("low").alias("b_low"), F.col("high").alias("b_high"),
         F.explode(F.array_distinct(F.flatten(F.transform("own", lambda x: F.array(x - 1, x, x + 1))))).alias("strip"),
     )
     gap = F.zip_with(
@@ -277,10 +295,14 @@ def forest(u: np.ndarray, v: np.ndarray, n: int) -> np.ndarray:
 
 
 def compared(pairs: DataFrame, blocks: DataFrame, directions: np.ndarray, how: GridJoin) -> DataFrame:
-    """(node, other, links): rows of a spanning forest of links (other not null), and links counted per node."""
+    """(node, other, links): rows of a spanning forest of links (other not null), and links counted per node.
+
+    A task has two runs, or one with itself, and joins their intervals pair by
+    pair; pairs of distant intervals are skipped by their boxes.
+    """
 
-    def opened(batch: pa.RecordBatch, side: str, i: int) -> tuple[Interval, np.ndarray, np.ndarray]:
-        get = lambda name: batch.column(f"{side}_{name}")[i].as_py()
+    def opened(rows: pa.Table, i: int) -> tuple[Interval, np.ndarray, np.ndarray]:
+        get = lambda name: rows.column(name)[i].as_py()
         n = get("n")
         data = np.frombuffer(get("data"), np.float32 if get("single") else np.float64).astype(float).reshape(n, -1)
         x = unit_rows([v.tobytes() for v in data], data.shape[1]) if n else data
@@ -290,37 +312,44 @@ def compared(pairs: DataFrame, blocks: DataFrame, directions: np.ndarray, how: G
     def widened(x: np.ndarray, width: int) -> np.ndarray:
         return np.pad(x, ((0, 0), (0, width - x.shape[1]))) if x.shape[1] < width else x
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                same = batch.column("a")[i].as_py() == batch.column("b")[i].as_py()
-                a, a_nodes, a_sizes = opened(batch, "a", i)
-                b, b_nodes, b_sizes = (a, a_nodes, a_sizes) if same else opened(batch, "b", i)
-                width = max(a.x.shape[1], b.x.shape[1])
-                a.x, b.x = widened(a.x, width), widened(b.x, width)
-                shift = 0 if same else len(a_nodes)
-                names = a_nodes if same else np.concatenate([a_nodes, b_nodes])
-                label, links = np.arange(len(names)), np.zeros(len(names), np.int64)
-                for x, y in join(a, b, same, how):
-                    np.add.at(links, x, b_sizes[y])
-                    np.add.at(links, y + shift, a_sizes[x])
-                    grown = forest(label[x], label[y + shift], len(names))
-                    label = grown[label]
-                own = np.flatnonzero(label != np.arange(len(names)))
-                counted = np.flatnonzero(links)
-                raw = lambda at: [names[k].tobytes() for k in at]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(raw(own) + raw(counted), pa.binary()),
-                        pa.array(raw(label[own]) + [None] * len(counted), pa.binary()),
-                        pa.array(np.concatenate([np.zeros(len(own), np.int64), links[counted]])),
-                    ],
-                    ["node", "other", "links"],
-                )
-
-    wide = ("n", "nodes", "sizes", "single", "data")
-    side = lambda name: blocks.select(F.col("block").alias(name), *[F.col(c).alias(f"{name}_{c}") for c in wide])
-    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(run, "node binary, other binary, links bigint")
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("block")
+        order, of_run = rows.column("block").to_pylist(), rows.column("run").to_pylist()
+        a_run, b_run = rows.column("a")[0].as_py(), rows.column("b")[0].as_py()
+        held = [opened(rows, i) for i in range(rows.num_rows)]
+        width = max(x.x.shape[1] for x, _, _ in held)
+        for x, _, _ in held:
+            x.x = widened(x.x, width)
+        names = np.concatenate([n for _, n, _ in held])
+        begins = np.concatenate(([0], np.cumsum([len(n) for _, n, _ in held])))
+        label, links = np.arange(len(names)), np.zeros(len(names), np.int64)
+        for i in range(len(order)):
+            for j in range(i, len(order)):
+                if {of_run[i], of_run[j]} != {a_run, b_run}:
+                    continue  # within one of two runs: another task joins that
+                (a, _, a_sizes), (b, _, b_sizes) = held[i], held[j]
+                for x, y in join(a, b, i == j, how):
+                    np.add.at(links, x + begins[i], b_sizes[y])
+                    np.add.at(links, y + begins[j], a_sizes[x])
+                    # of the links of this part, only those that join something yet unjoined change the labels
+                    u, v = label[x + begins[i]], label[y + begins[j]]
+                    new = u != v
+                    if new.any():
+                        label = forest(u[new], v[new], len(names))[label]
+        own = np.flatnonzero(label != np.arange(len(names)))
+        counted = np.flatnonzero(links)
+        raw = lambda at: [names[k].tobytes() for k in at]
+        return pa.table(
+            {
+                "node": pa.array(raw(own) + raw(counted), pa.binary()),
+                "other": pa.array(raw(label[own]) + [None] * len(counted), pa.binary()),
+                "links": pa.array(np.concatenate([np.zeros(len(own), np.int64), links[counted]]), pa.int64()),
+            }
+        )
+
+    wide = blocks.select("block", "run", "n", "nodes", "sizes", "single", "data")
+    both = pairs.join(wide, pairs["a"] == wide["run"]).unionByName(pairs.where("a <> b").join(wide, pairs["b"] == wide["run"]))
+    return both.groupBy("a", "b").applyInArrow(run, "node binary, other binary, links bigint")
 
 
 def near_duplicates(vectors: DataFrame, how: GridJoin = GridJoin(), id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
@@ -339,15 +368,16 @@ def near_duplicates(vectors: DataFrame, how: GridJoin = GridJoin(), id: str = "v
     distinct = members.where("node is not null").select("node", "vector").dropDuplicates(["node"]).join(sizes.select("node", "size"), "node")
     distinct = stored(distinct, "distinct")
     directions = principal(distinct, how)
-    blocks = stored(intervals(distinct, directions, how), "intervals")
-    pairs = stored(near_pairs(blocks, how), "pairs")
-    found = stored(compared(pairs.repartition("a", "b"), blocks, directions, how), "found")
+    blocks = grouped(stored(intervals(distinct, directions, how), "intervals"), how, len(directions))
+    pairs = stored(near_pairs(blocks, how, max(1, directions.shape[1])), "pairs")
+    found = stored(compared(pairs, blocks, directions, how), "found")
     counted = found.where("other is null").groupBy("node").agg(F.sum("links").alias("links"))
     classes = components(found.where("other is not null"), "node", "other")
     named = sizes.join(classes, "node", "left").join(counted, "node", "left")
     named = named.withColumn("class", F.coalesce("component", "node")).withColumn("n_links", F.coalesce("links", F.lit(0)) + F.col("size") - 1)
-    smallest = named.groupBy("class").agg(F.min("least").alias("component_id"))
-    named = named.join(smallest, "class").select("node", "n_links", "component_id")
+    named = stored(named.select("node", "class", "n_links", "least"), "named")
+    smallest = stored(named.groupBy("class").agg(F.min("least").alias("component_id"), F.count(F.lit(1)).alias("members")), "classes")
+    named = joined_back(named, smallest, "class", "members", named.count()).select("node", "n_links", "component_id")
     linked = members.select("id", "node").join(named, "node", "left")
     component = F.when(F.col("n_links").isNull(), F.col("id")).otherwise(F.col("component_id"))
     return linked.select(

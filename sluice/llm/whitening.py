@@ -25,9 +25,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sluice.llm.work import ship, stored
+from sluice.llm.work import joined_back, ship, stored
 
-HOT = 1024  # vectors that hold this part of all rows are broadcast: there are no more than this many
 FLAT = 1e-12
 
 
@@ -190,11 +189,7 @@ def whitened(rows: DataFrame, id: str, x: str, components: int = 32, weights: st
     mean = average(each, "whitened", n, len(fit.eigenvalues))
     error = float(np.abs(covariance(each, "whitened", n, lambda y: y - mean) - np.eye(len(fit.eigenvalues))).max())
 
-    is_hot = F.col("copies") * HOT >= many
-    hot = F.broadcast(each.where(is_hot).select("x", "deviation", "whitened"))
-    back = rows.join(hot, "x").unionByName(
-        rows.join(F.broadcast(each.where(is_hot).select("x")), "x", "left_anti").join(each.where(~is_hot).select("x", "deviation", "whitened"), "x")
-    )
+    back = joined_back(rows, each.select("x", "copies", "deviation", "whitened"), "x", "copies", many)
     shares = F.lit([float(e / fit.trace) for e in fit.eigenvalues])
     return (
         back.select("id", "deviation", F.posexplode("whitened").alias("at", "whitened"))

@@ -2,32 +2,11 @@
 
 from __future__ import annotations
 
-import os
-import tempfile
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-import sluice
 from sluice import session
-
-_shipped: set[str] = set()
-
-
-def ship(spark: SparkSession) -> None:
-    """Hand this package's code to the executors, whatever folder they were started in."""
-    sc = spark.sparkContext
-    if sc.applicationId in _shipped:
-        return
-    root = Path(sluice.__file__).resolve().parent
-    target = os.path.join(os.path.realpath(tempfile.mkdtemp(prefix="sluice-code-")), "sluice-code.zip")
-    with zipfile.ZipFile(target, "w") as out:
-        for path in sorted(root.rglob("*.py")):
-            out.write(path, path.relative_to(root.parent))
-    sc.addPyFile(target)
-    _shipped.add(sc.applicationId)
+from sluice.session import ship as ship  # for the operators
 
 
 def stored(df: DataFrame, label: str) -> DataFrame:
@@ -38,6 +17,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+HOT = 1024  # keys that hold this part of all rows are broadcast: there are no more than this many
+
+
+def joined_back(rows: DataFrame, groups: DataFrame, key: str, size: str, total: int) -> DataFrame:
+    """`rows` with the columns of the group that each belongs to; `size` is a column of rows a group, `total` all rows.
+
+    Groups with 1/1024 of all rows or more, at most 1024 of them, are broadcast,
+    so the rows of a hot group stay where they are; the others are joined by shuffle.
+    """
+    is_hot = F.col(size) * HOT >= total
+    hot, cold = groups.where(is_hot).drop(size), groups.where(~is_hot).drop(size)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti")
+    return rows.join(F.broadcast(hot), key).unionByName(rest.join(cold, key))
+
+
 def unused(df: DataFrame, *names: str) -> list[str]:
     """Names that no column of `df` has, whatever its case."""
     taken = {c.lower() for c in df.columns}

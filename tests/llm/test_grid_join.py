@@ -48,7 +48,7 @@ def test_query_equals_brute_force(spark):
     assert result(queries.op10_grid_join(spark, DATA)) == brute(rows)
 
 
-@pytest.mark.parametrize("how", [GridJoin(directions=4, interval=40, leaf=8), GridJoin(directions=3, interval=7, leaf=100, sample=5), GridJoin()])
+@pytest.mark.parametrize("how", [GridJoin(directions=4, interval=40, leaf=8), GridJoin(directions=3, interval=7, leaf=100, sample=5), GridJoin(interval=20, runs=3), GridJoin(interval=10, run_bytes=1), GridJoin()])
 def test_clusters_copies_and_edges(spark, how):
     rng = np.random.default_rng(6)
     centres = rng.normal(size=(12, 10))
@@ -68,8 +68,22 @@ def test_empty_table(spark):
 def test_distant_intervals_are_skipped(spark):
     rng = np.random.default_rng(1)
     far = [(k, (np.eye(8)[k % 8] + rng.normal(size=8) * 0.01).tolist(), 1, "n", 1) for k in range(400)]
-    how = GridJoin(interval=50)
+    how = GridJoin(interval=50, runs=1000)
     vectors = grid_join.nodes(spark.createDataFrame(far, SCHEMA), "vec_id", "embedding").selectExpr("node", "vector", "1L as size")
-    blocks = grid_join.intervals(vectors, grid_join.principal(vectors, how), how)
+    blocks = grid_join.grouped(grid_join.stored(grid_join.intervals(vectors, grid_join.principal(vectors, how), how), "blocks"), how, 8)
     n = blocks.count()
-    assert grid_join.near_pairs(blocks, how).count() < n * (n + 1) / 2 / 2
+    assert blocks.select("run").distinct().count() == n
+    assert grid_join.near_pairs(blocks, how, 8).count() < n * (n + 1) / 2 / 2
+
+
+@pytest.mark.parametrize("n", [1000, 4000])
+def test_what_is_sent_grows_with_the_vectors(spark, n):
+    """A flat spectrum: every run meets every other, and still each vector goes to a fixed number of tasks."""
+    rng = np.random.default_rng(2)
+    frame = spark.createDataFrame([(k, v.tolist(), 1, "n", 1) for k, v in enumerate(rng.normal(size=(n, 16)))], SCHEMA)
+    how = GridJoin(interval=25)
+    vectors = grid_join.stored(grid_join.nodes(frame, "vec_id", "embedding").selectExpr("node", "vector", "1L as size"), "nodes")
+    blocks = grid_join.grouped(grid_join.stored(grid_join.intervals(vectors, grid_join.principal(vectors, how), how), "blocks"), how, 16)
+    pairs = grid_join.near_pairs(blocks, how, 16)
+    sent = pairs.selectExpr("a AS run").unionByName(pairs.where("a <> b").selectExpr("b AS run")).join(blocks, "run").selectExpr("sum(n)").first()[0]
+    assert sent <= (how.runs + 2) * n

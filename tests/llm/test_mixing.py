@@ -64,7 +64,7 @@ def newton(tokens, p, targets, least, most=np.inf, near=1e-9):
 def test_fit_comes_as_near_as_its_gap_to_the_optimum(spark, least, most, share):
     rng = np.random.default_rng(4)
     tokens, p = rng.integers(1, 400, 300), rng.dirichlet([0.3, 0.4, 0.5], 300)
-    members = spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens, p, strict=True)], "tokens long, posterior array<double>")
+    members = spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens, p, strict=True)], "tokens long, posterior array<double>").coalesce(1)
     mixture = Mixture({"a": 0.55, "b": 0.2, "c": 0.25}, least, most, tokens=float(share * tokens.sum()))
     fitted = mixing.fit(members, mixture, ("a", "b", "c"))
     targets = share * tokens.sum() * np.array([0.55, 0.2, 0.25])
@@ -82,7 +82,7 @@ def test_rare_domains_meet_their_targets(spark):
     tokens = rng.integers(50, 400, 2000)
     rare = np.arange(2000) % 100 == 0  # one per cent is to become a third
     p = np.where(rare[:, None], [0.02, 0.98], [1.0, 0.0])
-    members = spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens, p, strict=True)], "tokens long, posterior array<double>")
+    members = spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens, p, strict=True)], "tokens long, posterior array<double>").coalesce(1)
     fitted = mixing.fit(members, Mixture({"a": 2.0, "b": 1.0}), ("a", "b"))
     assert fitted.optimal and fitted.misfit() < 1e-4 and fitted.rates(p).max() > 20
     assert np.allclose(fitted.expected, (tokens * fitted.rates(p)) @ p)
@@ -91,7 +91,7 @@ def test_rare_domains_meet_their_targets(spark):
 def test_targets_out_of_reach_end_at_the_least_misfit(spark):
     rng = np.random.default_rng(8)
     tokens, p = rng.integers(1, 400, 300), rng.dirichlet([2.0, 0.1, 0.3], 300)
-    members = spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens, p, strict=True)], "tokens long, posterior array<double>")
+    members = spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens, p, strict=True)], "tokens long, posterior array<double>").coalesce(1)
     fitted = mixing.fit(members, Mixture({"a": 0.2, "b": 0.5, "c": 0.3}, least=1.0, tokens=float(tokens.sum())), ("a", "b", "c"))
     targets = tokens.sum() * np.array([0.2, 0.5, 0.3])
     value = ((((tokens * fitted.rates(p)) @ p - targets) / targets) ** 2).sum() / 2
@@ -103,7 +103,7 @@ def test_targets_out_of_reach_end_at_the_least_misfit(spark):
 def test_domain_without_weight(spark):
     rng = np.random.default_rng(9)
     tokens, p = rng.integers(1, 400, 300), rng.dirichlet([0.3, 0.3, 0.3], 300)
-    members = spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens, p, strict=True)], "tokens long, posterior array<double>")
+    members = spark.createDataFrame([(int(t), q.tolist()) for t, q in zip(tokens, p, strict=True)], "tokens long, posterior array<double>").coalesce(1)
     fitted = mixing.fit(members, Mixture({"a": 2.0, "b": 1.0}), ("a", "b", "c"))
     rate = fitted.rates(p)
     assert rate.min() >= 0 and np.abs(((tokens * rate) @ p / tokens.sum()) - [2 / 3, 1 / 3, 0]).max() < 0.02

@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from sluice.llm import queries, whitening
+from sluice.llm import queries, whitening, work
 
 DATA = "/root/testdata/sf0.01"
 NAN, INF = float("nan"), float("inf")
@@ -58,7 +58,7 @@ def test_equals_brute_force_with_a_hot_vector(spark):
 
 
 def test_cold_vectors_are_joined_by_shuffle(spark, monkeypatch):
-    monkeypatch.setattr(whitening, "HOT", 4)
+    monkeypatch.setattr(work, "HOT", 4)
     vectors = [[i % 40, (i * i) % 17, (7 * i) % 11] for i in range(400)] + [[1, 2, 3]] * 200
     rows = whitening.whitened(frame(spark, [(i, v, 1, "c") for i, v in enumerate(vectors)]), "vec_id", "x").collect()
     check(rows, list(range(600)), vectors)
