@@ -3,8 +3,10 @@
 The model file's protobuf is read here, field by field, and the tokenizer built
 anew from it: normaliser, the mark for spaces and the one put before a text,
 scores (of a unigram model, or of a BPE model, whose merges follow from them)
-and the bytes that stand for characters outside the vocabulary. Batches are
-encoded by the library's threads. Decoding looks the pieces' bytes up in a table.
+and the bytes that stand for characters outside the vocabulary. Where no piece
+reaches over the beginning of a word, a batch's different words are encoded once
+each and put together; other models get whole texts. Decoding looks the pieces'
+bytes up in a table.
 
 `checked` has every text encoded by the reference library as well, to verify that
 both give the same ids.
@@ -23,12 +25,14 @@ from itertools import tee
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import SparkFiles
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import arrow_udf
 
 from sluice.llm.work import making_room, ship
+from sluice.session import small_batches
 
 SPACE = "▁"
 # Fixed values of the model format: kinds of pieces and of models.
@@ -36,6 +40,9 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 
 BATCH_CHARS = 1 << 20
+WORDS_BATCH_CHARS = 1 << 21  # where words are encoded once each
+WORDS_AT_ONCE = 1 << 14
+KNOWN_BYTES = 1 << 23  # beyond that, words and ids of the last batch alone are remembered
 
 
 # --- the model file --------------------------------------------------------------------------
@@ -128,17 +135,33 @@ def merges(model: Model) -> list[tuple[str, str]]:
     return [(model.pieces[left][0], model.pieces[right][0]) for _, _, left, right in found]
 
 
-def tokenizer(model: Model):
-    from tokenizers import AddedToken, Regex, Tokenizer, models, normalizers, pre_tokenizers
+def by_words(model: Model) -> bool:
+    """Whether no piece reaches over the beginning of a word, so that words can be encoded one by one."""
+    return model.escape_spaces and not any(SPACE in text.lstrip(SPACE) for text, _, kind in model.pieces if kind == NORMAL)
+
+
+def only_words(model: Model) -> bool:
+    """Whether a text is its words as they stand: nothing else is rewritten or cut out before they are encoded."""
+    kinds = {kind for _, _, kind in model.pieces}
+    return by_words(model) and not model.charsmap and not model.remove_extra_spaces and USER_DEFINED not in kinds
+
+
+def core(model: Model):
+    """The model alone, for words with their spaces marked."""
+    from tokenizers import models
 
     if model.kind == UNIGRAM:
-        core = models.Unigram([(t, s) for t, s, _ in model.pieces], model.unknown, model.byte_fallback)
-    else:
-        vocabulary = {text: i for i, (text, _, _) in enumerate(model.pieces)}
-        core = models.BPE(
-            vocabulary, merges(model), unk_token=model.pieces[model.unknown][0], fuse_unk=True, byte_fallback=model.byte_fallback
-        )
-    built = Tokenizer(core)
+        return models.Unigram([(t, s) for t, s, _ in model.pieces], model.unknown, model.byte_fallback)
+    vocabulary = {text: i for i, (text, _, _) in enumerate(model.pieces)}
+    return models.BPE(
+        vocabulary, merges(model), unk_token=model.pieces[model.unknown][0], fuse_unk=True, byte_fallback=model.byte_fallback
+    )
+
+
+def tokenizer(model: Model):
+    from tokenizers import AddedToken, Regex, Tokenizer, normalizers, pre_tokenizers
+
+    built = Tokenizer(core(model))
     steps = []
     if model.charsmap:
         steps.append(normalizers.Precompiled(model.charsmap))
@@ -150,8 +173,7 @@ def tokenizer(model: Model):
         steps.append(normalizers.Replace(" ", SPACE))
     if steps:
         built.normalizer = normalizers.Sequence(steps)
-    if model.escape_spaces and not any(SPACE in text.lstrip(SPACE) for text, _, kind in model.pieces if kind == NORMAL):
-        # no piece reaches over the beginning of a word, so words can be encoded, and remembered, one by one
+    if by_words(model):
         built.pre_tokenizer = pre_tokenizers.Split(Regex(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+"), "isolated")
     given = [AddedToken(t, normalized=True, special=False) for t, _, kind in model.pieces if kind == USER_DEFINED]
     if given:
@@ -163,31 +185,71 @@ SLICE_ROWS = 256
 
 
 def texts_of(column: pa.Array) -> Iterator[str]:
-    """The texts of a column, null as the empty one, a few at a time: a column may hold 10 000 long ones."""
+    """The texts of a column, null as the empty one, a few at a time: a column may hold many long ones."""
     for start in range(0, len(column), SLICE_ROWS):
         yield from column.slice(start, SLICE_ROWS).fill_null("").to_pylist()
 
 
-def batches(texts: Iterable[str]) -> Iterator[list[str]]:
+def batches(texts: Iterable[str], chars: int = BATCH_CHARS) -> Iterator[list[str]]:
     held, size = [], 0
     for text in texts:
         held.append(text)
         size += len(text)
-        if size >= BATCH_CHARS:
+        if size >= chars:
             yield held
             held, size = [], 0
     if held:
         yield held
 
 
+def words(texts: pa.LargeStringArray) -> tuple[pa.LargeStringArray, np.ndarray]:
+    """The words of texts, each with the spaces before it, and where in them each text begins and the last one ends."""
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[: len(texts) + 1]
+    data = texts.buffers()[2] or pa.py_buffer(b"")
+    space = np.frombuffer(data, np.uint8)[: ends[-1]] == ord(" ")
+    first = space.copy()
+    first[1:] &= ~space[:-1]
+    first[ends[:-1][ends[:-1] < ends[1:]]] = True
+    at = np.flatnonzero(first)
+    found = pa.LargeStringArray.from_buffers(len(at), pa.py_buffer(np.append(at, ends[-1])), data)
+    return found, np.searchsorted(at, ends)
+
+
+class Known:
+    """Ids of words: those of a batch, and of former batches' words as long as they are few."""
+
+    def __init__(self, core):
+        self.core = core
+        self.words, self.ids = pa.array([], pa.large_string()), pa.array([], pa.list_(pa.int32()))
+
+    def look_up(self, words: pa.LargeStringArray) -> pa.ListArray:
+        """The ids of each word; a word that is not known yet is encoded once."""
+        each = words.dictionary_encode()
+        at = pc.index_in(each.dictionary, value_set=self.words)
+        new = each.dictionary.filter(at.is_null())
+        if len(new):
+            parts = [self.encoded(new.slice(i, WORDS_AT_ONCE)) for i in range(0, len(new), WORDS_AT_ONCE)]
+            self.words, self.ids = pa.concat_arrays([self.words, new]), pa.concat_arrays([self.ids, *parts])
+            at = pc.replace_with_mask(at, at.is_null(), pa.array(np.arange(len(self.words) - len(new), len(self.words), dtype=np.int32)))
+        ids = self.ids.take(at)
+        if self.words.nbytes + self.ids.nbytes > KNOWN_BYTES:
+            self.words, self.ids = each.dictionary, ids
+        return ids.take(each.indices)
+
+    def encoded(self, words: pa.LargeStringArray) -> pa.ListArray:
+        marked = pc.replace_substring(words, " ", SPACE).to_pylist()
+        return pa.array([[token.id for token in self.core.tokenize(word)] for word in marked], pa.list_(pa.int32()))
+
+
 class Codec:
-    """Encodes and decodes by one model; texts go to the library in batches of about a million characters."""
+    """Encodes and decodes by one model; texts are taken in batches of one or two million characters."""
 
-    def __init__(self, data: bytes, threads: int = 2):
+    def __init__(self, data: bytes, threads: int = 1):
         os.environ.setdefault("RAYON_NUM_THREADS", str(threads))
         os.environ["TOKENIZERS_PARALLELISM"] = "true" if threads > 1 else "false"
         self.model, self.data = parse(data), data
-        self.tokenizer = tokenizer(self.model)
+        self.known = Known(core(self.model)) if only_words(self.model) else None
+        self.tokenizer = None if self.known else tokenizer(self.model)
         self._reference = None
         texts = []
         for text, _, kind in self.model.pieces:
@@ -204,10 +266,22 @@ class Codec:
         self.bytes = np.frombuffer(b"".join(texts), np.uint8)
 
     def encode(self, texts: Iterable[str]) -> Iterator[np.ndarray]:
+        if self.known:
+            for batch in batches(texts, WORDS_BATCH_CHARS):
+                yield from self._by_words(batch)
+            return
         run = getattr(self.tokenizer, "encode_batch_fast", self.tokenizer.encode_batch)
         for batch in batches(texts):
             yield from (np.array(x.ids, np.int32) for x in run(batch, add_special_tokens=False))
 
+    def _by_words(self, batch: list[str]) -> Iterator[np.ndarray]:
+        if self.model.dummy_prefix:
+            batch = [" " + text if text else text for text in batch]
+        found, begins = words(pc.replace_substring(pa.array(batch, pa.large_string()), SPACE, " "))  # the mark itself is a space
+        ids = self.known.look_up(found)
+        cuts, values = ids.offsets.to_numpy()[begins], ids.values.to_numpy()
+        return (values[begin:end] for begin, end in zip(cuts[:-1], cuts[1:], strict=True))
+
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids, without the space that was put before it; bytes that make no character read as U+FFFD."""
         if not len(ids):
@@ -228,7 +302,7 @@ class Codec:
             yield from (np.array(ids, np.int32) for ids in self._reference.encode(batch, num_threads=1))
 
 
-THREADS = 2
+THREADS = 1  # a task has one core
 
 
 @lru_cache(maxsize=2)
@@ -242,8 +316,9 @@ _sent: set[tuple[str, str]] = set()
 
 
 def send(spark: SparkSession, path: str) -> str:
-    """Send a model file to all executors; gives the name that they find it by."""
+    """Send a model file to all executors; gives the name that they find it by. Batches of this session become small."""
     ship(spark)
+    small_batches(spark)
     if (key := (spark.sparkContext.applicationId, path)) not in _sent:
         spark.sparkContext.addFile(path)
         _sent.add(key)

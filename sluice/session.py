@@ -17,6 +17,8 @@ MIN_PARTITIONS = "spark.sql.files.minPartitionNum"
 METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
 SPARK_METHOD_LIMIT = "65535"  # Spark's default
 JIT_METHOD_LIMIT = "8000"  # HotSpot interprets methods above this many bytecodes
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+SMALL_BATCH = "4m"
 
 
 def local_session(cores: int | str = "*", **settings: str) -> SparkSession:
@@ -110,3 +112,13 @@ def prefer_compiled_methods(spark: SparkSession) -> None:
     """
     if spark.conf.get(METHOD_LIMIT, SPARK_METHOD_LIMIT) == SPARK_METHOD_LIMIT:
         spark.conf.set(METHOD_LIMIT, JIT_METHOD_LIMIT)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send texts to Python workers by size, not only by number of rows.
+
+    A batch of 10 000 rows, Spark's default, has no limit of size: it is held
+    whole on both sides, by every running task. A value the user has set is left alone.
+    """
+    if spark.conf.get(BATCH_BYTES, None) is None:
+        spark.conf.set(BATCH_BYTES, SMALL_BATCH)

@@ -1,10 +1,14 @@
 import random
+from types import SimpleNamespace
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from pyspark.sql import functions as F
+from pyspark.sql.functions import arrow_udf
 
+from sluice import session
 from sluice.llm import queries, sentencepiece_codec
 from sluice.llm.sentencepiece_codec import Codec, Model, parse, tokenizer
 
@@ -51,6 +55,37 @@ def test_random_texts(data):
         assert ids.tolist() == other.encode(text), text
 
 
+@pytest.mark.parametrize("remembered", [0, 2000, 1 << 23])
+def test_different_words_are_encoded_once(data, monkeypatch, remembered):
+    monkeypatch.setattr(sentencepiece_codec, "KNOWN_BYTES", remembered)
+    monkeypatch.setattr(sentencepiece_codec, "WORDS_BATCH_CHARS", 4000)
+    monkeypatch.setattr(sentencepiece_codec, "WORDS_AT_ONCE", 7)
+    codec, other, encoded, rng = Codec(data), sentencepiece.SentencePieceProcessor(model_proto=data), [], random.Random(3)
+    core = codec.known.core
+    codec.known.core = SimpleNamespace(tokenize=lambda word: encoded.append(word) or core.tokenize(word))
+    some = ["the", "é", "漢字", "", "", "▁x", "a\nb", "\u0000", *(f"word{i}" for i in range(200))]
+    texts = [" ".join(rng.choices(some, k=rng.randrange(40))) for _ in range(500)]
+    assert [x.tolist() for x in codec.encode(texts)] == other.encode(texts)
+    assert len(set(encoded)) < len(encoded) < sum(map(len, map(str.split, texts))) if remembered < 1 << 23 else len(set(encoded)) == len(encoded)
+
+
+def test_words_and_where_texts_begin():
+    found, begins = sentencepiece_codec.words(pa.array(["", " a  b ", "", "c", "  ", "é d"], pa.large_string()))
+    assert found.to_pylist() == [" a", "  b", " ", "c", "  ", "é", " d"] and begins.tolist() == [0, 0, 3, 3, 4, 5, 7]
+    found, begins = sentencepiece_codec.words(pa.array(["", ""], pa.large_string()))
+    assert found.to_pylist() == [] and begins.tolist() == [0, 0, 0]
+
+
+def test_models_that_rewrite_texts_get_them_whole():
+    pieces = (("<unk>", 0.0, 2), ("▁", -3.0, 1), ("a", -2.0, 1))
+    plain = Model(pieces, sentencepiece_codec.UNIGRAM, False, b"", True, False, True)
+    assert sentencepiece_codec.only_words(plain)
+    assert not sentencepiece_codec.only_words(Model((*pieces, ("a▁a", -1.0, 1)), *list(vars(plain).values())[1:]))
+    assert not sentencepiece_codec.only_words(Model((*pieces, ("b", 0.0, 4)), *list(vars(plain).values())[1:]))
+    assert not sentencepiece_codec.only_words(Model(pieces, sentencepiece_codec.UNIGRAM, False, b"", True, True, True))
+    assert not sentencepiece_codec.only_words(Model(pieces, sentencepiece_codec.UNIGRAM, False, b"map", True, False, True))
+
+
 def test_unigram_models_keep_scores_and_bytes():
     pieces = [("<unk>", 0.0, 2), ("▁", -3.0, 1), ("▁ab", -1.0, 1), ("a", -2.0, 1), ("b", -2.5, 1)]
     pieces += [(f"<0x{i:02X}>", -9.0, 6) for i in range(256)]
@@ -88,3 +123,15 @@ def test_a_column_named_as_the_result_is_kept(spark):
     docs = spark.createDataFrame([("a b", 1, 2)], "text string, Tokens int, tokens_ int")
     found = sentencepiece_codec.checked(docs, name)
     assert found.columns == ["text", "Tokens__", "tokens_", "tokens"] and found.first().Tokens__ == 1
+
+
+def test_long_texts_reach_workers_in_small_batches(spark, setting):
+    rows_together = arrow_udf(lambda column: pa.array([len(column)] * len(column), pa.int32()), "int")
+    docs = spark.range(0, 100, 1, 1).select(F.repeat(F.lit("a "), 100_000).alias("text"))
+    setting(session.BATCH_BYTES, "1m")
+    sentencepiece_codec.send(spark, queries.TOKENIZER)
+    assert spark.conf.get(session.BATCH_BYTES) == "1m"  # the user's own
+    spark.conf.unset(session.BATCH_BYTES)
+    sentencepiece_codec.send(spark, queries.TOKENIZER)
+    sizes = [r[0] for r in docs.select(rows_together("text")).collect()]
+    assert len(sizes) == 100 and max(sizes) <= 22
